@@ -432,7 +432,7 @@ def q28_sector_share(spark, root):
 def q29_fuel_mix(spark, root):
     led = meter_ledger(spark, root).where(F.col("total_mtco2e").isNotNull())
     led = led.withColumn("day", F.date_format("usage_end", "yyyy-MM-dd"))
-    return report.fuel_mix(led, period="day", sum_scale=B.DECIMAL_SCALE)
+    return report.fuel_mix(led, period="day", sum_scale=B.METER_DECIMAL_SCALE)
 
 
 QUERIES: dict[str, Query] = {

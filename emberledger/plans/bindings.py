@@ -23,7 +23,7 @@ FACTOR_VALUES = {
     "MED-B": 2.0, "PRO-A": 0.125, "STA-A": 1.0, "STA-B": 0.0,
     "LOSS-T": 0.5, "LOSS-D": 0.25, "ENT": 0.5, "MAN": 0.25, "DUNG": 1.5, "DUNG-I": 0.5,
     "BOD": 2.0, "FERT": 0.75, "FERT-I": 0.125, "M-N": 0.375, "M-R": 0.625,
-    "ELEC": 0.5, "GAS": 0.25, "DIESEL": 1.0, "ELEC-T": 0.125, "GAS-D": 0.25, "GAS-L": 0.375,
+    "ELEC": 0.5, "GAS": 0.25, "DIESEL": 1.0, "ELEC-T": 0.5, "GAS-D": 0.25, "GAS-L": 0.75,
     "UNUSED": 9.5,
 }
 METER_YEAR = 2024
@@ -66,9 +66,9 @@ LOSS_ROWS = (
     [("ECONOMY", "transmission", 0.0625, y) for y in FACTOR_YEARS]
     + [("ECONOMY", "distribution", 0.03125, y) for y in FACTOR_YEARS]
     + [("LARGE", "transmission", 0.125, y) for y in FACTOR_YEARS if y != 1998]
-    + [("electricity", "transmission", 0.0625, METER_YEAR),
-       ("natural_gas", "distribution", 0.125, METER_YEAR),
-       ("natural_gas", "leak", 0.03125, METER_YEAR)]
+    + [("electricity", "transmission", 0.5, METER_YEAR),
+       ("natural_gas", "distribution", 0.25, METER_YEAR),
+       ("natural_gas", "leak", 0.5, METER_YEAR)]
 )
 LOSS_SCHEMA = "fuel_type string, type string, loss_factor double, input_year int"
 LOSS_LABELS = {"ECONOMY": {"gpc_ref": "L.2.3", "scope": 3}, "LARGE": {"gpc_ref": "L.8.1", "scope": 1}}
@@ -118,5 +118,9 @@ DEPARTMENT_RULES = [("o_orderstatus", ["P"], "pending_desk"),
 SECTOR_OF_FLAG = {"A": "stationary_energy", "N": "transportation", "R": "waste"}
 ORDERS_SECTOR = "agriculture_forestry_other_land_use"
 
-# Transit model constants expressed once for both engines (q18).
+# Scale of DECIMAL accumulation for sums of non-dyadic doubles (q18, q22).
 DECIMAL_SCALE = 6
+# Meter readings carry 2 decimals; /1000 and the meter factors and loss
+# factors above (at most 2 decimals each) keep every emission value within
+# 7 decimals, so accumulating at scale 8 never meets a rounding tie.
+METER_DECIMAL_SCALE = 8

@@ -415,10 +415,10 @@ FROM y""",
         *METER_CTES,
         f"""f AS (
   SELECT strftime(usage_end, '%Y-%m-%d') AS day, account_fuel,
-         {_na_sum('total_mtco2e', scale=B.DECIMAL_SCALE)} AS total_emissions
+         {_na_sum('total_mtco2e', scale=B.METER_DECIMAL_SCALE)} AS total_emissions
   FROM meter WHERE total_mtco2e IS NOT NULL GROUP BY 1, 2)""",
         f"""p AS (
-  SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)', scale=B.DECIMAL_SCALE)}, 0)
+  SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)', scale=B.METER_DECIMAL_SCALE)}, 0)
             * 100.0 AS percentage FROM f)""",
     ) + """
 SELECT day, account_fuel, total_emissions, percentage,
