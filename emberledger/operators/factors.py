@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberledger.functions.semantics import concat_na
-from emberledger.operators.relational import lookup_join, when_map
+from emberledger.operators.relational import carry_bound, lookup_join, when_map
 
 KEEP = "keep"
 DROP = "drop"
@@ -32,7 +32,9 @@ def recode_activity(
     A left join: records whose name is not in the map are kept with a null
     activity.  A null name matches a null map entry (dplyr semantics).
     """
-    lookup = activity_map.select(F.col(raw).alias("__raw"), F.col(recoded).alias("__recoded"))
+    lookup = carry_bound(
+        activity_map, activity_map.select(F.col(raw).alias("__raw"), F.col(recoded).alias("__recoded"))
+    )
     out = lookup_join(records, lookup, {column: "__raw"}, "left", null_safe=True)
     return out.withColumn(column, F.col("__recoded")).drop("__recoded")
 
@@ -51,9 +53,9 @@ def resolve_factors(
     shared by every sector.  A key whose factor id is unknown (or null,
     without a null id in ``factors``) gets a null value.
     """
-    ids = factors.select(F.col(factor_id).alias("__fid"), F.col(value))
+    ids = carry_bound(factors, factors.select(F.col(factor_id).alias("__fid"), F.col(value)))
     out = lookup_join(key, ids, {factor_id: "__fid"}, "left", null_safe=True)
-    return out.select(activity, year, value)
+    return carry_bound(out, out.select(activity, year, value))
 
 
 def apply_factors(
@@ -73,7 +75,7 @@ def apply_factors(
     its keys, or matched records are multiplied.
     """
     pairs = dict(on) if isinstance(on, Mapping) else {k: k for k in on}
-    lookup = factors.select(*[F.col(d) for d in pairs.values()], F.col(value))
+    lookup = carry_bound(factors, factors.select(*[F.col(d) for d in pairs.values()], F.col(value)))
     joined = lookup_join(records, lookup, pairs, "left", null_safe=True)
     joined = joined.withColumn(out, F.col(amount) * F.col(value))
     if policy == DROP:
@@ -101,7 +103,7 @@ def derive_losses(
     ``labels`` maps a fuel to replacement column values (e.g. ``gpc_ref``,
     ``scope``); fuels without a label get nulls there (N5).
     """
-    loss = loss_factors.select("fuel_type", "type", "loss_factor", "input_year")
+    loss = carry_bound(loss_factors, loss_factors.select("fuel_type", "type", "loss_factor", "input_year"))
     joined = lookup_join(
         records, loss, {fuel: "fuel_type", year: "input_year"}, "inner"
     )

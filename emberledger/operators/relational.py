@@ -37,20 +37,40 @@ def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
     return df
 
 
+_probed: dict[int, list[tuple[DataFrame, int]]] = {}
+
+
 def row_bound(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
     The probe reads at most ``max_rows + 1`` rows per partition and no
-    columns, so it stays cheap on a huge table; its answer is cached on the
-    DataFrame so a shared lookup is probed once.
+    columns, so it stays cheap on a huge table.  Answers are remembered per
+    DataFrame and per semantically equal plan (a re-read of the same table
+    with the same projection), so a shared lookup is probed once.
     """
     known = _known_rows.get(df)
+    if known is None:
+        h = df.semanticHash()
+        for other, rows in _probed.get(h, []):
+            if df.sameSemantics(other):
+                known = rows
+                break
     if known is None:
         known = df.select().limit(max_rows + 1).count()
-        _known_rows[df] = known
+        _probed.setdefault(h, []).append((df, known))
+    _known_rows[df] = known
     return known if known <= max_rows else None
 
 
+def carry_bound(src: DataFrame, derived: DataFrame, factor: int = 1) -> DataFrame:
+    """``derived`` has at most ``factor`` times the rows of ``src`` (e.g. a
+    projection or filter of it); keep a known bound of ``src``."""
+    rows = _known_rows.get(src)
+    if rows is not None:
+        _known_rows[derived] = rows * factor
+    return derived
+
+
 def dimension(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Hint ``df`` for broadcast when its size is proven small, else not."""
     limit = max_rows if max_rows is not None else broadcast_max_rows(df)
@@ -86,8 +106,12 @@ def lookup_join(
         cond.append(lc.eqNullSafe(rc) if null_safe else lc == rc)
     out = facts.join(right, cond, how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
-        return out
-    return out.drop(*tmp.values())
+        return carry_bound(facts, out)
+    out = out.drop(*tmp.values())
+    dim_rows = _known_rows.get(dim)
+    if dim_rows is not None:
+        carry_bound(facts, out, max(dim_rows, 1))  # each fact row meets <= dim_rows rows
+    return out
 
 
 def fan_out(df: DataFrame, column: str, suffixes: Sequence[str]) -> DataFrame:

@@ -196,7 +196,15 @@ def _shares(df: DataFrame, keys: list[str], within: list[str], name: str) -> Dat
 
 
 def allocation_inputs(spark, root) -> dict[str, DataFrame]:
-    a = act(spark, root).select("activity", "entity", "supercategory", "input_year", "amount")
+    """Composition tables for the allocation queries.
+
+    The records are aggregated once to (year, entity, type, flag) -- a
+    partial aggregate, so a hot key is combined map-side -- and every
+    composition is derived from that small aggregate.
+    """
+    a = act(spark, root).groupBy("input_year", "entity", "activity", "supercategory").agg(
+        F.sum("amount").alias("amount")
+    )
     ye = ["input_year", "entity"]
     total = _shares(a, ye + ["activity"], ye, "total_waste_pct")
     recycling = _shares(a.where(F.col("supercategory") == "R"), ye + ["activity"], ye, "total_recycling_pct")
