@@ -19,16 +19,44 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Session conf naming the largest lookup (in rows) that may be broadcast.
+# Session confs bounding what a lookup join may broadcast: rows, and bytes
+# estimated from the schema (strings counted at STRING_BYTES on average).
 MAX_ROWS_CONF = "emberledger.broadcast.maxRows"
-DEFAULT_MAX_ROWS = 2_000_000
+MAX_BYTES_CONF = "emberledger.broadcast.maxBytes"
+DEFAULT_MAX_ROWS = 1_000_000
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+STRING_BYTES = 32
 
 _known_rows: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Estimated in-memory bytes of one row of ``schema``."""
+    size = 8
+    for f in schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size += 8 + STRING_BYTES
+        elif isinstance(t, (T.IntegerType, T.DateType, T.FloatType)):
+            size += 4
+        elif isinstance(t, (T.BooleanType, T.ByteType, T.ShortType)):
+            size += 2
+        elif isinstance(t, T.DecimalType) and t.precision > 18:
+            size += 16
+        else:
+            size += 8
+    return size
+
+
 def broadcast_max_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    """Largest row count of ``df`` that may be broadcast: the row limit, or
+    fewer when the schema's estimated width would pass the byte limit."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    max_bytes = int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
+    return max(0, min(rows, max_bytes // row_bytes(df.schema)))
 
 
 def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -41,12 +69,14 @@ _probed: dict[int, list[tuple[DataFrame, int]]] = {}
 
 
 def row_bound(df: DataFrame, max_rows: int) -> int | None:
-    """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
-
-    The probe reads at most ``max_rows + 1`` rows per partition and no
-    columns, so it stays cheap on a huge table.  Answers are remembered per
-    DataFrame and per semantically equal plan (a re-read of the same table
-    with the same projection), so a shared lookup is probed once.
+    """A proven upper bound on the rows of ``df`` if it is at most
+    ``max_rows``, else ``None``.
+
+    The probe asks whether a row exists past offset ``max_rows``; Spark
+    answers it by scanning partitions incrementally (a ``take``), so the
+    work is bounded by ``max_rows`` rows no matter how large ``df`` is, and
+    no column is read.  Answers are remembered per DataFrame and per
+    semantically equal plan, so a shared lookup is probed once.
     """
     known = _known_rows.get(df)
     if known is None:
@@ -56,7 +86,9 @@ def row_bound(df: DataFrame, max_rows: int) -> int | None:
                 known = rows
                 break
     if known is None:
-        known = df.select().limit(max_rows + 1).count()
+        small = df.select().offset(max_rows).isEmpty()
+        # unbounded is recorded as max_rows + 1: "more than max_rows"
+        known = max_rows if small else max_rows + 1
         _probed.setdefault(h, []).append((df, known))
     _known_rows[df] = known
     return known if known <= max_rows else None

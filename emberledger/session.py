@@ -9,6 +9,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     """A session with adaptive execution on (runtime coalescing, skew-join
     splitting, sort-merge -> broadcast re-planning) and no UI server.
 
+    Static planning never broadcasts on file-size estimates
+    (``autoBroadcastJoinThreshold=-1``): a join side is broadcast either by
+    ``lookup_join`` after its size is proven, or by AQE once the shuffle
+    has measured the real size (``adaptive.autoBroadcastJoinThreshold``).
+
     ``spark.checkpoint.dir`` is read from the cluster's configuration and
     only defaulted when unset (local tests).
     """
@@ -20,6 +25,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if shuffle_partitions:
