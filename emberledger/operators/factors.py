@@ -127,7 +127,7 @@ def loss_coverage_gaps(
 ) -> DataFrame:
     """Records of a fuel that has loss factors in some year but not in the
     record's year -- the rows ``derive_losses`` silently drops."""
-    fuels = loss_factors.select(F.col("fuel_type").alias("__f")).distinct()
-    years = loss_factors.select(F.col("fuel_type"), F.col("input_year")).distinct()
+    fuels = carry_bound(loss_factors, loss_factors.select(F.col("fuel_type").alias("__f")).distinct())
+    years = carry_bound(loss_factors, loss_factors.select("fuel_type", "input_year").distinct())
     lossy = lookup_join(records, fuels, {fuel: "__f"}, "left_semi")
     return lookup_join(lossy, years, {fuel: "fuel_type", year: "input_year"}, "left_anti")

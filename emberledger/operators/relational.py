@@ -193,6 +193,12 @@ def crossing(spark, schema: str, **domains: Sequence) -> DataFrame:
     from emberledger.sources.io import literal_table  # local: avoid cycle
 
     axes = [sorted(set(v)) for v in domains.values()]
+    size = 1
+    for a in axes:
+        size *= len(a)
+    conf = spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS))
+    if size > int(conf):
+        raise ValueError(f"crossing of {size} rows exceeds {MAX_ROWS_CONF}={conf}")
     return literal_table(spark, list(itertools.product(*axes)), schema)
 
 

@@ -171,6 +171,16 @@ def q09_losses(spark, root):
     return _emission_totals(led, ["activity", "input_year", "gpc_ref", "scope"])
 
 
+def q09_loss_gaps(spark, root):
+    """Records of a fuel with loss factors, in a year without them: the
+    rows the inner loss join drops (semi join, then anti join)."""
+    a = act(spark, root).select("activity", "input_year", "amount")
+    gaps = factors.loss_coverage_gaps(a, loss_table(spark))
+    return gaps.groupBy("activity", "input_year").agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("amount").alias("total_amount")
+    )
+
+
 def q10_null_safe(spark, root):
     a = act(spark, root).select(F.expr("nullif(activity, 'SMALL')").alias("activity"), "amount")
     m = literal_table(spark, B.RECODE_NULL_ROWS, B.RECODE_SCHEMA)
@@ -454,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "q07_recode": q07_recode,
     "q08_emissions": q08_emissions,
     "q09_losses": q09_losses,
+    "q09_loss_gaps": q09_loss_gaps,
     "q10_null_safe": q10_null_safe,
     "q11_na_totals": q11_na_totals,
     "q12_allocation_matrix": q12_allocation_matrix,

@@ -241,6 +241,13 @@ GROUP BY a.activity, a.input_year""",
         "SELECT s.activity, s.input_year, s.gpc_ref, s.scope",
         "SELECT s.activity AS activity, s.input_year AS input_year, s.gpc_ref AS gpc_ref, s.scope AS scope"),
 
+    "q09_loss_gaps": _with() + """
+SELECT a.activity, a.input_year, count(*) AS n_records, sum(a.amount) AS total_amount
+FROM act a
+WHERE a.activity IN (SELECT fuel_type FROM loss)
+  AND NOT EXISTS (SELECT 1 FROM loss l WHERE l.fuel_type = a.activity AND l.input_year = a.input_year)
+GROUP BY a.activity, a.input_year""",
+
     "q10_null_safe": _with() + f"""
 SELECT m.activity_recoded AS activity, count(*) AS n_records, sum(a.amount) AS total_amount
 FROM (SELECT nullif(activity, 'SMALL') AS activity, amount FROM act) a

@@ -11,7 +11,6 @@ import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberledger.functions.semantics import NA_TOKEN
@@ -103,7 +102,6 @@ def literal_table(
     """A small literal table (S3), e.g. a mapping or a value domain.
 
     Its size is the length of ``rows``, known here, so it is marked as a
-    bounded dimension and joins broadcast it without a size probe.
+    bounded dimension: ``lookup_join`` broadcasts it without a size probe.
     """
-    df = spark.createDataFrame(list(rows), schema)
-    return mark_bounded(F.broadcast(df), len(rows))
+    return mark_bounded(spark.createDataFrame(list(rows), schema), len(rows))
