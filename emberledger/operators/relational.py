@@ -65,7 +65,9 @@ def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
     return df
 
 
-_probed: dict[int, list[tuple[DataFrame, int]]] = {}
+# Probe results per plan hash: (plan, limit, fits) -- "fits" means the plan
+# has at most ``limit`` rows, otherwise it has more.
+_probed: dict[int, list[tuple[DataFrame, int, bool]]] = {}
 
 
 def row_bound(df: DataFrame, max_rows: int) -> int | None:
@@ -76,22 +78,26 @@ def row_bound(df: DataFrame, max_rows: int) -> int | None:
     answers it by scanning partitions incrementally (a ``take``), so the
     work is bounded by ``max_rows`` rows no matter how large ``df`` is, and
     no column is read.  Answers are remembered per DataFrame and per
-    semantically equal plan, so a shared lookup is probed once.
+    semantically equal plan, so a shared lookup is probed once per limit.
     """
     known = _known_rows.get(df)
-    if known is None:
-        h = df.semanticHash()
-        for other, rows in _probed.get(h, []):
-            if df.sameSemantics(other):
-                known = rows
-                break
-    if known is None:
-        small = df.select().offset(max_rows).isEmpty()
-        # unbounded is recorded as max_rows + 1: "more than max_rows"
-        known = max_rows if small else max_rows + 1
-        _probed.setdefault(h, []).append((df, known))
-    _known_rows[df] = known
-    return known if known <= max_rows else None
+    if known is not None and known <= max_rows:
+        return known
+    h = df.semanticHash()
+    for other, limit, fits in _probed.get(h, []):
+        if not df.sameSemantics(other):
+            continue
+        if fits and limit <= max_rows:
+            _known_rows[df] = limit
+            return limit
+        if not fits and limit >= max_rows:
+            return None
+    fits = df.select().offset(max_rows).isEmpty()
+    _probed.setdefault(h, []).append((df, max_rows, fits))
+    if fits:
+        _known_rows[df] = max_rows if known is None else min(known, max_rows)
+        return _known_rows[df]
+    return None
 
 
 def carry_bound(src: DataFrame, derived: DataFrame, factor: int = 1) -> DataFrame:

@@ -56,3 +56,29 @@ def test_reports_window_only_over_aggregates(spark):
         # every window sits above an aggregate of the facts
         before_window = p.split("Window")[1]
         assert "HashAggregate" in before_window
+
+
+def test_probe_cache_respects_limits(spark):
+    big = spark.range(5000).selectExpr("id AS k")
+    assert R.row_bound(big, 100) is None          # more than 100 rows
+    assert R.row_bound(big, 10_000) == 10_000     # re-probed with the larger limit
+    again = spark.range(5000).selectExpr("id AS k")  # same plan, new object
+    assert R.row_bound(again, 50) is None
+    assert R.row_bound(again, 20_000) == 10_000
+
+
+def test_results_equal_without_any_broadcast(spark):
+    """The sort-merge path beyond the broadcast bound gives the same rows."""
+    names = ["q08_emissions", "q09_losses", "q12_allocation_matrix", "q24_inventory"]
+    base = {n: sorted(map(tuple, QUERIES[n](spark, SF).collect()), key=repr) for n in names}
+    spark.conf.set(R.MAX_ROWS_CONF, "0")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in names:
+            df = QUERIES[n](spark, SF)
+            p = plan(df)
+            assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p, n
+            assert sorted(map(tuple, df.collect()), key=repr) == base[n], n
+    finally:
+        spark.conf.unset(R.MAX_ROWS_CONF)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
