@@ -278,13 +278,18 @@ def q15_fan_out(spark, root):
 
 
 def q16_downscale(spark, root):
-    o = read_table(spark, root, "orders").select("o_custkey", "o_orderdate")
+    # Orders are counted per (customer, year) before meeting the customer
+    # and nation dimensions: the join input shrinks to one row per
+    # customer-year, and the final count is a sum of partial counts.
+    o = read_table(spark, root, "orders").groupBy(
+        "o_custkey", F.year("o_orderdate").cast("int").alias("input_year")
+    ).agg(F.count(F.lit(1)).alias("n_orders"))
     c = read_table(spark, root, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
     oc = lookup_join(o, c, {"o_custkey": "c_custkey"}, "inner")
     ocn = lookup_join(oc, n, {"c_nationkey": "n_nationkey"}, "inner")
-    counts = ocn.groupBy(F.year("o_orderdate").cast("int").alias("input_year"), "n_name").agg(
-        F.count(F.lit(1)).cast("double").alias("headcount")
+    counts = ocn.groupBy("input_year", "n_name").agg(
+        F.sum("n_orders").cast("double").alias("headcount")
     )
     a = act(spark, root).select("entity", "input_year", "amount")
     scaling = a.groupBy("input_year").agg(
