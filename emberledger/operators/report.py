@@ -119,12 +119,13 @@ def fuel_mix(
     out: str = "total_emissions",
     sum_scale: int | None = None,
 ) -> DataFrame:
-    """Emissions per (period, fuel), share of the period, and a tooltip
-    label where nulls print as ``NA`` (D23)."""
+    """Emissions per (period, fuel), share of the period on a 0-1 scale
+    (the normalization of a 100 %-stacked bar, W4) and in percent, and a
+    tooltip label where nulls print as ``NA`` (D23)."""
     fuels = meter_ledger.groupBy(period, fuel).agg(na_sum(value, scale=sum_scale).alias(out))
     period_total = na_sum(out, over=whole_partition(period), scale=sum_scale)
-    share = safe_div(F.col(out), period_total) * F.lit(100.0)
-    fuels = fuels.withColumn("percentage", share)
+    fuels = fuels.withColumn("share", safe_div(F.col(out), period_total))  # 0-1, stacked bars
+    fuels = fuels.withColumn("percentage", F.col("share") * F.lit(100.0))
     return fuels.withColumn(
         "tooltip_text",
         F.concat(

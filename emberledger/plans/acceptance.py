@@ -22,7 +22,7 @@ from emberledger.functions.semantics import (
 )
 from emberledger.operators import allocation, factors, inventory, meters, models, records, report
 from emberledger.operators.factors import DROP, KEEP
-from emberledger.operators.relational import bind, lookup_join, when_groups, when_map
+from emberledger.operators.relational import bind, column_range, lookup_join, when_groups, when_map
 from emberledger.plans import bindings as B
 from emberledger.sources.io import literal_table, read_csv_table, read_table, scratch_dir, write_table
 
@@ -260,7 +260,8 @@ def wide_totals(spark, root) -> DataFrame:
 
 def q13_entity_totals(spark, root):
     w = wide_totals(spark, root)
-    return allocation.entity_totals(w, ["input_year"], [f"{s}_tonnes" for s in B.WIDE_SEGMENTS])
+    first, last = f"{B.WIDE_SEGMENTS[0]}_tonnes", f"{B.WIDE_SEGMENTS[-1]}_tonnes"
+    return allocation.entity_totals(w, ["input_year"], column_range(w, first, last))
 
 
 def q14_residual(spark, root):
@@ -455,7 +456,7 @@ def q28_sector_share(spark, root):
 
 def q29_fuel_mix(spark, root):
     led = meter_ledger(spark, root).where(F.col("total_mtco2e").isNotNull())
-    led = led.withColumn("day", F.date_format("usage_end", "yyyy-MM-dd"))
+    led = led.withColumn("day", F.to_date("usage_end").cast("string"))
     return report.fuel_mix(led, period="day", sum_scale=B.METER_DECIMAL_SCALE)
 
 

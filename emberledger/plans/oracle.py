@@ -421,15 +421,15 @@ FROM y""",
     "q29_fuel_mix": _with(
         *METER_CTES,
         f"""f AS (
-  SELECT strftime(usage_end, '%Y-%m-%d') AS day, account_fuel,
+  SELECT CAST(CAST(usage_end AS DATE) AS VARCHAR) AS day, account_fuel,
          {_na_sum('total_mtco2e', scale=B.METER_DECIMAL_SCALE)} AS total_emissions
   FROM meter WHERE total_mtco2e IS NOT NULL GROUP BY 1, 2)""",
         f"""p AS (
   SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)', scale=B.METER_DECIMAL_SCALE)}, 0)
-            * 100.0 AS percentage FROM f)""",
+            AS share FROM f)""",
     ) + """
-SELECT day, account_fuel, total_emissions, percentage,
+SELECT day, account_fuel, total_emissions, share, share * 100.0 AS percentage,
   'Fuel: ' || coalesce(account_fuel, 'NA') || chr(10) || 'Share: ' ||
-  CASE WHEN percentage IS NULL THEN 'NA' ELSE printf('%.1f', percentage) END || '%' AS tooltip_text
+  CASE WHEN share IS NULL THEN 'NA' ELSE printf('%.1f', share * 100.0) END || '%' AS tooltip_text
 FROM p""",
 }
