@@ -21,7 +21,7 @@ from emberledger.functions.semantics import (
     to_int,
 )
 from emberledger.operators import allocation, factors, inventory, meters, models, records, report
-from emberledger.operators.factors import DROP, KEEP
+from emberledger.operators.factors import KEEP
 from emberledger.operators.relational import bind, column_range, lookup_join, when_groups, when_map
 from emberledger.plans import bindings as B
 from emberledger.sources.io import literal_table, read_csv_table, read_table, scratch_dir, write_table
