@@ -38,13 +38,13 @@ def act(spark: SparkSession, root: str) -> DataFrame:
     the bound and the joins become sort-merge joins on their keys, with AQE
     splitting skewed partitions.
     """
-    li = read_table(spark, root, "lineitem").select(
+    li = read_table(spark, root, "lineitem", reuse=True).select(
         "l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_linenumber",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey")
-    c = read_table(spark, root, "customer").select("c_custkey", "c_mktsegment")
-    p = read_table(spark, root, "part").select("p_partkey", "p_type")
+    o = read_table(spark, root, "orders", reuse=True).select("o_orderkey", "o_custkey")
+    c = read_table(spark, root, "customer", reuse=True).select("c_custkey", "c_mktsegment")
+    p = read_table(spark, root, "part", reuse=True).select("p_partkey", "p_type")
     f = lookup_join(li, o, {"l_orderkey": "o_orderkey"}, "inner")
     f = lookup_join(f, c, {"o_custkey": "c_custkey"}, "inner")
     f = lookup_join(f, p, {"l_partkey": "p_partkey"}, "inner")
@@ -91,8 +91,8 @@ def q01_resolve_factors(spark, root):
 
 
 def q02_csv_roundtrip(spark, root):
-    nation = read_table(spark, root, "nation")
-    region = read_table(spark, root, "region")
+    nation = read_table(spark, root, "nation", reuse=True)
+    region = read_table(spark, root, "region", reuse=True)
     nr = lookup_join(nation, region, {"n_regionkey": "r_regionkey"}, "inner").select(
         "n_nationkey", "n_name", "n_regionkey", F.expr("nullif(r_name, 'ASIA')").alias("r_name")
     )
@@ -105,8 +105,8 @@ def q02_csv_roundtrip(spark, root):
 
 
 def q03_literal_domain(spark, root):
-    nation = read_table(spark, root, "nation")
-    region = read_table(spark, root, "region")
+    nation = read_table(spark, root, "nation", reuse=True)
+    region = read_table(spark, root, "region", reuse=True)
     counts = lookup_join(nation, region, {"n_regionkey": "r_regionkey"}, "inner").groupBy(
         "r_name"
     ).agg(F.count(F.lit(1)).alias("n_nations"))
@@ -115,7 +115,7 @@ def q03_literal_domain(spark, root):
 
 
 def q04_projection(spark, root):
-    o = read_table(spark, root, "orders").select(
+    o = read_table(spark, root, "orders", reuse=True).select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     o = o.withColumnsRenamed({"o_custkey": "customer_key", "o_totalprice": "amount"})
@@ -123,7 +123,7 @@ def q04_projection(spark, root):
 
 
 def q05_household_model(spark, root):
-    part = read_table(spark, root, "part").select(
+    part = read_table(spark, root, "part", reuse=True).select(
         F.col("p_partkey").cast("int").alias("input_year"),
         F.col("p_size").cast("double").alias("total_households"),
         F.lit(0.25).alias("pct_using_heating_oil"),
@@ -133,7 +133,7 @@ def q05_household_model(spark, root):
 
 
 def q06_filters(spark, root):
-    li = read_table(spark, root, "lineitem")
+    li = read_table(spark, root, "lineitem", reuse=True)
     return li.where(
         (F.col("l_returnflag") == "R")
         & F.col("l_linestatus").isin("F", "O")
@@ -282,11 +282,11 @@ def q16_downscale(spark, root):
     # Orders are counted per (customer, year) before meeting the customer
     # and nation dimensions: the join input shrinks to one row per
     # customer-year, and the final count is a sum of partial counts.
-    o = read_table(spark, root, "orders").groupBy(
+    o = read_table(spark, root, "orders", reuse=True).groupBy(
         "o_custkey", F.year("o_orderdate").cast("int").alias("input_year")
     ).agg(F.count(F.lit(1)).alias("n_orders"))
-    c = read_table(spark, root, "customer").select("c_custkey", "c_nationkey")
-    n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
+    c = read_table(spark, root, "customer", reuse=True).select("c_custkey", "c_nationkey")
+    n = read_table(spark, root, "nation", reuse=True).select("n_nationkey", "n_name")
     oc = lookup_join(o, c, {"o_custkey": "c_custkey"}, "inner")
     ocn = lookup_join(oc, n, {"c_nationkey": "n_nationkey"}, "inner")
     counts = ocn.groupBy("input_year", "n_name").agg(
@@ -337,7 +337,7 @@ def q18_transit_model(spark, root):
 
 
 def q19_labels(spark, root):
-    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    o = read_table(spark, root, "orders", reuse=True).select("o_orderkey", "o_orderpriority", "o_orderstatus")
     o = o.withColumns(
         {
             "priority_label": when_groups("o_orderpriority", B.PRIORITY_GROUPS),
@@ -350,7 +350,7 @@ def q19_labels(spark, root):
 
 
 def q20_strings(spark, root):
-    p = read_table(spark, root, "part")
+    p = read_table(spark, root, "part", reuse=True)
     return p.select(
         "p_partkey",
         concat_na("p_type", F.when(F.col("p_size") > 25, F.col("p_name")), sep="_").alias("type_name"),
@@ -363,7 +363,7 @@ def q20_strings(spark, root):
 
 
 def meter_ledger(spark, root) -> DataFrame:
-    ev = read_table(spark, root, "events").select(
+    ev = read_table(spark, root, "events", reuse=True).select(
         "event_id",
         F.col("ts").alias("usage_end"),
         F.col("event_type").alias("account_fuel"),
@@ -413,7 +413,7 @@ def inventory_ledger(spark, root) -> DataFrame:
     )
     a = factors.apply_factors(a, f, KEEP)
     a = a.where(F.col("total_mtco2e").isNotNull() | (F.col("supercategory") != "stationary_energy"))
-    o = read_table(spark, root, "orders").select(
+    o = read_table(spark, root, "orders", reuse=True).select(
         F.lit(B.ORDERS_SECTOR).alias("supercategory"),
         F.lit("orders").alias("subcategory"),
         F.lit("V.9").alias("gpc_ref"),

@@ -8,6 +8,7 @@ shared folder a cluster names for this -- never a machine-local temp dir.
 from __future__ import annotations
 
 import uuid
+import weakref
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +19,42 @@ from emberledger.operators.relational import mark_bounded
 from emberledger.sources import schemas
 
 
+_shared: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def read_table(
     spark: SparkSession,
     root: str,
     name: str,
     schema: T.StructType | None = None,
     fmt: str = "parquet",
+    reuse: bool = False,
 ) -> DataFrame:
     """Load one named table ``<root>/<name>.<fmt>``.
 
     With a schema the reader does no inference and Parquet columns are
     matched by name, so column pruning and filter pushdown reach the scan.
+    With ``reuse`` the session hands out one DataFrame per table, so the
+    file listing and footer read happen once however many operators use
+    it (files added later are not seen by that DataFrame).
     """
     schema = schema if schema is not None else schemas.TABLES.get(name)
     path = f"{root.rstrip('/')}/{name}.{fmt}"
+    key = (path, fmt, schema.json() if schema is not None else None)
+    if reuse:
+        hit = _shared.setdefault(spark, {}).get(key)
+        if hit is not None:
+            return hit
     if fmt == "csv":
-        return read_csv_table(spark, path, schema)
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        df = read_csv_table(spark, path, schema)
+    else:
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.load(path)
+    if reuse:
+        _shared[spark][key] = df
+    return df
 
 
 def load_tables(
