@@ -131,3 +131,16 @@ def loss_coverage_gaps(
     years = carry_bound(loss_factors, loss_factors.select("fuel_type", "input_year").distinct())
     lossy = lookup_join(records, fuels, {fuel: "__f"}, "left_semi")
     return lookup_join(lossy, years, {fuel: "fuel_type", year: "input_year"}, "left_anti")
+
+
+def duplicate_keys(dim: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys that occur more than once in a lookup, with their count.
+
+    ``apply_factors`` multiplies records on such keys, so a non-empty result
+    means the lookup must be fixed first.  A grouped count with partial
+    aggregation, so it scales with the lookup.
+    """
+    return (
+        dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > 1)
+    )
