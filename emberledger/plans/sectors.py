@@ -130,9 +130,11 @@ def inventory(
     waste_named_parts: Sequence[str],
     waste_residual_entity: str,
     waste_years: Sequence[int] | None = K.WASTE_YEARS,
+    ef: DataFrame | None = None,
 ) -> DataFrame:
-    """The four sector ledgers under one schema with fiscal-year labels."""
-    ef = resolved_factors(t)
+    """The four sector ledgers under one schema with fiscal-year labels;
+    factors are resolved once and shared by all sectors."""
+    ef = ef if ef is not None else resolved_factors(t)
     return inv.assemble_inventory(
         stationary_ledger(t, ef),
         waste_ledger(t, waste_entities, waste_named_parts, waste_residual_entity, ef, waste_years),

@@ -179,3 +179,25 @@ def test_reports(spark):
     assert share[("FY 2025", "A")]["pct"] is None  # a null in the year propagates
     s16 = [r["pct"] for (fy, _), r in share.items() if fy == "FY 2016"]
     assert sum(s16) == pytest.approx(100.0)
+
+
+def test_full_run_writes_both_ledgers(spark, tables):
+    from emberledger.plans.run import run_inventory
+    from emberledger.sources.io import read_csv_table, scratch_dir
+
+    base = scratch_dir(spark, "run-test")
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/in/{name}.parquet")
+    export = spark.createDataFrame([
+        (dt.datetime(2020, 3, 1), "Electric", 5000.0, "kWh", "Parking", "Works")], S.METER_EXPORT)
+    export.write.parquet(f"{base}/export")
+    out = run_inventory(spark, f"{base}/in", f"{base}/out", ["town", "campus"], ["campus"], "town",
+                        meter_export=f"{base}/export", department_rules=[("facility", ["Parking"], "Parking")],
+                        waste_years=[2020], meter_years=[2020])
+    led = read_csv_table(spark, out["inventory"], S.LEDGER)
+    direct = sectors.inventory(tables, ["town", "campus"], ["campus"], "town", [2020])
+    cols = ["supercategory", "activity", "entity", "input_year", "amount", "total_mtco2e", "fiscal_year"]
+    assert rows(led, *cols) == rows(direct, *cols)
+    assert led.where("total_mtco2e IS NULL").count() > 0  # NA token read back as null
+    m = spark.read.option("header", True).csv(out["meters"])
+    assert m.count() == 2 and {r["department"] for r in m.collect()} == {"Parking"}
