@@ -272,8 +272,8 @@ SELECT input_year, (population * 2.0::DOUBLE * 365) / 2000.0::DOUBLE AS total_an
 FROM wide""",
 
     "q15_fan_out": _with(
-        "fan AS (SELECT activity || s.suffix AS activity, input_year, amount FROM act "
-        "CROSS JOIN (VALUES ('_enteric_fermentation'), ('_manure')) s(suffix))"
+        "fan AS (SELECT activity || '_enteric_fermentation' AS activity, input_year, amount FROM act "
+        "UNION ALL SELECT activity || '_manure' AS activity, input_year, amount FROM act)"
     ) + _totals("fan", "s.activity, s.input_year").replace(
         "SELECT s.activity, s.input_year", "SELECT s.activity AS activity, s.input_year AS input_year"),
 
@@ -308,8 +308,8 @@ FROM j LEFT JOIN resolved r ON r.activity = 'wastewater_bod' AND j.input_year IS
   sum(amount) / count(amount) AS rate FROM act GROUP BY input_year)""",
         """base AS (SELECT a.input_year, a.acreage * m.pct * m.rate * 0.4536::DOUBLE AS amount
   FROM area a LEFT JOIN means m ON a.input_year IS NOT DISTINCT FROM m.input_year)""",
-        """fan AS (SELECT 'fertilization' || s.suffix AS activity, input_year, amount FROM base
-  CROSS JOIN (VALUES (''), ('_indirect')) s(suffix))""",
+        """fan AS (SELECT 'fertilization_indirect' AS activity, input_year, amount FROM base
+  UNION ALL SELECT 'fertilization' AS activity, input_year, amount FROM base)""",
     ) + f"""
 SELECT {_labels_select({k: v for k, v in K.FERTILIZATION_LABELS.items() if k != 'activity'})},
        f.activity, f.amount, f.input_year, r.total_co2e_ef, f.amount * r.total_co2e_ef AS total_mtco2e
@@ -375,8 +375,8 @@ FROM lab l LEFT JOIN resolved r ON l.disposal_method IS NOT DISTINCT FROM r.acti
     {_na_sum('amount')} AS amount
   FROM act WHERE activity IN {_in(B.DUNG_GROUPS['big_dung'] + B.DUNG_GROUPS['other_dung'])}
   GROUP BY 1, 2)""",
-        """fan AS (SELECT g.input_year, g.activity || s.suffix AS activity, g.amount FROM g
-  CROSS JOIN (VALUES (''), ('_indirect')) s(suffix))""",
+        """fan AS (SELECT input_year, activity || '_indirect' AS activity, amount FROM g
+  UNION ALL SELECT input_year, activity, amount FROM g)""",
     ) + f"""
 SELECT f.input_year, f.activity, f.amount, r.total_co2e_ef, f.amount * r.total_co2e_ef AS total_mtco2e
 FROM fan f LEFT JOIN resolved r ON {MATCH.format(a='f')}""",
