@@ -433,3 +433,6 @@ SELECT day, account_fuel, total_emissions, share, share * 100.0 AS percentage,
   CASE WHEN share IS NULL THEN 'NA' ELSE printf('%.1f', share * 100.0) END || '%' AS tooltip_text
 FROM p""",
 }
+
+# The streaming form of q21 must give exactly the batch rows.
+SQL["q21_meter_stream"] = SQL["q21_meter_emissions"]

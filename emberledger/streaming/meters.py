@@ -11,10 +11,12 @@ lost executor or driver.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from emberledger.functions.semantics import NA_TOKEN
 from emberledger.operators import meters, records
@@ -24,14 +26,24 @@ from emberledger.sources.schemas import METER_EXPORT
 
 
 def read_meter_stream(
-    spark: SparkSession, path: str, fmt: str = "csv", max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    max_files_per_trigger: int | None = None,
+    schema: StructType = METER_EXPORT,
 ) -> DataFrame:
-    """Stream of landed meter exports with the fixed export schema."""
-    reader = spark.readStream.schema(METER_EXPORT).format(fmt)
+    """Stream of landed files with a fixed schema (the meter export's by
+    default).  ``path`` is a directory that receives files; a single local
+    file is streamed through its directory with a name filter."""
+    reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", NA_TOKEN)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    local = path.removeprefix("file:")
+    if "://" not in local and os.path.isfile(local):
+        reader = reader.option("pathGlobFilter", os.path.basename(local))
+        path = os.path.dirname(local)
     return reader.load(path)
 
 
