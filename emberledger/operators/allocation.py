@@ -77,7 +77,9 @@ def allocation_matrix(
         (F.col("__type_pct") * F.col("disposal_method_pct")).alias("percentage"),
     ).where(F.col("percentage").isNotNull())
     if supplied is not None:
-        grid = bind(grid, supplied.select(*GRID_COLUMNS))
+        # union by name: a column the supplied table lacks is null
+        have = set(supplied.columns)
+        grid = bind(grid, supplied.select(*[c for c in GRID_COLUMNS if c in have]))
     return grid.where(F.col("percentage") > 0)
 
 
