@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def get_session(
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    initial_partitions: int | None = None,
+    advisory_partition_bytes: str | None = None,
+) -> SparkSession:
     """A session with adaptive execution on (runtime coalescing, skew-join
     splitting, sort-merge -> broadcast re-planning) and no UI server.
 
@@ -16,6 +21,11 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
     ``spark.checkpoint.dir`` is read from the cluster's configuration and
     only defaulted when unset (local tests).
+
+    On a large cluster pass ``initial_partitions`` (e.g. 20000 for ~100 TB
+    of facts) and ``advisory_partition_bytes`` (e.g. ``"256MB"``): the big
+    shuffles -- fact-to-fact joins and the first partial aggregates -- start
+    that wide and AQE coalesces the small post-aggregation stages back down.
     """
     b = SparkSession.builder.appName("emberledger")
     if master:
@@ -31,6 +41,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if initial_partitions:
+        b = b.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
+    if advisory_partition_bytes:
+        b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
     spark = b.getOrCreate()
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir("file:/tmp/emberledger-checkpoints")
