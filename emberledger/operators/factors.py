@@ -119,6 +119,49 @@ def derive_losses(
     return out
 
 
+def with_losses(
+    records: DataFrame,
+    loss_factors: DataFrame,
+    labels: Mapping[str, Mapping[str, object]] | None = None,
+    fuel: str = "activity",
+    year: str = "input_year",
+    amount: str = "amount",
+) -> DataFrame:
+    """Every record plus its loss records (D4 and the union that follows
+    it), in one pass over ``records``.
+
+    Loss types are gathered per (fuel, year) into a small lookup (bounded
+    by the loss table) and broadcast-joined; each record then explodes into
+    itself and one row per loss type.  Same rows as ``bind(records,
+    derive_losses(records, ...))`` without reading the records twice.
+    Columns replaced by ``labels`` keep their value on direct rows; a
+    labelled column the records lack is null there.
+    """
+    per_key = carry_bound(
+        loss_factors,
+        loss_factors.groupBy(F.col("fuel_type"), F.col("input_year")).agg(
+            F.collect_list(F.struct(F.lit(True).alias("is_loss"), "type", "loss_factor")).alias("__losses")
+        ),
+    )
+    joined = lookup_join(records, per_key, {fuel: "fuel_type", year: "input_year"}, "left")
+    direct = F.array(F.struct(
+        F.lit(False).alias("is_loss"), F.lit(None).cast("string").alias("type"),
+        F.lit(None).cast("double").alias("loss_factor"),
+    ))
+    rows = F.when(F.col("__losses").isNull(), direct).otherwise(F.concat(direct, F.col("__losses")))
+    out = joined.withColumn("__l", F.explode(rows)).drop("__losses")
+    is_loss = F.col("__l.is_loss")
+    replaced: dict[str, object] = {
+        amount: F.when(is_loss, F.col(amount) * F.col("__l.loss_factor")).otherwise(F.col(amount)),
+        fuel: F.when(is_loss, concat_na(F.col(fuel), F.col("__l.type"), sep="_")).otherwise(F.col(fuel)),
+    }
+    for column in sorted({c for v in (labels or {}).values() for c in v}):
+        label = when_map(fuel, {f: v.get(column) for f, v in labels.items()})
+        keep = F.col(column) if column in records.columns else F.lit(None)
+        replaced[column] = F.when(is_loss, label).otherwise(keep)
+    return out.withColumns(replaced).drop("__l")
+
+
 def loss_coverage_gaps(
     records: DataFrame,
     loss_factors: DataFrame,

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberledger import constants as K
-from emberledger.operators.factors import KEEP, apply_factors, derive_losses
-from emberledger.operators.relational import bind, when_map
+from emberledger.operators.factors import KEEP, apply_factors, with_losses
+from emberledger.operators.relational import when_map
 
 FACTOR_KEYS = {"activity": "activity", "year": "input_year"}
 
@@ -68,9 +68,8 @@ def meter_emissions(
 
     Unmatched factors stay null.  Loss readings keep every account column,
     with ``use`` scaled by the loss factor and activity ``<fuel>_<type>``.
-    Both branches read ``readings`` once each and broadcast only lookups.
+    The readings are read once: each reading explodes into itself and its
+    loss readings, then one broadcast join applies the factors.
     """
-    direct = apply_factors(readings, factors, KEEP, amount=use, on=FACTOR_KEYS)
-    losses = derive_losses(readings, loss_factors, fuel="activity", year="year", amount=use)
-    losses = apply_factors(losses, factors, KEEP, amount=use, on=FACTOR_KEYS)
-    return bind(direct, losses)
+    both = with_losses(readings, loss_factors, fuel="activity", year="year", amount=use)
+    return apply_factors(both, factors, KEEP, amount=use, on=FACTOR_KEYS)

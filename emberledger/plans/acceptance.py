@@ -24,7 +24,14 @@ from emberledger.operators import allocation, factors, inventory, meters, models
 from emberledger.operators.factors import KEEP
 from emberledger.operators.relational import bind, column_range, lookup_join, when_groups, when_map
 from emberledger.plans import bindings as B
-from emberledger.sources.io import literal_table, read_csv_table, read_table, scratch_dir, write_table
+from emberledger.sources.io import (
+    literal_table,
+    materialize,
+    read_csv_table,
+    read_table,
+    scratch_dir,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,9 +172,8 @@ def q08_emissions(spark, root):
 
 def q09_losses(spark, root):
     a = act(spark, root).select("activity", "input_year", "amount")
-    f = resolved(spark)
-    losses = factors.derive_losses(a, loss_table(spark), B.LOSS_LABELS)
-    led = bind(factors.apply_factors(a, f, KEEP), factors.apply_factors(losses, f, KEEP))
+    led = factors.with_losses(a, loss_table(spark), B.LOSS_LABELS)
+    led = factors.apply_factors(led, resolved(spark), KEEP)
     return _emission_totals(led, ["activity", "input_year", "gpc_ref", "scope"])
 
 
@@ -206,16 +212,25 @@ def _shares(df: DataFrame, keys: list[str], within: list[str], name: str) -> Dat
     )
 
 
-def allocation_inputs(spark, root) -> dict[str, DataFrame]:
+def act_rollup(spark, root) -> DataFrame:
+    """Activity records summed per (year, entity, type, flag), with the
+    line count.  The one partial aggregate over the facts that the
+    allocation and per-year total queries share: both derive from this
+    small table, and its exchange is reused when both appear in one plan."""
+    return act(spark, root).groupBy("input_year", "entity", "activity", "supercategory").agg(
+        F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("n_lines")
+    )
+
+
+def allocation_inputs(spark, root, rollup: DataFrame | None = None) -> dict[str, DataFrame]:
     """Composition tables for the allocation queries.
 
     The records are aggregated once to (year, entity, type, flag) -- a
-    partial aggregate, so a hot key is combined map-side -- and every
-    composition is derived from that small aggregate.
+    partial aggregate, so a hot key is combined map-side -- and that small
+    table is materialized, so every composition derives from it without
+    another scan of the facts.
     """
-    a = act(spark, root).groupBy("input_year", "entity", "activity", "supercategory").agg(
-        F.sum("amount").alias("amount")
-    )
+    a = rollup if rollup is not None else materialize(act_rollup(spark, root))
     ye = ["input_year", "entity"]
     total = _shares(a, ye + ["activity"], ye, "total_waste_pct")
     recycling = _shares(a.where(F.col("supercategory") == "R"), ye + ["activity"], ye, "total_recycling_pct")
@@ -237,8 +252,8 @@ def allocation_inputs(spark, root) -> dict[str, DataFrame]:
             "method": method, "supplied": supplied}
 
 
-def q12_allocation_matrix(spark, root):
-    t = allocation_inputs(spark, root)
+def q12_allocation_matrix(spark, root, rollup: DataFrame | None = None):
+    t = allocation_inputs(spark, root, rollup)
     return allocation.allocation_matrix(
         t["method"],
         {"total": t["total"], "recycling": t["recycling"], "organic": t["organic"]},
@@ -247,19 +262,21 @@ def q12_allocation_matrix(spark, root):
     )
 
 
-def wide_totals(spark, root) -> DataFrame:
-    a = act(spark, root).select("entity", "input_year", "amount")
+def wide_totals(spark, root, rollup: DataFrame | None = None) -> DataFrame:
+    """Per-year segment totals as ``<segment>_tonnes`` columns (one
+    conditional sum per segment over the shared rollup)."""
+    a = rollup if rollup is not None else act_rollup(spark, root)
     cols = [F.sum(F.when(F.col("entity") == s, F.col("amount"))).alias(f"{s}_tonnes")
             for s in B.WIDE_SEGMENTS]
     late = F.sum(
         F.when((F.col("entity") == "MACHINERY") & (F.col("input_year") >= B.LATE_FROM_YEAR),
                F.col("amount"))
     ).alias("late_MACHINERY_tonnes")
-    return a.groupBy("input_year").agg(*cols, late, F.count(F.lit(1)).cast("double").alias("population"))
+    return a.groupBy("input_year").agg(*cols, late, F.sum("n_lines").cast("double").alias("population"))
 
 
-def q13_entity_totals(spark, root):
-    w = wide_totals(spark, root)
+def q13_entity_totals(spark, root, rollup: DataFrame | None = None):
+    w = wide_totals(spark, root, rollup)
     first, last = f"{B.WIDE_SEGMENTS[0]}_tonnes", f"{B.WIDE_SEGMENTS[-1]}_tonnes"
     return allocation.entity_totals(w, ["input_year"], column_range(w, first, last))
 
@@ -408,8 +425,9 @@ def q21_meter_stream(spark, root):
 
 
 def q22_allocate_and_emit(spark, root):
-    matrix = q12_allocation_matrix(spark, root)
-    totals = q13_entity_totals(spark, root)
+    rollup = materialize(act_rollup(spark, root))  # one scan of the facts for both inputs
+    matrix = q12_allocation_matrix(spark, root, rollup)
+    totals = q13_entity_totals(spark, root, rollup)
     return allocation.allocate_and_emit(
         matrix, totals, resolved(spark), method_labels=B.METHOD_LABELS, sum_scale=B.DECIMAL_SCALE
     )

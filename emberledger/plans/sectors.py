@@ -36,9 +36,9 @@ def stationary_ledger(
     and the household heating model; rows without a total are dropped."""
     ef = ef if ef is not None else resolved_factors(t)
     clean = factors.recode_activity(t["stationary_inputs"], t["activity_map"])
-    losses = factors.derive_losses(clean, t["transmission_loss_factors"], loss_labels)
+    records = factors.with_losses(_sector(clean), t["transmission_loss_factors"], loss_labels)
     heating = models.household_fuel_model(t["res_heat_oil_model_inputs"])
-    return factors.apply_factors(bind(_sector(clean), _sector(losses), heating), ef, DROP)
+    return factors.apply_factors(bind(records, heating), ef, DROP)
 
 
 def transportation_ledger(t: Tables, ef: DataFrame | None = None, **transit) -> DataFrame:

@@ -113,6 +113,22 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/emberledger/{name}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the session's checkpoint folder (``spark.checkpoint.dir``).
+
+    Meant for a small intermediate -- such as an aggregate of the facts --
+    that several branches of one plan read with different filters: Catalyst
+    would push each branch's filter below the aggregate, so the branches
+    would no longer share one exchange and the facts would be scanned once
+    per branch.  A lost executor does not lose the checkpoint.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint(eager=True)
+
+
 def literal_table(
     spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str
 ) -> DataFrame:

@@ -83,3 +83,18 @@ def test_results_equal_without_any_broadcast(spark):
     finally:
         spark.conf.unset(R.MAX_ROWS_CONF)
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_direct_and_loss_rows_scan_facts_once(spark):
+    assert final_plan(QUERIES["q09_losses"](spark, SF)).count("lineitem.parquet") == 1
+    assert final_plan(QUERIES["q21_meter_emissions"](spark, SF)).count("events.parquet") == 1
+
+
+def test_allocation_reads_materialized_rollup(spark):
+    p = final_plan(QUERIES["q22_allocate_and_emit"](spark, SF))
+    assert "lineitem.parquet" not in p  # facts were scanned once, by the checkpoint
