@@ -58,3 +58,21 @@ def test_allocation_conserves_totals(spark):
     assert out.agg(F.sum("amount")).collect()[0][0] == 800.0
     assert rows(out, "activity", "amount", "total_mtco2e") == [
         ("incineration", 200.0, None), ("landfill", 200.0, 200.0), ("recycle", 400.0, None)]
+
+
+def test_with_losses_equals_union_form(spark):
+    recs = spark.createDataFrame([
+        ("electricity", 2020, 10.0, "I.2.2", 2), ("electricity", 2021, 4.0, "I.2.2", 2),
+        ("natural_gas", 2020, 8.0, None, 1), (None, 2020, 1.0, "x", 1), ("electricity", None, 2.0, "y", 3),
+        ("oil", 2020, 5.0, "I.1", 1)],
+        "activity string, input_year int, amount double, gpc_ref string, scope int")
+    loss = spark.createDataFrame([
+        ("electricity", "transmission", 0.5, 2020), ("natural_gas", "distribution", 0.25, 2020),
+        ("natural_gas", "leak", 0.125, 2020), ("oil", None, 0.5, 2020)],
+        "fuel_type string, type string, loss_factor double, input_year int")
+    labels = {"electricity": {"gpc_ref": "I.2.3", "scope": 3}, "natural_gas": {"gpc_ref": "I.8.1"}}
+    one_pass = factors.with_losses(recs, loss, labels)
+    union = recs.unionByName(factors.derive_losses(recs, loss, labels), allowMissingColumns=True)
+    cols = ["activity", "input_year", "amount", "gpc_ref", "scope"]
+    assert rows(one_pass, *cols) == rows(union, *cols)
+    assert one_pass.count() == 6 + 4  # the oil loss row has a null type -> null activity (N7)
