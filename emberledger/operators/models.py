@@ -136,7 +136,7 @@ def downscale(
     Unmatched years keep a null factor; a zero regional size gives null.
     """
     ratio = scaling.select(*on, safe_div(local, regional).alias("scaling_factor"))
-    joined = lookup_join(counts, ratio, list(on), "left", null_safe=True)
+    joined = lookup_join(counts, ratio, list(on), "left", null_safe=True, probe=False)
     return joined.withColumn(out, F.col(count) * F.col("scaling_factor"))
 
 
@@ -156,7 +156,9 @@ def concentration_load(
     """Yearly mean concentration x summed flow x unit constant.
 
     Flows are aggregated per (year, entity) and chemistry per year before
-    they meet, so the join is between two small aggregates.  The effluent
+    they meet, so the join is between two small aggregates; AQE picks its
+    strategy from their measured sizes (no probe that would aggregate the
+    chemistry twice).  The effluent
     mean drives the load; the influent mean is reported alongside.
     """
     means = chemistry.groupBy(year).agg(
@@ -164,7 +166,7 @@ def concentration_load(
         na_mean(effluent).alias("avg_effluent_bod"),
     )
     volume = flows.groupBy(*by).agg(na_sum(flow).alias(flow))
-    joined = lookup_join(volume, means, [year], "left", null_safe=True)
+    joined = lookup_join(volume, means, [year], "left", null_safe=True, probe=False)
     load = (
         F.col(flow) * F.lit(liters_per_gallon) * F.col("avg_effluent_bod") / F.lit(mg_per_kg)
     )
@@ -191,7 +193,7 @@ def application_model(
         na_mean(share).alias("fertilization_pct"),
         na_mean(rate).alias("application_rate"),
     )
-    joined = lookup_join(area.select(year, acreage), means, [year], "left", null_safe=True)
+    joined = lookup_join(area.select(year, acreage), means, [year], "left", null_safe=True, probe=False)
     amount = (
         F.col(acreage) * F.col("fertilization_pct") * F.col("application_rate") * F.lit(lb_per_kg)
     )

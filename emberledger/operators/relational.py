@@ -125,18 +125,25 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     max_rows: int | None = None,
+    probe: bool = True,
 ) -> DataFrame:
     """Join a (possibly huge) fact table to a lookup.
 
     ``on`` is a list of shared key names or a mapping ``fact_key ->
     dim_key``; the output keeps the fact-side names only (N16).  With
     ``null_safe`` a null key matches a null key, as dplyr joins do.
+
+    The lookup is broadcast when its size is known or proven by a probe.
+    ``probe=False`` is for a lookup that is itself an aggregate of the
+    facts (probing it would compute it twice): the join is left to AQE,
+    which broadcasts it once its shuffle has measured the real size.
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     tmp = {d: f"__key_{i}" for i, (_, d) in enumerate(pairs)}
     limit = max_rows if max_rows is not None else broadcast_max_rows(dim)
     right = dim.withColumnsRenamed(tmp)
-    if row_bound(dim, limit) is not None:
+    known = _known_rows.get(dim)
+    if (known is not None and known <= limit) or (probe and row_bound(dim, limit) is not None):
         right = F.broadcast(right)
     cond: list[Column] = []
     for f, d in pairs:
