@@ -23,7 +23,7 @@ from emberledger.plans import sectors
 from emberledger.sources.io import load_tables, read_csv_table, read_table, write_table
 from emberledger.sources.schemas import METER_EXPORT, TABLES
 
-INPUTS = [n for n in TABLES if n not in ("ledger", "meter_export", "supplied_disposal_methods")]
+INPUTS = [n for n in TABLES if n not in ("ledger", "meter_ledger", "meter_export", "supplied_disposal_methods")]
 OPTIONAL = ["supplied_disposal_methods"]
 
 

@@ -77,6 +77,13 @@ LEDGER = _schema(
     ("activity", S), ("entity", S), ("amount", D), ("units", S), ("input_year", I),
     ("total_co2e_ef", D), ("total_mtco2e", D), ("fiscal_year", S),
 )
+METER_LEDGER = T.StructType(
+    METER_EXPORT.fields
+    + _schema(
+        ("year", I), ("activity", S), ("units", S), ("total_co2e_ef", D), ("total_mtco2e", D),
+        ("fiscal_year", S),
+    ).fields
+)
 LEDGER_COLUMNS = [f.name for f in LEDGER.fields]
 SECTOR_COLUMNS = LEDGER_COLUMNS[:-1]  # a sector ledger has no fiscal-year label yet
 
@@ -102,6 +109,7 @@ TABLES: dict[str, T.StructType] = {
     "wastewater_chemicals": WASTEWATER_CHEMICALS,
     "meter_export": METER_EXPORT,
     "ledger": LEDGER,
+    "meter_ledger": METER_LEDGER,
 }
 
 

@@ -199,5 +199,17 @@ def test_full_run_writes_both_ledgers(spark, tables):
     cols = ["supercategory", "activity", "entity", "input_year", "amount", "total_mtco2e", "fiscal_year"]
     assert rows(led, *cols) == rows(direct, *cols)
     assert led.where("total_mtco2e IS NULL").count() > 0  # NA token read back as null
-    m = spark.read.option("header", True).csv(out["meters"])
+    m = read_csv_table(spark, out["meters"], S.METER_LEDGER)
     assert m.count() == 2 and {r["department"] for r in m.collect()} == {"Parking"}
+    assert {r["year"] for r in m.collect()} == {2020}
+
+    from emberledger.plans.report_page import main as report_main
+
+    report_main(["--ledger", out["inventory"], "--meters", out["meters"], "--out", f"{base}/report",
+                 "--entity", "town", "--baseline", "2020", "--current", "2021"])
+    bc = spark.read.option("header", True).option("inferSchema", True).csv(f"{base}/report/baseline_vs_current")
+    r = bc.collect()[0]
+    assert r["current"] == 6.0  # town 2021: electricity 8 MWh x 0.75
+    fm = spark.read.option("header", True).option("multiLine", True).csv(f"{base}/report/fuel_mix").collect()
+    assert len(fm) == 1 and fm[0]["account_fuel"] == "Electric"
+    assert fm[0]["tooltip_text"] == "Fuel: Electric\nShare: 100.0%"
