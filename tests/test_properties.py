@@ -47,3 +47,49 @@ def test_decimal_sum_independent_of_partitioning(spark, vals, parts):
     b = df.repartition(parts).agg(S.na_sum("v", scale=6).alias("s")).collect()[0]["s"]
     c = df.orderBy("v", ascending=False).coalesce(1).agg(S.na_sum("v", scale=6).alias("s")).collect()[0]["s"]
     assert a == b == c
+
+
+YEARS, ENTS, TYPES = [1, 2], ["e", "f"], ["p", "q", "r"]
+METHODS = ["recycle", "landfill", "compost", "open_dump"]
+SOURCES = {"recycle": "recycling", "landfill": "total", "compost": "organic"}
+share = st.one_of(st.none(), st.sampled_from([0.0, 0.25, 0.5, 1.0]))
+
+
+def comp(keys):
+    return st.dictionaries(st.sampled_from(keys), share, max_size=len(keys))
+
+
+@settings(max_examples=20, deadline=None)
+@given(
+    comp([(y, e, t) for y in YEARS + [3] for e in ENTS for t in TYPES]),
+    comp([(y, e, t) for y in YEARS for e in ENTS + ["g"] for t in TYPES]),
+    comp([(y, e, t) for y in YEARS for e in ENTS for t in TYPES + ["s"]]),
+    comp([(y, e, m) for y in YEARS for e in ENTS for m in METHODS + ["open_burning"]]),
+)
+def test_allocation_matrix_equals_literal_grid(spark, total, organic, recycling, method):
+    from emberledger.operators.allocation import allocation_matrix
+
+    # brute force: the product of domains, one lookup per composition, case by method
+    comps = {"total": total, "organic": organic, "recycling": recycling}
+    want = set()
+    for y in YEARS:
+        for e in ENTS:
+            for t in TYPES:
+                for m in METHODS:
+                    src = SOURCES.get(m)
+                    a = comps[src].get((y, e, t)) if src else None
+                    b = method.get((y, e, m))
+                    if a is not None and b is not None and a * b > 0:
+                        want.add((y, e, t, m, a * b))
+
+    def df(d, cols):
+        return spark.createDataFrame([(*k, v) for k, v in d.items()],
+                                     f"input_year int, entity string, {cols[0]} string, {cols[1]} double")
+
+    got = allocation_matrix(
+        df(method, ["disposal_method", "disposal_method_pct"]),
+        {"total": df(total, ["waste_type", "p"]), "organic": df(organic, ["organic_waste_subtype", "p"]),
+         "recycling": df(recycling, ["waste_type", "p"])},
+        method_sources=SOURCES, years=YEARS, entities=ENTS, types=TYPES, methods=METHODS,
+    )
+    assert {tuple(r) for r in got.collect()} == want
