@@ -22,7 +22,15 @@ from emberledger.functions.semantics import (
 )
 from emberledger.operators import allocation, factors, inventory, meters, models, records, report
 from emberledger.operators.factors import KEEP
-from emberledger.operators.relational import bind, column_range, lookup_join, when_groups, when_map
+from emberledger.operators.relational import (
+    bind,
+    broadcast_max_rows,
+    column_range,
+    lookup_join,
+    row_bound,
+    when_groups,
+    when_map,
+)
 from emberledger.plans import bindings as B
 from emberledger.sources.io import (
     literal_table,
@@ -52,8 +60,15 @@ def act(spark: SparkSession, root: str) -> DataFrame:
     o = read_table(spark, root, "orders", reuse=True).select("o_orderkey", "o_custkey")
     c = read_table(spark, root, "customer", reuse=True).select("c_custkey", "c_mktsegment")
     p = read_table(spark, root, "part", reuse=True).select("p_partkey", "p_type")
-    f = lookup_join(li, o, {"l_orderkey": "o_orderkey"}, "inner")
-    f = lookup_join(f, c, {"o_custkey": "c_custkey"}, "inner")
+    if row_bound(o, broadcast_max_rows(o)) is not None:
+        # orders is small: every join is a map-side broadcast join
+        f = lookup_join(li, o, {"l_orderkey": "o_orderkey"}, "inner")
+        f = lookup_join(f, c, {"o_custkey": "c_custkey"}, "inner")
+    else:
+        # at scale: orders meets customer first (an orders-sized shuffle at
+        # most), so lineitem is shuffled once for orders and once for part
+        oc = lookup_join(o, c, {"o_custkey": "c_custkey"}, "inner")
+        f = lookup_join(li, oc, {"l_orderkey": "o_orderkey"}, "inner", probe=False)
     f = lookup_join(f, p, {"l_partkey": "p_partkey"}, "inner")
     return f.select(
         F.col("p_type").alias("activity"),

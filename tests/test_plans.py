@@ -98,3 +98,23 @@ def test_direct_and_loss_rows_scan_facts_once(spark):
 def test_allocation_reads_materialized_rollup(spark):
     p = final_plan(QUERIES["q22_allocate_and_emit"](spark, SF))
     assert "lineitem.parquet" not in p  # facts were scanned once, by the checkpoint
+
+
+def test_star_join_order_at_scale(spark):
+    """Beyond the broadcast bound, orders meets customer before lineitem, so
+    lineitem is shuffled for two joins, not three; rows are unchanged."""
+    from emberledger.plans.acceptance import act
+
+    base = sorted(map(tuple, act(spark, SF).collect()), key=repr)
+    spark.conf.set(R.MAX_ROWS_CONF, "0")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = act(spark, SF)
+        p = plan(df)
+        assert p.count("SortMergeJoin") == 3
+        assert sorted(map(tuple, df.collect()), key=repr) == base
+        lineitem_shuffles = [ln for ln in p.splitlines() if "Exchange hashpartitioning(l_" in ln]
+        assert len(lineitem_shuffles) == 2
+    finally:
+        spark.conf.unset(R.MAX_ROWS_CONF)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
