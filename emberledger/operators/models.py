@@ -156,9 +156,8 @@ def concentration_load(
     """Yearly mean concentration x summed flow x unit constant.
 
     Flows are aggregated per (year, entity) and chemistry per year before
-    they meet, so the join is between two small aggregates; AQE picks its
-    strategy from their measured sizes (no probe that would aggregate the
-    chemistry twice).  The effluent
+    they meet, so the join is between two small aggregates and needs no
+    size probe (which would aggregate the chemistry twice).  The effluent
     mean drives the load; the influent mean is reported alongside.
     """
     means = chemistry.groupBy(year).agg(

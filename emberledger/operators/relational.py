@@ -135,8 +135,9 @@ def lookup_join(
 
     The lookup is broadcast when its size is known or proven by a probe.
     ``probe=False`` is for a lookup that is itself an aggregate of the
-    facts (probing it would compute it twice): the join is left to AQE,
-    which broadcasts it once its shuffle has measured the real size.
+    facts (probing it would compute it twice): the join is left to the
+    planner -- a sort-merge join of two small aggregates, which AQE may
+    still turn into a broadcast join from the sizes its shuffle measured.
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     tmp = {d: f"__key_{i}" for i, (_, d) in enumerate(pairs)}

@@ -15,9 +15,10 @@ def get_session(
     splitting, sort-merge -> broadcast re-planning) and no UI server.
 
     Static planning never broadcasts on file-size estimates
-    (``autoBroadcastJoinThreshold=-1``): a join side is broadcast either by
-    ``lookup_join`` after its size is proven, or by AQE once the shuffle
-    has measured the real size (``adaptive.autoBroadcastJoinThreshold``).
+    (``autoBroadcastJoinThreshold=-1``): a join side is broadcast by
+    ``lookup_join`` after its size is proven; other joins are sort-merge
+    joins, which AQE may convert from measured sizes
+    (``adaptive.autoBroadcastJoinThreshold``).
 
     ``spark.checkpoint.dir`` is read from the cluster's configuration and
     only defaulted when unset (local tests).
