@@ -71,9 +71,9 @@ def allocation_matrix(
     )
     by_method = _in_domain(by_method, "disposal_method", methods)
     by_method = _in_domain(_in_domain(by_method, "input_year", years), "entity", entities)
-    grid = by_method.join(by_type, ["input_year", "entity", "__source"], "inner")
-    grid = grid.select(
-        "input_year", "entity", "waste_type", "disposal_method",
+    keys = ["input_year", "entity", "__source"]
+    grid = lookup_join(by_method, by_type, keys, "inner").select(
+        "input_year", "entity", F.col("waste_type"), "disposal_method",
         (F.col("__type_pct") * F.col("disposal_method_pct")).alias("percentage"),
     ).where(F.col("percentage").isNotNull())
     if supplied is not None:
