@@ -76,3 +76,17 @@ def test_with_losses_equals_union_form(spark):
     cols = ["activity", "input_year", "amount", "gpc_ref", "scope"]
     assert rows(one_pass, *cols) == rows(union, *cols)
     assert one_pass.count() == 6 + 4  # the oil loss row has a null type -> null activity (N7)
+
+
+def test_meter_normalization_with_date_column(spark):
+    import datetime as dt
+
+    from emberledger.operators import meters
+
+    export = spark.createDataFrame([
+        (dt.date(2022, 12, 31), "Electric", 2000.0, "kWh"), (dt.date(2023, 1, 1), "Electric", 1.0, "kWh"),
+        (dt.date(2016, 1, 1), "Oil", 3.0, "gal"), (None, "Gas", 4.0, "therm")],
+        "usage_end date, account_fuel string, use double, default_units string")
+    out = meters.normalize_meter_readings(export, years=[2016, 2022])
+    assert rows(out, "year", "activity", "use", "units") == [
+        (2016, "dist_oil", 3.0, "gal"), (2022, "electricity", 2.0, "MWh")]

@@ -213,3 +213,18 @@ def test_full_run_writes_both_ledgers(spark, tables):
     fm = spark.read.option("header", True).option("multiLine", True).csv(f"{base}/report/fuel_mix").collect()
     assert len(fm) == 1 and fm[0]["account_fuel"] == "Electric"
     assert fm[0]["tooltip_text"] == "Fuel: Electric\nShare: 100.0%"
+
+
+def test_run_cli(spark, tables, capsys):
+    from emberledger.plans.run import main
+    from emberledger.sources.io import scratch_dir
+
+    base = scratch_dir(spark, "cli-test")
+    for name, df in tables.items():
+        df.write.parquet(f"{base}/in/{name}.parquet")
+    main(["--tables", f"{base}/in", "--out", f"{base}/out", "--waste-entities", "town", "campus",
+          "--waste-named-parts", "campus", "--waste-residual", "town", "--waste-years", "2020",
+          "--out-format", "parquet"])
+    assert "inventory" in capsys.readouterr().out
+    assert spark.read.parquet(f"{base}/out/inventory").count() == sectors.inventory(
+        tables, ["town", "campus"], ["campus"], "town", [2020]).count()
