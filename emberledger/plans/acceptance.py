@@ -7,6 +7,7 @@ same names in both.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -80,20 +81,33 @@ def act(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+_lookups: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def _lookup(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The binding's literal lookups are immutable: build each once per session."""
+    per_session = _lookups.setdefault(spark, {})
+    if name not in per_session:
+        per_session[name] = build()
+    return per_session[name]
+
+
 def key_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, B.KEY_ROWS, B.KEY_SCHEMA)
+    return _lookup(spark, "key", lambda: literal_table(spark, B.KEY_ROWS, B.KEY_SCHEMA))
 
 
 def factor_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, B.FACTOR_ROWS, B.FACTOR_SCHEMA)
+    return _lookup(spark, "factors", lambda: literal_table(spark, B.FACTOR_ROWS, B.FACTOR_SCHEMA))
 
 
 def resolved(spark: SparkSession) -> DataFrame:
-    return factors.resolve_factors(key_table(spark), factor_table(spark))
+    return _lookup(
+        spark, "resolved", lambda: factors.resolve_factors(key_table(spark), factor_table(spark))
+    )
 
 
 def loss_table(spark: SparkSession) -> DataFrame:
-    return literal_table(spark, B.LOSS_ROWS, B.LOSS_SCHEMA)
+    return _lookup(spark, "loss", lambda: literal_table(spark, B.LOSS_ROWS, B.LOSS_SCHEMA))
 
 
 def _emission_totals(df: DataFrame, by: list[str]) -> DataFrame:
