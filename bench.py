@@ -39,7 +39,11 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    label = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    try:
+        sf: float | str = float(label)
+    except ValueError:
+        sf = label
     print(json.dumps({"metric": "headline_queries_total", "value": total, "unit": "sec",
                       "queries": times, "sf": sf}))
 
