@@ -85,16 +85,21 @@ def write_table(
     fmt: str = "csv",
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
+    replace_partitions: bool = False,
 ) -> None:
     """Write a ledger (K1). CSV gets a header and the ``NA`` null token.
 
     Partitioning by ``input_year`` lets report queries prune whole years.
-    The write goes through Spark's commit protocol, so a lost executor only
+    With ``replace_partitions`` an overwrite replaces only the partitions
+    present in ``df`` (e.g. re-running one year), leaving the others.  The
+    write goes through Spark's commit protocol, so a lost executor only
     re-runs its tasks.
     """
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if replace_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", NA_TOKEN)
     writer.format(fmt).save(path)

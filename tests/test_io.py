@@ -56,3 +56,12 @@ def test_supplied_shares_without_type_column(spark):
     m = allocation.allocation_matrix(method, {"total": total}, years=None, types=None, methods=None,
                                      supplied=supplied)
     assert rows(m) == [(2020, "e", "paper", "landfill", 1.0), (2020, "u", None, "landfill", 0.5)]
+
+
+def test_replace_partitions_keeps_other_years(spark):
+    path = io.scratch_dir(spark, "dyn")
+    first = spark.createDataFrame([(2020, 1.0), (2021, 2.0)], "input_year int, amount double")
+    io.write_table(first, path, "parquet", partition_by=["input_year"])
+    again = spark.createDataFrame([(2021, 5.0)], "input_year int, amount double")
+    io.write_table(again, path, "parquet", partition_by=["input_year"], replace_partitions=True)
+    assert rows(spark.read.parquet(path), "input_year", "amount") == [(2020, 1.0), (2021, 5.0)]

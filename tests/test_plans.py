@@ -118,3 +118,9 @@ def test_star_join_order_at_scale(spark):
     finally:
         spark.conf.unset(R.MAX_ROWS_CONF)
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+
+
+def test_flagship_shuffles_only_for_its_aggregate(spark):
+    p = final_plan(QUERIES["q08_emissions"](spark, SF))
+    assert p.count("Exchange hashpartitioning") == 1  # the group-by; every lookup is broadcast
+    assert "partial_sum" in p  # map-side partial aggregation before that shuffle
