@@ -32,3 +32,28 @@ def test_stream_matches_batch(spark):
     assert rows(got, *cols) == rows(batch, *cols)
     assert rows(got, "activity", "department") == [
         ("electricity", "Parking"), ("electricity_transmission", "Parking"), ("natural_gas", "Admin")]
+
+
+def test_restart_from_checkpoint_processes_each_file_once(spark):
+    base = scratch_dir(spark, "stream-restart")
+    factors = spark.createDataFrame([("natural_gas", 2020, 0.5)],
+                                    "activity string, input_year int, total_co2e_ef double")
+    loss = spark.createDataFrame([], "fuel_type string, type string, loss_factor double, input_year int")
+
+    def land(name, n):
+        rows_ = [(dt.datetime(2020, 1, 1 + i), "Gas", float(i + 1), "therm", f"F{name}", "A") for i in range(n)]
+        spark.createDataFrame(rows_, METER_EXPORT).write.option("header", True).csv(f"{base}/in/{name}")
+
+    def run_once():
+        stream = meter_ledger_stream(read_meter_stream(spark, f"{base}/in/*"), loss, factors, years=[2020])
+        q = start_meter_ledger(stream, f"{base}/out", f"{base}/chk", available_now=True)
+        q.awaitTermination(120)
+
+    land("a", 3)
+    run_once()
+    land("b", 2)
+    run_once()  # restarts from the checkpoint: only the new file is read
+    got = spark.read.parquet(f"{base}/out")
+    assert got.count() == 5
+    assert sorted(r["use"] for r in got.collect()) == [1.0, 1.0, 2.0, 2.0, 3.0]
+    assert {r["facility"] for r in got.collect()} == {"Fa", "Fb"}
