@@ -68,6 +68,7 @@ def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
 # Probe results per plan hash: (plan, limit, fits) -- "fits" means the plan
 # has at most ``limit`` rows, otherwise it has more.
 _probed: dict[int, list[tuple[DataFrame, int, bool]]] = {}
+_PROBES_PER_PLAN = 8
 
 
 def row_bound(df: DataFrame, max_rows: int) -> int | None:
@@ -93,7 +94,9 @@ def row_bound(df: DataFrame, max_rows: int) -> int | None:
         if not fits and limit >= max_rows:
             return None
     fits = df.select().offset(max_rows).isEmpty()
-    _probed.setdefault(h, []).append((df, max_rows, fits))
+    entries = _probed.setdefault(h, [])
+    entries.append((df, max_rows, fits))
+    del entries[:-_PROBES_PER_PLAN]  # bounded memory in long sessions
     if fits:
         _known_rows[df] = max_rows if known is None else min(known, max_rows)
         return _known_rows[df]
