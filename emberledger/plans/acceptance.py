@@ -348,6 +348,10 @@ def q16_downscale(spark, root):
 
 
 def q17_concentration_load(spark, root):
+    """D11 on the records: flows are quantities per (year, segment); the
+    effluent concentration is the integer-valued quantity, so its yearly
+    mean is exact in any summation order (the influent column, l_discount,
+    is averaged too but does not reach the load)."""
     a = act(spark, root)
     flows = a.select("input_year", "entity", F.col("amount").alias("wastewater_gallons"))
     chem = a.select(
@@ -358,6 +362,8 @@ def q17_concentration_load(spark, root):
 
 
 def q17_application_model(spark, root):
+    """D14 on the records: the fertilized share is l_linenumber / 8 and the
+    rate the quantity -- dyadic values, so the means are exact."""
     a = act(spark, root)
     area = a.groupBy("input_year").agg(
         F.sum(F.when(F.col("entity") == "BUILDING", F.col("amount"))).alias("local_acreage")
