@@ -76,6 +76,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--waste-residual", required=True)
     p.add_argument("--waste-years", nargs="*", type=int, default=K.WASTE_YEARS)
     p.add_argument("--meter-years", nargs="*", type=int, default=K.METER_YEARS)
+    p.add_argument("--department-rule", nargs=3, action="append", default=[],
+                   metavar=("COLUMN", "VALUE", "DEPARTMENT"),
+                   help="reassign department where COLUMN equals VALUE (repeatable, first match wins)")
     a = p.parse_args(argv)
     from emberledger.session import get_session
 
@@ -84,6 +87,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         spark, a.tables, a.out, a.waste_entities, a.waste_named_parts, a.waste_residual,
         meter_export=a.meter_export, fmt=a.format, out_fmt=a.out_format, waste_years=a.waste_years,
         meter_years=a.meter_years,
+        department_rules=[(col, [value], dept) for col, value, dept in a.department_rule],
     )
     for k, v in paths.items():
         print(k, v)

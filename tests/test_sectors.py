@@ -222,9 +222,13 @@ def test_run_cli(spark, tables, capsys):
     base = scratch_dir(spark, "cli-test")
     for name, df in tables.items():
         df.write.parquet(f"{base}/in/{name}.parquet")
+    spark.createDataFrame([(dt.datetime(2020, 3, 1), "Electric", 5000.0, "kWh", "Parking", "Works")],
+                          S.METER_EXPORT).write.parquet(f"{base}/export")
     main(["--tables", f"{base}/in", "--out", f"{base}/out", "--waste-entities", "town", "campus",
           "--waste-named-parts", "campus", "--waste-residual", "town", "--waste-years", "2020",
-          "--out-format", "parquet"])
+          "--out-format", "parquet", "--meter-export", f"{base}/export", "--meter-years", "2020",
+          "--department-rule", "facility", "Parking", "Lots"])
     assert "inventory" in capsys.readouterr().out
+    assert {r["department"] for r in spark.read.parquet(f"{base}/out/meters").collect()} == {"Lots"}
     assert spark.read.parquet(f"{base}/out/inventory").count() == sectors.inventory(
         tables, ["town", "campus"], ["campus"], "town", [2020]).count()
