@@ -163,3 +163,57 @@ def test_waste_ledger_matches_model(spark, total, organic, recycling, method, ca
     for k, (amount, tot) in want.items():
         assert got[k][0] == (None if amount is None else _pytest.approx(amount))
         assert got[k][1] == (None if tot is None else _pytest.approx(tot))
+
+
+heads = st.dictionaries(st.sampled_from(["dairy_cattle", "other_cattle", "sheep", "goats", "swine"]),
+                        st.one_of(st.none(), st.sampled_from([0.0, 8.0, 40.0, 100.0])), min_size=1)
+
+
+@settings(max_examples=10, deadline=None)
+@given(heads, st.sampled_from([(50.0, 200.0), (10.0, 0.0), (None, 100.0)]),
+       st.lists(st.tuples(st.sampled_from([0.25, 0.5, None]), st.sampled_from([40.0, 120.0])),
+                min_size=1, max_size=3))
+def test_agriculture_ledger_matches_model(spark, animals, acreage, practice):
+    import pytest as _pytest
+
+    from emberledger import constants as K
+    from emberledger.plans import sectors
+    from emberledger.sources import schemas as S
+
+    y = 2020
+    local, regional = acreage
+    ratio = None if local is None or not regional else local / regional
+    ef = {"cattle_dung": 1.0, "other_dung_indirect": 0.5, "fertilization": 0.125,
+          "dairy_cattle_manure": 2.0, "sheep_enteric_fermentation": 0.75}
+
+    want = {}
+    local_heads = {a: (None if h is None or ratio is None else h * ratio) for a, h in animals.items()}
+    for a, h in local_heads.items():
+        for suffix in K.LIVESTOCK_PROCESS_SUFFIXES:
+            want[a + suffix] = h
+    for group, members in K.DUNG_GROUPS.items():
+        present = [local_heads[m] for m in members if m in local_heads]
+        if present:
+            amount = None if any(v is None for v in present) else sum(present)
+            want[group] = want[group + "_indirect"] = amount
+    shares, rates = [p for p, _ in practice], [r for _, r in practice]
+    mean_share = None if any(v is None for v in shares) else sum(shares) / len(shares)
+    mean_rate = sum(rates) / len(rates)
+    fert = None if local is None or mean_share is None else local * mean_share * mean_rate * K.LB_PER_KG
+    want["fertilization"] = want["fertilization_indirect"] = fert
+
+    t = {
+        "regional_livestock": spark.createDataFrame([(y, a, h) for a, h in animals.items()], S.REGIONAL_LIVESTOCK),
+        "acreage_scaling": spark.createDataFrame([(y, local, regional)], S.ACREAGE_SCALING),
+        "fertilization_pcts": spark.createDataFrame([(y, p, r) for p, r in practice], S.FERTILIZATION_PCTS),
+    }
+    factors = spark.createDataFrame([(a, y, v) for a, v in ef.items()],
+                                    "activity string, input_year int, total_co2e_ef double")
+    led = sectors.agriculture_ledger(t, ef=factors)
+    got = {r["activity"]: (r["amount"], r["total_mtco2e"]) for r in led.collect()}
+    assert set(got) == set(want)
+    for act_, amount in want.items():
+        g_amount, g_total = got[act_]
+        assert g_amount == (None if amount is None else _pytest.approx(amount))
+        exp_total = None if amount is None or act_ not in ef else amount * ef[act_]
+        assert g_total == (None if exp_total is None else _pytest.approx(exp_total))
