@@ -217,3 +217,60 @@ def test_agriculture_ledger_matches_model(spark, animals, acreage, practice):
         assert g_amount == (None if amount is None else _pytest.approx(amount))
         exp_total = None if amount is None or act_ not in ef else amount * ef[act_]
         assert g_total == (None if exp_total is None else _pytest.approx(exp_total))
+
+
+raw_records = st.lists(
+    st.tuples(st.sampled_from(["Electric", "Gas", "Oil", "Coal"]), st.sampled_from([2020, 2021]),
+              st.sampled_from([0.0, 10.0, 64.0])),
+    max_size=8,
+)
+
+
+@settings(max_examples=10, deadline=None)
+@given(raw_records, st.sampled_from([None, 0.25]))
+def test_stationary_ledger_matches_model(spark, records, heat_share):
+    import pytest as _pytest
+
+    from emberledger import constants as K
+    from emberledger.plans import sectors
+    from emberledger.sources import schemas as S
+
+    recode = {"Electric": "electricity", "Gas": "natural_gas", "Oil": "dist_oil"}  # Coal unmapped
+    losses = {("electricity", 2020): [("transmission", 0.5)],
+              ("natural_gas", 2020): [("distribution", 0.25), ("leak", 0.125)]}
+    ef = {("electricity", 2020): 0.5, ("electricity", 2021): 0.25, ("natural_gas", 2020): 2.0,
+          ("dist_oil", 2020): 1.0, ("electricity_transmission", 2020): 1.5,
+          ("natural_gas_leak", 2020): 4.0}
+
+    rows_ = []  # (activity, year, amount, gpc_ref, scope)
+    for raw, y, amount in records:
+        act_ = recode.get(raw)
+        rows_.append((act_, y, amount, "I.2", 2))
+        for typ, lf in losses.get((act_, y), []):
+            lab = K.LOSS_LABELS[act_]
+            rows_.append((f"{act_}_{typ}", y, amount * lf, lab["gpc_ref"], lab["scope"]))
+    if heat_share is not None:
+        rows_.append(("dist_oil", 2020, 1000.0 * heat_share * 3.0, "I.1.1", 1))
+    want = sorted(
+        (a, y, amt, g, sc, amt * ef[(a, y)]) for a, y, amt, g, sc in rows_ if (a, y) in ef
+    )  # drop policy: rows without a factor vanish
+
+    t = {
+        "stationary_inputs": spark.createDataFrame(
+            [("stationary_energy", "buildings", "I.2", 2, raw, "town", amount, "u", y)
+             for raw, y, amount in records], S.ACTIVITY_INPUTS),
+        "activity_map": spark.createDataFrame(list(recode.items()), S.ACTIVITY_MAP),
+        "transmission_loss_factors": spark.createDataFrame(
+            [(f, typ, lf, y) for (f, y), ts in losses.items() for typ, lf in ts], S.TRANSMISSION_LOSS_FACTORS),
+        "res_heat_oil_model_inputs": spark.createDataFrame(
+            [] if heat_share is None else [(2020, 1000.0, heat_share, 1.0, 1.0, 3.0)], S.HOUSEHOLD_FUEL_INPUTS),
+    }
+    factors = spark.createDataFrame([(a, y, v) for (a, y), v in ef.items()],
+                                    "activity string, input_year int, total_co2e_ef double")
+    led = sectors.stationary_ledger(t, ef=factors)
+    got = sorted((r["activity"], r["input_year"], r["amount"], r["gpc_ref"], r["scope"], r["total_mtco2e"])
+                 for r in led.collect())
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:2] == w[:2] and g[3:5] == w[3:5]
+        assert g[2] == _pytest.approx(w[2]) and g[5] == _pytest.approx(w[5])
