@@ -274,3 +274,50 @@ def test_stationary_ledger_matches_model(spark, records, heat_share):
     for g, w in zip(got, want):
         assert g[:2] == w[:2] and g[3:5] == w[3:5]
         assert g[2] == _pytest.approx(w[2]) and g[5] == _pytest.approx(w[5])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([2020, 2021]), st.sampled_from([5.0, 12.0]),
+                          st.sampled_from([2.0, 10.0]), st.sampled_from([0.0, 3.0, 4.0])), min_size=1, max_size=5),
+       st.lists(st.tuples(st.sampled_from(["Diesel", "Bus", "Horse"]), st.sampled_from([0.0, 7.0])), max_size=4))
+def test_transportation_ledger_matches_model(spark, routes, records):
+    import pytest as _pytest
+
+    from emberledger import constants as K
+    from emberledger.plans import sectors
+    from emberledger.sources import schemas as S
+
+    recode = {"Diesel": "diesel", "Bus": "transit_bus"}
+    ef = {("diesel", 2020): 0.5, ("transit_bus", 2020): 0.25, ("transit_bus", 2021): 2.0}
+    reg = K.SCHOOL_YEAR_MONTHS / K.MONTHS_PER_YEAR
+    irr = (K.MONTHS_PER_YEAR - K.SCHOOL_YEAR_MONTHS) / K.MONTHS_PER_YEAR
+
+    def fuel(miles, wd, eff):
+        trips = reg * 261 * wd + reg * 52 * 1.0 + reg * 52 * 1.0 + 0.4 * (irr * 261 * wd + irr * 52 + irr * 52)
+        return None if eff == 0 else miles * trips / eff
+
+    per_year = {}
+    for y, miles, wd, eff in routes:
+        per_year.setdefault(y, []).append(fuel(miles, wd, eff))
+    want = [("diesel" if raw == "Diesel" else recode.get(raw), 2020, amt) for raw, amt in records]
+    want += [("transit_bus", y, None if any(v is None for v in vs) else sum(vs)) for y, vs in per_year.items()]
+
+    t = {
+        "transportation_inputs": spark.createDataFrame(
+            [("transportation", "on_road", "II.1.1", 1, raw, "town", amt, "gal", 2020) for raw, amt in records],
+            S.ACTIVITY_INPUTS),
+        "activity_map": spark.createDataFrame(list(recode.items()), S.ACTIVITY_MAP),
+        "transit_model_inputs": spark.createDataFrame(
+            [(y, miles, wd, 1.0, 1.0, eff) for y, miles, wd, eff in routes], S.TRANSIT_MODEL_INPUTS),
+    }
+    factors = spark.createDataFrame([(a, y, v) for (a, y), v in ef.items()],
+                                    "activity string, input_year int, total_co2e_ef double")
+    got = [(r["activity"], r["input_year"], r["amount"], r["total_mtco2e"])
+           for r in sectors.transportation_ledger(t, ef=factors).collect()]
+    assert len(got) == len(want)  # keep policy: every record and every model year stays
+    key = lambda r: (str(r[0]), r[1], -1.0 if r[2] is None else r[2])
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:2] == w[:2]
+        assert g[2] == (None if w[2] is None else _pytest.approx(w[2]))
+        f = ef.get((w[0], w[1]))
+        assert g[3] == (None if f is None or w[2] is None else _pytest.approx(w[2] * f))
