@@ -321,3 +321,51 @@ def test_transportation_ledger_matches_model(spark, routes, records):
         assert g[2] == (None if w[2] is None else _pytest.approx(w[2]))
         f = ef.get((w[0], w[1]))
         assert g[3] == (None if f is None or w[2] is None else _pytest.approx(w[2] * f))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from([2019, 2020]), st.sampled_from(["Electric", "Gas", "Steam"]),
+                          st.sampled_from([0.0, 500.0, 8.0]), st.sampled_from(["Hall", "Parking", "Pool"])),
+                max_size=6))
+def test_meter_ledger_matches_model(spark, readings):
+    import datetime as dt
+
+    import pytest as _pytest
+
+    from emberledger.plans import sectors
+    from emberledger.sources import schemas as S
+
+    fuel_map = {"Electric": "electricity", "Gas": "natural_gas"}
+    losses = {("electricity", 2020): [("transmission", 0.5)], ("natural_gas", 2020): [("leak", 0.25)]}
+    ef = {("electricity", 2020): 2.0, ("electricity_transmission", 2020): 1.0, ("natural_gas", 2019): 0.5}
+    rules = [("facility", ["Hall", "Pool"], "Admin"), ("facility", ["Pool"], "never")]
+
+    want = []
+    for y, fuel, use, facility in readings:
+        if y not in (2020,):
+            continue  # year whitelist
+        act_ = fuel_map.get(fuel)
+        use_ = use / 1000.0 if fuel == "Electric" else use
+        dept = "Admin" if facility in ("Hall", "Pool") else "Ops"
+        want.append((act_, use_, dept))
+        for typ, lf in losses.get((act_, y), []):
+            want.append((f"{act_}_{typ}", use_ * lf, dept))
+    want = [(a, u, d, None if (a, 2020) not in ef else u * ef[(a, 2020)]) for a, u, d in want]
+
+    export = spark.createDataFrame(
+        [(dt.datetime(y, 6, 1), fuel, use, "unit", facility, "Ops") for y, fuel, use, facility in readings],
+        S.METER_EXPORT)
+    t = {"transmission_loss_factors": spark.createDataFrame(
+        [(f, typ, lf, y) for (f, y), ts in losses.items() for typ, lf in ts], S.TRANSMISSION_LOSS_FACTORS)}
+    factors = spark.createDataFrame([(a, y, v) for (a, y), v in ef.items()],
+                                    "activity string, input_year int, total_co2e_ef double")
+    led = sectors.meter_ledger(export, t, rules, ef=factors, years=[2020], fuel_map=fuel_map)
+    got = [(r["activity"], r["use"], r["department"], r["total_mtco2e"], r["fiscal_year"]) for r in led.collect()]
+    assert all(g[4] == "FY 2020" for g in got)
+    key = lambda r: (str(r[0]), r[1], r[2])
+    got = sorted((g[:4] for g in got), key=key)
+    want = sorted(want, key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[0] == w[0] and g[2] == w[2] and g[1] == _pytest.approx(w[1])
+        assert g[3] == (None if w[3] is None else _pytest.approx(w[3]))
