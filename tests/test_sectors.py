@@ -232,3 +232,18 @@ def test_run_cli(spark, tables, capsys):
     assert {r["department"] for r in spark.read.parquet(f"{base}/out/meters").collect()} == {"Lots"}
     assert spark.read.parquet(f"{base}/out/inventory").count() == sectors.inventory(
         tables, ["town", "campus"], ["campus"], "town", [2020]).count()
+
+
+def test_full_run_from_csv_tables(spark, tables):
+    from emberledger.plans.run import run_inventory
+    from emberledger.sources.io import scratch_dir, write_table
+
+    base = scratch_dir(spark, "csv-run")
+    for name, df in tables.items():
+        write_table(df, f"{base}/in/{name}.csv", "csv")
+    out = run_inventory(spark, f"{base}/in", f"{base}/out", ["town", "campus"], ["campus"], "town",
+                        fmt="csv", out_fmt="parquet", waste_years=[2020])
+    got = spark.read.parquet(out["inventory"])
+    direct = sectors.inventory(tables, ["town", "campus"], ["campus"], "town", [2020])
+    cols = ["supercategory", "activity", "entity", "input_year", "amount", "total_mtco2e"]
+    assert rows(got, *cols) == rows(direct, *cols)
