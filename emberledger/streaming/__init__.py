@@ -1,0 +1 @@
+"""Structured Streaming form of the meter ledger."""
