@@ -12,6 +12,7 @@ import weakref
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberledger.functions.semantics import NA_TOKEN
@@ -64,19 +65,29 @@ def load_tables(
     return {n: read_table(spark, root, n, fmt=fmt) for n in names}
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    """Read a headed CSV where empty cells and ``NA`` are null."""
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+    """Read a headed CSV where empty cells and ``NA`` are null.
+
+    With a schema, columns are taken by header name -- any order, extra
+    columns ignored -- and cast to the schema's types with ANSI casts, so a
+    malformed value fails the read instead of turning into a silent null.
+    Without one, types are inferred (an extra pass over the data).
+    """
     reader = (
         spark.read.option("header", True)
         .option("nullValue", NA_TOKEN)
         .option("emptyValue", None)
         .option("mode", "FAILFAST")
     )
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    else:
-        reader = reader.option("inferSchema", True)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    if isinstance(schema, str):  # DDL such as "a int, b string"
+        schema = spark.createDataFrame([], schema).schema
+    raw = reader.csv(path)  # strings; partition columns keep their inferred types
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: CSV header lacks columns {missing}")
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def write_table(

@@ -65,3 +65,15 @@ def test_replace_partitions_keeps_other_years(spark):
     again = spark.createDataFrame([(2021, 5.0)], "input_year int, amount double")
     io.write_table(again, path, "parquet", partition_by=["input_year"], replace_partitions=True)
     assert rows(spark.read.parquet(path), "input_year", "amount") == [(2020, 1.0), (2021, 5.0)]
+
+
+def test_csv_columns_by_header_name(spark):
+    from pyspark.errors import AnalysisException  # noqa: F401
+
+    path = io.scratch_dir(spark, "csv-order")
+    spark.createDataFrame([("x", "5", "2020"), ("NA", "7", "2021")], "extra string, amount string, input_year string") \
+        .write.option("header", True).csv(path)
+    got = io.read_csv_table(spark, path, "input_year int, amount double")
+    assert got.columns == ["input_year", "amount"] and rows(got) == [(2020, 5.0), (2021, 7.0)]
+    with pytest.raises(ValueError):
+        io.read_csv_table(spark, path, "input_year int, missing double")
