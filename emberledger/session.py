@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -20,8 +22,8 @@ def get_session(
     joins, which AQE may convert from measured sizes
     (``adaptive.autoBroadcastJoinThreshold``).
 
-    ``spark.checkpoint.dir`` is read from the cluster's configuration and
-    only defaulted when unset (local tests).
+    ``spark.checkpoint.dir`` is read from the cluster's configuration, see
+    ``ensure_checkpoint_dir``.
 
     On a large cluster pass ``initial_partitions`` (e.g. 20000 for ~100 TB
     of facts) and ``advisory_partition_bytes`` (e.g. ``"256MB"``): the big
@@ -49,6 +51,25 @@ def get_session(
     if advisory_partition_bytes:
         b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory_partition_bytes)
     spark = b.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir("file:/tmp/emberledger-checkpoints")
     return spark
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for materialized intermediates, shared by all executors.
+
+    The session's own folder (``spark.checkpoint.dir`` or
+    ``setCheckpointDir``) always wins. Only a ``local`` master, whose
+    executor shares the driver's disk, may fall back to a temporary folder;
+    on any other master a missing setting raises, because executors would
+    each write to their own disk.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
+        named = "file:" + tempfile.mkdtemp(prefix="emberledger-checkpoints-")
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
