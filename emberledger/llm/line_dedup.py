@@ -58,7 +58,7 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     words = (
         hit.filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id", "_th", F.floor(F.col("pos") / BITS).cast("int").alias("word"))
-        .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("pos") % BITS)).alias("bits"))
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % BITS)).alias("bits"))
     )
     return cut(words.groupBy("doc_id", "_th").agg(F.collect_list(F.struct("word", "bits")).alias("words")))
 
@@ -82,7 +82,7 @@ def with_kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
 
     def stays(_line: Column, pos: Column) -> Column:
         word = F.coalesce(F.element_at(F.col("_bits"), F.floor(pos / BITS).cast("int")), F.lit(0).cast("long"))
-        return F.expr("true") & (F.shiftright(word, (pos % BITS).cast("int")).bitwiseAND(F.lit(1)) == 0)
+        return F.call_function("shiftright", word, (pos % BITS).cast("int")).bitwiseAND(F.lit(1)) == 0
 
     joined = joined.withColumn("_bits", bits)
     kept = F.when(F.col("words").isNull(), F.col("_lines")).otherwise(F.filter("_lines", stays))
