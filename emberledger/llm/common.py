@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,6 +46,14 @@ def null_last(name: str) -> Column:
     return F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c))
 
 
+def per_process(key, make):
+    """What ``make`` returns, made once in a worker process and kept for later tasks."""
+    kept = sys.modules.setdefault("_emberledger_kept", types.ModuleType("_emberledger_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, made longer until ``df`` has no such column."""
     while name.lower() in (c.lower() for c in df.columns):

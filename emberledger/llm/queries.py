@@ -5,14 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberledger.llm import line_dedup, mixing, sharding
+from emberledger.llm import line_dedup, mixing, packing, sharding, url_filter, warc
 from emberledger.llm.common import table
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op2_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(table(spark, sf_dir, "pages"), warc.scratch(spark, "warc"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_taken(table(spark, sf_dir, "documents"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -24,9 +42,49 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_mix_sources, op8_line_dedup, op10_shards)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pack_windows,
+        op2_warc_reassembly,
+        op4_mix_sources,
+        op5_url_filter,
+        op8_line_dedup,
+        op10_shards,
+    )
+}
 
 SQL = {
+    "op2_warc_reassembly": r"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS h FROM p),
+        f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY h) ELSE page_id END AS first FROM d)
+        SELECT page_id, n::BIGINT AS payload_bytes, h AS payload_digest,
+               CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to,
+               CAST(NULL AS VARCHAR) AS error
+        FROM f""",
+    "op5_url_filter": r"""
+        WITH u AS (
+          SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS r FROM pages),
+        k AS (
+          SELECT page_id,
+                 coalesce(translate(regexp_extract(r, '^([^/?#]*)', 1),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                 coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+        f AS (
+          SELECT *, CASE
+            WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+            WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+            WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+            WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM k)
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+            WHEN rule IS NOT NULL THEN 'allow'
+            WHEN list_has_any(string_split(host, '.'),
+                 ['ads-track', 'adult-x', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) THEN 'block'
+            ELSE 'allow' END AS verdict
+        FROM f""",
     "op8_line_dedup": r"""
         WITH l AS (
           SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

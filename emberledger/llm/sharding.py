@@ -32,6 +32,11 @@ def _digits(hi: str, lo: str) -> list[Column]:
     return out
 
 
+def _digits_of(value: int) -> tuple[int, ...]:
+    """The digits of one hash, as ``_digits`` gives them."""
+    return tuple((value >> shift) & ((1 << DIGIT) - 1) for shift in (52, 40, 28, 16, 4)) + (value & 15,)
+
+
 def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> list[tuple[int, ...]]:
     """For each inner boundary, the digits of the first key that lies above
     it; a shorter list of digits stands for all keys that begin with it.
@@ -44,38 +49,42 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = TOLERANCE) -> lis
     digits = _digits("_h", "_d")
     total = rows.agg(F.sum("size")).first()[0] or 0
     close = tolerance * total / shards
-    #: boundary -> (digits so far, bytes below them); done ones move to found
+    #: boundary -> (digits that are settled, bytes below all keys that begin with them)
     open_, found = {j: ((), 0) for j in range(1, shards)}, {}
-    for depth, digit in enumerate(digits):
-        bins = {p for p, _ in open_.values()}
-        if not bins or not total:
-            break
-        inside = reduce(
-            lambda a, b: a | b, [reduce(lambda a, b: a & b, [digits[i] == v for i, v in enumerate(p)], F.lit(True)) for p in sorted(bins)]
+    while open_ and total:
+        bins = sorted({p for p, _ in open_.values()})
+        probe = reduce(
+            lambda rest, i: F.when(
+                reduce(lambda a, b: a & b, [d == v for d, v in zip(digits, bins[i])], F.lit(True)),
+                F.struct(F.lit(i).alias("bin"), digits[len(bins[i])].alias("digit")),
+            ).otherwise(rest),
+            range(len(bins)),
+            F.lit(None),
         )
         counted = (
-            rows.filter(inside)
-            .groupBy(*[d.alias(f"k{i}") for i, d in enumerate(digits[: depth + 1])])
-            .agg(F.sum("size").alias("bytes"))
+            rows.select(probe.alias("probe"), "size", "_h", "_d")
+            .filter("probe is not null")
+            .groupBy("probe.bin", "probe.digit")
+            .agg(F.sum("size").alias("bytes"), *[f(c).alias(f"{f.__name__}{c}") for f in (F.min, F.max) for c in ("_h", "_d")])
             .collect()
         )
-        sums: dict[tuple, dict[int, int]] = {}
-        for r in counted:
-            sums.setdefault(tuple(r[:depth]), {})[r[depth]] = r["bytes"]
+        sums = {i: sorted((r for r in counted if r["bin"] == i), key=lambda r: r["digit"]) for i in range(len(bins))}
         still = {}
         for j, (prefix, below) in open_.items():
             goal = j * total / shards
-            for v in sorted(sums.get(prefix, {})):
-                size = sums[prefix][v]
-                if below + size >= goal:
+            for r in sums[bins.index(prefix)]:
+                if below + r["bytes"] >= goal:
                     break
-                below += size
-            bin_ = (*prefix, v)
-            if size <= close or depth + 1 == len(digits):
+                below += r["bytes"]
+            at, size = (*prefix, r["digit"]), r["bytes"]
+            one_text = r["min_h"] == r["max_h"]
+            if size <= close or one_text and r["min_d"] == r["max_d"] or len(at) == len(digits):
                 # the boundary goes to the nearer edge of the bin
-                found[j] = bin_ if goal - below <= below + size - goal else (*prefix, v + 1)
+                found[j] = at if goal - below <= below + size - goal else (*at[:-1], at[-1] + 1)
+            elif one_text and len(at) < len(digits) // 2:
+                still[j] = (_digits_of(r["min_h"]), below)
             else:
-                still[j] = (bin_, below)
+                still[j] = (at, below)
         open_ = still
     return [found[j] for j in sorted(found)]
 
