@@ -106,7 +106,7 @@ def mix_plan(
         .withColumn("_shards", F.ceil(F.sum("_slots").over(Window.partitionBy()) / F.lit(shard_blocks)))
         .filter("_slots > 0")
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_slots - 1) div {CHUNK}"))))
-        .repartition("_g", "_chunk")
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_g", "_chunk")
         .withColumn(
             "_slot",
             F.explode(F.sequence(F.col("_chunk") * CHUNK, F.least(F.col("_slots"), (F.col("_chunk") + 1) * CHUNK) - 1)),
@@ -142,7 +142,8 @@ def pieces(placed: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS)
     first, end = F.col("_start"), F.col("_start") + F.col("_size")
     blocks = F.when(F.col("_size") > 0, F.sequence((first / b).cast("long"), ((end - 1) / b).cast("long")))
     parts = placed.withColumn("_block", F.explode_outer(blocks))
-    joined = parts.join(slots, ["_g", "_block"], "left")
+    # a slot per block grows with the data and its size can't be seen before it is made: never broadcast
+    joined = parts.join(slots.hint("merge"), ["_g", "_block"], "left")
     at = F.col("_block") * b
     lo = F.greatest(first, at) - first
     hi = F.least(end, at + F.col("_words")) - first

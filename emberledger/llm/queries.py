@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberledger.llm import line_dedup, mixing, packing, sharding, url_filter, warc
+from emberledger.llm import line_dedup, mixing, packing, quality, sharding, toxicity, url_filter, warc
 from emberledger.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(table(spark, sf_dir, "pages"), warc.scratch(spark, "warc"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.grade_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_taken(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -47,8 +55,10 @@ QUERIES = {
     for f in (
         op1_pack_windows,
         op2_warc_reassembly,
+        op3_toxicity,
         op4_mix_sources,
         op5_url_filter,
+        op6_quality,
         op8_line_dedup,
         op10_shards,
     )
