@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -105,3 +107,43 @@ def ranked(
         .withColumn("_at", F.col("_base") + F.col("_before"))
         .drop("_base", "_before", "_w")
     )
+
+
+def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """Tables of consecutive rows that agree in the first ``n_keys`` columns
+    (integers, not null). Holds one run and one batch."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(n_keys)])
+        edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        bounds = [0, *edges.tolist(), batch.num_rows]
+        for lo, hi in zip(bounds, bounds[1:]):
+            key = tuple(keys[:, lo])
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member number of the component of each of ``n`` members under links a-b."""
+    label = np.arange(n)
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        new = new[new]
+        while (new != new[new]).any():
+            new = new[new]
+        new = new[label]
+        if (new == label).all():
+            break
+        label = new
+    return label

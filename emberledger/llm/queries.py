@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberledger.llm import line_dedup, mixing, packing, quality, sharding, toxicity, url_filter, warc
+from emberledger.llm import embedding_dedup, line_dedup, mixing, packing, quality, sharding, toxicity, url_filter, warc
 from emberledger.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = sharding.shard_rows(table(spark, sf_dir, "documents"), 16)
     return dealt.select(
@@ -60,6 +64,7 @@ QUERIES = {
         op5_url_filter,
         op6_quality,
         op8_line_dedup,
+        op9_embedding_dedup,
         op10_shards,
     )
 }
@@ -114,4 +119,21 @@ SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM j GROUP BY doc_id""",
+    "op9_embedding_dedup": r"""
+        WITH RECURSIVE v AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        pairs AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach AS (
+          SELECT vec_id AS id, vec_id AS r FROM embeddings
+          UNION SELECT reach.id, pairs.b FROM reach JOIN pairs ON reach.r = pairs.a),
+        n AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+        SELECT id AS vec_id, coalesce(any_value(n.n), 0)::BIGINT AS n_links, min(r) AS component_id,
+               id = min(r) AS kept
+        FROM reach LEFT JOIN n ON n.a = id GROUP BY id""",
 }
