@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberledger.llm import embedding_dedup, line_dedup, mixing, packing, quality, sharding, toxicity, url_filter, warc
+from emberledger.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity, url_filter, warc
 from emberledger.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ QUERIES = {
         op4_mix_sources,
         op5_url_filter,
         op6_quality,
+        op7_ngram_join,
         op8_line_dedup,
         op9_embedding_dedup,
         op10_shards,
