@@ -171,23 +171,26 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) ->
     of one taken in part, the words are joined by single spaces.
     """
     columns = docs.columns
-    keyed = docs.withColumn("_th", F.xxhash64("text"))
     placed, slots = mix_plan(docs.select("doc_id", "text", "source"), block_words=block_words, **options)
-    p = pieces(placed.select("_g", "_bucket", "_row", "doc_id", "_th", "_size", "_start"), slots, block_words)
+    placed = placed.withColumn("_k", F.xxhash64("doc_id")).select("_g", "_bucket", "_row", "_k", "_th", "_size", "_start")
+    key = ["_k", "_th", "_g"]
     spans = (
-        p.filter("_lo is not null")
-        .groupBy("_g", "_bucket", "_row", "doc_id", "_th", "_size", "_epoch")
+        pieces(placed, slots, block_words)
+        .filter("_lo is not null")
+        .groupBy(*key, "_bucket", "_row", "_size", "_epoch")
         .agg(F.sort_array(F.collect_list(F.struct("_lo", "_hi"))).alias("_spans"), F.sum(F.col("_hi") - F.col("_lo")).alias("_taken"))
         .withColumn("_spans", F.when(F.col("_taken") < F.col("_size"), F.col("_spans")))
     )
-    # equal rows (same id and text) share their spans: each gets its own share by number
-    own = Window.partitionBy("doc_id", "_th", "_epoch").orderBy("_g", "_bucket", "_row")
-    spans = spans.withColumn("_nth", F.row_number().over(own)).select("doc_id", "_th", "_nth", "_epoch", "_spans")
-    numbered = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id", "_th").orderBy("source")))
-    j = numbered.alias("d").join(
-        spans.alias("s"),
-        F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._th") == F.col("s._th")) & (F.col("d._nth") == F.col("s._nth")),
-    )
+    # rows with one id, text and source are numbered on both sides, so that each gets its own share
+    own = Window.partitionBy(*key, "_epoch").orderBy("_bucket", "_row")
+    spans = spans.select(*key, F.row_number().over(own).alias("_nth"), "_spans")
+    keyed = docs.withColumns({"_k": F.xxhash64("doc_id"), "_th": F.xxhash64("text"), "_g": null_last("source")})
+    numbered = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("_th")))
+    # as a range, so that the text is shuffled once, by the key of the window
+    same = (F.col("d._nth") <= F.col("s._nth")) & (F.col("d._nth") >= F.col("s._nth"))
+    for c in key:
+        same = same & (F.col(f"d.{c}") == F.col(f"s.{c}"))
+    j = numbered.alias("d").join(spans.alias("s"), same)
     words = F.regexp_extract_all(F.col("d.text"), F.lit(WORD), F.lit(0))
     cutout = F.array_join(
         F.flatten(F.transform(F.col("s._spans"), lambda x: F.slice(words, x["_lo"].cast("int") + 1, (x["_hi"] - x["_lo"]).cast("int")))), " "

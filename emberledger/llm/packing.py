@@ -29,7 +29,7 @@ STEP = 8
 #: Most pieces in an enumerated combination.
 DEPTH = 3
 #: Chunks that a worker's token cache keeps, and documents encoded at once.
-CACHE, AT_ONCE = 600_000, 512
+CACHE, AT_ONCE = 700_000, 256
 
 
 # -- tokens ---------------------------------------------------------------
@@ -47,8 +47,8 @@ class Encoder:
 
     The vocabulary splits texts before every blank that follows a word, and
     around a newline between words, and never merges across. So the ids of a
-    text are those of such chunks one after the other, and chunks repeat: the
-    first ``cache`` different ones are kept. A text with any other white
+    text are those of such chunks one after the other, and chunks repeat: up to
+    about ``cache`` of them are kept, those found most often. A text with any other white
     space, or with two such characters in a row, is encoded as one chunk.
     """
 
@@ -56,8 +56,42 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
-        self.codes, self.kept = _Codes(), 0
-        self.flat, self.lengths = np.zeros(0, "<u4"), np.zeros(0, "i8")
+        self.marks = {m: self._ids([m])[0] for m in ".,"}
+        self.codes = _Codes()
+        self.flat, self.lengths, self.used = np.zeros(0, "<u4"), np.zeros(0, "i8"), np.zeros(0, "i8")
+
+    def _ids(self, chunks: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _learn(self, new: list[str], starts: np.ndarray) -> None:
+        """Append the ids of new chunks. A full stop or comma after a letter
+        is a token of its own, so the word before it may be known."""
+        cut = [(w[:-1], self.marks[w[-1]]) if w[-1] in ".," and len(w) > 1 and w[-2].isalpha() else (w, []) for w in new]
+        known = len(starts)
+        ask = list(dict.fromkeys(w for w, _ in cut if dict.get(self.codes, w, known) >= known))
+        told = dict(zip(ask, self._ids(ask)))
+
+        def of(word: str) -> list[int]:
+            if (ids := told.get(word)) is None:
+                code = self.codes[word]
+                ids = self.flat[starts[code] : starts[code] + self.lengths[code]].tolist()
+            return ids
+
+        ids = [of(w) + mark for w, mark in cut]
+        sizes = np.fromiter(map(len, ids), "i8", len(ids))
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))])
+        self.lengths = np.concatenate([self.lengths, sizes])
+        self.used = np.concatenate([self.used, np.zeros(len(new), "i8")])
+
+    def _forget(self, starts: np.ndarray) -> None:
+        """Keep the chunks that were found most often, half the cache at most."""
+        order = np.argsort(-self.used, kind="stable")[: self.cache // 2]
+        keep = np.sort(order[self.used[order] > 1])
+        n = self.lengths[keep]
+        at = np.arange(n.sum()) + np.repeat(starts[keep] - (np.cumsum(n) - n), n)
+        chunks = list(self.codes)
+        self.codes = _Codes((chunks[k], i) for i, k in enumerate(keep.tolist()))
+        self.flat, self.lengths, self.used = self.flat[at], n, self.used[keep] // 2
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = []
@@ -67,23 +101,21 @@ class Encoder:
                 split.append([t] if t else [])
             else:
                 split.append(t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in t else [t])
+        kept = len(self.codes)
         code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), "i8", sum(map(len, split)))
-        new = list(islice(self.codes, self.kept, None))
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), "i8", len(ids))
-        flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))])
-        lengths = np.concatenate([self.lengths, sizes])
-        n = lengths[code]
+        if len(self.codes) > kept:
+            self._learn(list(islice(self.codes, kept, None)), np.cumsum(self.lengths) - self.lengths)
+        starts = np.cumsum(self.lengths) - self.lengths
+        n = self.lengths[code]
         ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(n) else 0) + np.repeat((np.cumsum(lengths) - lengths)[code] - (ends - n), n)
+        at = np.arange(ends[-1] if len(n) else 0) + np.repeat(starts[code] - (ends - n), n)
         stops = np.cumsum(np.fromiter(map(len, split), "i8", len(split)))
         stops = np.concatenate([[0], ends])[stops]
-        if len(self.codes) <= self.cache:
-            self.flat, self.lengths, self.kept = flat, lengths, len(self.codes)
-        else:
-            for chunk in new:
-                del self.codes[chunk]
-        return np.split(flat[at], stops[:-1]) if texts else []
+        out = np.split(self.flat[at], stops[:-1]) if texts else []
+        self.used += np.bincount(code, minlength=len(self.used))
+        if len(self.codes) > self.cache:
+            self._forget(starts)
+        return out
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW) -> DataFrame:

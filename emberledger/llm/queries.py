@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberledger.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity, url_filter, warc
-from emberledger.llm.common import table
+from emberledger.llm.common import scratch, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -20,7 +20,7 @@ def op1_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.page_records(table(spark, sf_dir, "pages"), warc.scratch(spark, "warc"))
+    return warc.page_records(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

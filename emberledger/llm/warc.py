@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberledger.llm.common import cut, lookup
-from emberledger.session import ensure_checkpoint_dir
 
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 100
@@ -37,14 +35,6 @@ RECORD = (
 )
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the cluster's checkpoint folder, removed when the session ends."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
-
-
 # -- writing --------------------------------------------------------------
 
 
