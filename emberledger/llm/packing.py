@@ -34,6 +34,14 @@ CACHE, AT_ONCE = 700_000, 256
 
 # -- tokens ---------------------------------------------------------------
 
+def byte_letters() -> dict[int, int]:
+    """The printable character that byte-level vocabularies use for each byte:
+    printable bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class _Codes(dict):
     """Chunk -> number, in order of first appearance."""
 
@@ -56,12 +64,29 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.blank = chr(self.letters[32])
         self.marks = {m: self._ids([m])[0] for m in ".,"}
         self.codes = _Codes()
         self.flat, self.lengths, self.used = np.zeros(0, "<u4"), np.zeros(0, "i8"), np.zeros(0, "i8")
 
     def _ids(self, chunks: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        """A word of letters, with or without a blank before it, is one piece
+        for the model's merges; other chunks go through the whole tokenizer."""
+        out: list = [None] * len(chunks)
+        other = []
+        for i, w in enumerate(chunks):
+            if w.isalpha() or w[:1] == " " and w[1:].isalpha():
+                if w.isascii():
+                    w = self.blank + w[1:] if w[0] == " " else w
+                else:
+                    w = w.encode().decode("latin-1").translate(self.letters)
+                out[i] = [t.id for t in self.model.tokenize(w)]
+            else:
+                other.append(i)
+        for i, e in zip(other, self.tokenizer.encode_batch_fast([chunks[i] for i in other], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
     def _learn(self, new: list[str], starts: np.ndarray) -> None:
         """Append the ids of new chunks. A full stop or comma after a letter
