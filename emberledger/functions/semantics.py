@@ -41,32 +41,20 @@ def any_null(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
     return F.coalesce(_over(F.bool_or(_col(c).isNull()), over), F.lit(False))
 
 
-def _sum(c: Column, scale: int | None) -> Column:
-    if scale is None:
-        return F.sum(c)
-    return F.sum(c.cast(f"decimal(38,{scale})"))
-
-
-def na_sum(
-    c: ColumnOrName, over: WindowSpec | None = None, scale: int | None = None
-) -> Column:
+def na_sum(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
     """Sum that is null if any input is null; 0.0 over no rows.
 
     Both parts are ordinary partial aggregates, so a grouped ``na_sum``
-    still combines map-side before the shuffle.  With ``scale`` the values
-    are accumulated as ``DECIMAL(38, scale)``: the total then no longer
-    depends on the order in which partitions are combined.
+    still combines map-side before the shuffle.
     """
     c = _col(c)
-    total = F.coalesce(_over(_sum(c, scale), over).cast("double"), F.lit(0.0))
+    total = F.coalesce(_over(F.sum(c), over).cast("double"), F.lit(0.0))
     return F.when(~any_null(c, over), total)
 
 
-def sum_or_zero(
-    c: ColumnOrName, over: WindowSpec | None = None, scale: int | None = None
-) -> Column:
+def sum_or_zero(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
     """Sum ignoring nulls; 0.0 over no (non-null) rows."""
-    return F.coalesce(_over(_sum(_col(c), scale), over).cast("double"), F.lit(0.0))
+    return F.coalesce(_over(F.sum(_col(c)), over).cast("double"), F.lit(0.0))
 
 
 def na_mean(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
@@ -114,19 +102,30 @@ def label_text(c: ColumnOrName) -> Column:
 
 
 def fixed_text(c: ColumnOrName, decimals: int) -> Column:
-    """Fixed-point text of a number (``%.<d>f``); null prints as ``NA``."""
+    """Fixed-point text of a number (``%.<d>f``), ties to even (N17); null
+    prints as ``NA``.  Digits far behind are rounded away first: a sum of
+    doubles carries noise there that depends on the order of addition."""
     c = _col(c)
     return F.when(c.isNull(), F.lit(NA_TOKEN)).otherwise(
-        F.format_string(f"%.{decimals}f", c)
+        F.format_string(f"%.{decimals}f", F.bround(F.round(c, decimals + 7), decimals))
     )
 
 
+def number_text(c: ColumnOrName, decimals: int) -> Column:
+    """A rounded number as a label prints it: no trailing zeros (36, not
+    36.0), and the exponent form where that is shorter (1e+05)."""
+    fixed = F.regexp_replace(fixed_text(c, decimals), r"\.0+$|(\.\d*?[1-9])0+$", "$1")
+    sign, digits = F.regexp_extract(fixed, r"^(-?)", 1), F.regexp_extract(fixed, r"^-?([1-9]\d*?)0{5,}$", 1)
+    power = F.length(fixed) - F.length(sign) - 1
+    head = F.concat(sign, F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, 2, 40))).otherwise(F.lit("")))
+    short = F.concat(head, F.lit("e+"), F.lpad(power.cast("string"), 2, "0"))
+    return F.when((digits != "") & (F.length(short) < F.length(fixed)), short).otherwise(fixed)
+
+
 def percent_text(ratio: ColumnOrName, decimals: int = 1) -> Column:
     """A ratio shown as a percent label, e.g. ``-29.8%``."""
-    r = _col(ratio)
-    return F.when(r.isNull(), F.lit(NA_TOKEN)).otherwise(
-        F.format_string(f"%.{decimals}f%%", r * F.lit(100.0))
-    )
+    text = fixed_text(_col(ratio) * F.lit(100.0), decimals)
+    return F.when(text == NA_TOKEN, text).otherwise(F.concat(text, F.lit("%")))
 
 
 def in_set(c: ColumnOrName, values: Iterable) -> Column:

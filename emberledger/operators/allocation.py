@@ -15,11 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberledger import constants as K
-from emberledger.functions.semantics import na_sum, str_extract, str_remove_first, to_int
+from emberledger.functions.semantics import na_sum, str_extract, str_remove_first, to_int, whole_partition
 from emberledger.operators.factors import KEEP, apply_factors
 from emberledger.operators.relational import bind, lookup_join, to_long, when_map
 from emberledger.sources.schemas import SECTOR_COLUMNS
@@ -83,6 +83,52 @@ def allocation_matrix(
     return grid.where(F.col("percentage") > 0)
 
 
+def allocation_of_records(
+    rollup: DataFrame,
+    method_sources: Mapping[str, Mapping[str, object]],
+    years: Sequence[int],
+    entities: Sequence[str],
+    types: Sequence[str],
+    supplied_entity: str,
+) -> DataFrame:
+    """The matrix (D7) where all compositions come from the same records.
+
+    ``rollup``: (input_year, entity, waste_type, disposal_method, amount),
+    one row per key.  ``method_sources``: method -> ``{"of": method whose
+    amounts make up the type composition, or None for all; "types": the
+    types it has, or None}``.  One window over (year, entity) gives every
+    total; the shares are quotients of a row's amounts by them.  The rows of
+    ``supplied_entity`` are its shares by type and method.
+    """
+    methods = list(method_sources)
+    amount = F.col("amount")
+
+    def of(method: str | None) -> Column:
+        return amount if method is None else F.when(F.col("disposal_method") == method, amount)
+
+    pieces = {"all": None, **{m: m for m in methods}}
+    typed = rollup.where(F.col("input_year").isin(list(years))).groupBy("input_year", "entity", "waste_type").agg(
+        *[F.sum(of(m)).alias(f"__{n}") for n, m in pieces.items()]
+    )
+    whole = whole_partition("input_year", "entity")
+    totals = {f"__t_{n}": F.sum(f"__{n}").over(whole) for n in pieces}
+    for m, source in method_sources.items():
+        own = F.col("waste_type").isin(list(source["types"])) if source["types"] is not None else F.lit(True)
+        totals[f"__c_{m}"] = F.sum(F.when(own, F.col(f"__{source['of'] or 'all'}"))).over(whole)
+    typed = typed.withColumns(totals)
+    is_supplied = F.col("entity") == supplied_entity
+    in_grid = F.col("entity").isin(list(entities)) & F.col("waste_type").isin(list(types))
+    shares = []
+    for m, source in method_sources.items():
+        own = F.col("waste_type").isin(list(source["types"])) if source["types"] is not None else F.lit(True)
+        composition = F.when(own, F.col(f"__{source['of'] or 'all'}")) / F.col(f"__c_{m}")
+        share = F.when(in_grid, composition * (F.col(f"__t_{m}") / F.col("__t_all")))
+        share = F.when(is_supplied, F.col(f"__{m}") / F.col("__t_all")).otherwise(share)
+        shares.append(F.struct(F.lit(m).alias("disposal_method"), share.alias("percentage")))
+    out = typed.select("input_year", "entity", "waste_type", F.explode(F.array(*shares)).alias("__m"))
+    return out.select("input_year", "entity", "waste_type", "__m.*").where(F.col("percentage") > 0)
+
+
 def entity_totals(
     wide: DataFrame,
     ids: Sequence[str] = ("input_year",),
@@ -108,21 +154,24 @@ def allocate_and_emit(
     method_labels: Mapping[str, Mapping[str, str]] = K.METHOD_LABELS,
     supercategory: str = K.SUPERCATEGORY_WASTE,
     units: str = K.SOLID_WASTE_UNITS,
-    sum_scale: int | None = None,
+    decimals: int | None = None,
 ) -> DataFrame:
     """share x entity total, summed over types per method, labelled and
     turned into emissions (D10).
 
     ``scope`` is the trailing digit of ``gpc_ref``.  Methods without labels
     (recycling) keep null labels; unmatched factors stay null (keep policy).
+    ``decimals`` rounds the summed amounts, not the parts.
     """
     joined = lookup_join(
         matrix, totals.select("input_year", "entity", "total_tonnes"),
         ["input_year", "entity"], "left", null_safe=True,
     )
     tonnes = joined.groupBy("input_year", "entity", "disposal_method").agg(
-        na_sum(F.col("percentage") * F.col("total_tonnes"), scale=sum_scale).alias("amount")
+        na_sum(F.col("percentage") * F.col("total_tonnes")).alias("amount")
     )
+    if decimals is not None:
+        tonnes = tonnes.withColumn("amount", F.round("amount", decimals))
     labelled = tonnes.withColumns(
         {
             "supercategory": F.lit(supercategory),

@@ -2,7 +2,7 @@
 factors (D3) and derive transmission/distribution losses (D4).
 
 Facts may be billions of rows; every lookup here is a dimension that is
-broadcast when its size is proven small (see ``relational.dimension``), so
+broadcast when it is small (see ``relational.fits_broadcast``), so
 applying factors is a map-only stage with no shuffle of the facts.
 """
 
@@ -105,7 +105,7 @@ def derive_losses(
     """
     loss = carry_bound(loss_factors, loss_factors.select("fuel_type", "type", "loss_factor", "input_year"))
     joined = lookup_join(
-        records, loss, {fuel: "fuel_type", year: "input_year"}, "inner"
+        records, loss, {fuel: "fuel_type", year: "input_year"}, "inner", null_safe=True
     )
     joined = joined.withColumn(amount, F.col(amount) * F.col("loss_factor"))
     replaced: dict[str, object] = {}
@@ -143,7 +143,9 @@ def with_losses(
             F.collect_list(F.struct(F.lit(True).alias("is_loss"), "type", "loss_factor")).alias("__losses")
         ),
     )
-    joined = lookup_join(records, per_key, {fuel: "fuel_type", year: "input_year"}, "left")
+    joined = lookup_join(
+        records, per_key, {fuel: "fuel_type", year: "input_year"}, "left", null_safe=True, sized_as=loss_factors
+    )
     direct = F.array(F.struct(
         F.lit(False).alias("is_loss"), F.lit(None).cast("string").alias("type"),
         F.lit(None).cast("double").alias("loss_factor"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberledger import constants as K
-from emberledger.functions.semantics import na_mean, na_sum, safe_div, sum_or_zero
+from emberledger.functions.semantics import na_mean, na_sum, safe_div, sum_or_zero, whole_partition
 from emberledger.operators.factors import KEEP, apply_factors
 from emberledger.operators.records import fan_out_activities
 from emberledger.operators.relational import lookup_join
@@ -80,19 +80,17 @@ def transit_fuel_model(
     by: Sequence[str] = ("input_year",),
     na_rm: bool = False,
     labels: Mapping[str, object] = K.TRANSIT_FUEL_LABELS,
-    sum_scale: int | None = None,
     **constants: float,
 ) -> DataFrame:
     """Per-route fuel summed by year, as ledger rows.
 
-    The sum is NA-propagating like the model's, unless ``na_rm``;
-    ``sum_scale`` accumulates in DECIMAL for an order-independent total.
+    The sum is NA-propagating like the model's, unless ``na_rm``.
     """
     fuel = transit_fuel(
         F.col("miles_per_route"), F.col("avg_weekday_trips"), F.col("avg_sat_trips"),
         F.col("avg_sun_trips"), F.col("avg_fuel_efficiency"), **constants,
     )
-    agg = sum_or_zero(fuel, scale=sum_scale) if na_rm else na_sum(fuel, scale=sum_scale)
+    agg = sum_or_zero(fuel) if na_rm else na_sum(fuel)
     out = with_labels(routes.groupBy(*by).agg(agg.alias("amount")), labels)
     return sector_columns(out)
 
@@ -136,7 +134,7 @@ def downscale(
     Unmatched years keep a null factor; a zero regional size gives null.
     """
     ratio = scaling.select(*on, safe_div(local, regional).alias("scaling_factor"))
-    joined = lookup_join(counts, ratio, list(on), "left", null_safe=True, probe=False)
+    joined = lookup_join(counts, ratio, list(on), "left", null_safe=True)
     return joined.withColumn(out, F.col(count) * F.col("scaling_factor"))
 
 
@@ -156,8 +154,7 @@ def concentration_load(
     """Yearly mean concentration x summed flow x unit constant.
 
     Flows are aggregated per (year, entity) and chemistry per year before
-    they meet, so the join is between two small aggregates and needs no
-    size probe (which would aggregate the chemistry twice).  The effluent
+    they meet, so the join is between two small aggregates.  The effluent
     mean drives the load; the influent mean is reported alongside.
     """
     means = chemistry.groupBy(year).agg(
@@ -165,13 +162,51 @@ def concentration_load(
         na_mean(effluent).alias("avg_effluent_bod"),
     )
     volume = flows.groupBy(*by).agg(na_sum(flow).alias(flow))
-    joined = lookup_join(volume, means, [year], "left", null_safe=True, probe=False)
+    joined = lookup_join(volume, means, [year], "left", null_safe=True)
+    return load_rows(joined, factors, flow, liters_per_gallon, mg_per_kg, labels)
+
+
+def load_rows(
+    volume: DataFrame,
+    factors: DataFrame,
+    flow: str = "wastewater_gallons",
+    liters_per_gallon: float = K.LITERS_PER_GALLON,
+    mg_per_kg: float = K.MG_PER_KG,
+    labels: Mapping[str, object] = K.WASTEWATER_LABELS,
+) -> DataFrame:
+    """Ledger rows of summed flows that carry ``avg_effluent_bod``."""
     load = (
         F.col(flow) * F.lit(liters_per_gallon) * F.col("avg_effluent_bod") / F.lit(mg_per_kg)
     )
-    out = with_labels(joined.withColumn("amount", load), labels)
-    out = apply_factors(out, factors, KEEP)
-    return sector_columns(out)
+    out = with_labels(volume.withColumn("amount", load), labels)
+    return sector_columns(apply_factors(out, factors, KEEP))
+
+
+def concentration_load_of(
+    records: DataFrame,
+    factors: DataFrame,
+    flow: str = "wastewater_gallons",
+    influent: str = "influent_bod_mg_l",
+    effluent: str = "effluent_bod_mg_l",
+    entity: str = "entity",
+    year: str = "input_year",
+) -> DataFrame:
+    """D11 where flows and concentrations are columns of the same records:
+    one aggregation to (year, entity) with sums and counts, from which the
+    yearly means follow, so the records are read once."""
+    total = [F.sum(c).alias(f"__sum_{c}") for c in (influent, effluent)]
+    known = [F.count(c).alias(f"__n_{c}") for c in (influent, effluent)]
+    rows = F.count(F.lit(1)).alias("__rows")
+    flows = records.groupBy(year, entity).agg(na_sum(flow).alias(flow), *total, *known, rows)
+    whole = whole_partition(year)
+
+    def mean(c: str) -> Column:
+        n = F.sum("__rows").over(whole)
+        full = F.sum(f"__n_{c}").over(whole) == n
+        return F.when(full, F.sum(f"__sum_{c}").over(whole) / n)
+
+    means = {"avg_influent_bod": mean(influent), "avg_effluent_bod": mean(effluent)}
+    return load_rows(flows.withColumns(means), factors, flow)
 
 
 def application_model(
@@ -192,11 +227,24 @@ def application_model(
         na_mean(share).alias("fertilization_pct"),
         na_mean(rate).alias("application_rate"),
     )
-    joined = lookup_join(area.select(year, acreage), means, [year], "left", null_safe=True, probe=False)
+    joined = lookup_join(area.select(year, acreage), means, [year], "left", null_safe=True)
+    return application_rows(joined, factors, acreage, lb_per_kg, labels, suffixes)
+
+
+def application_rows(
+    yearly: DataFrame,
+    factors: DataFrame,
+    acreage: str = "local_acreage",
+    lb_per_kg: float = K.LB_PER_KG,
+    labels: Mapping[str, object] = K.FERTILIZATION_LABELS,
+    suffixes: Sequence[str] = K.DIRECT_AND_INDIRECT,
+) -> DataFrame:
+    """Ledger rows of yearly areas that carry the mean share
+    (``fertilization_pct``) and rate (``application_rate``)."""
     amount = (
         F.col(acreage) * F.col("fertilization_pct") * F.col("application_rate") * F.lit(lb_per_kg)
     )
-    out = with_labels(joined.withColumn("amount", amount), labels)
+    out = with_labels(yearly.withColumn("amount", amount), labels)
     out = fan_out_activities(out, suffixes)
     out = apply_factors(out, factors, KEEP)
     return sector_columns(out)

@@ -1,8 +1,7 @@
 """Relational building blocks shared by the domain operators.
 
-* ``dimension`` -- broadcast a lookup side only when its row count has a
-  proven bound; otherwise leave the join to the planner (sort-merge, which
-  AQE may still turn into a broadcast once real sizes are known).
+* ``fits_broadcast`` -- whether a lookup side may be broadcast, decided from
+  known rows or file sizes, without a job.
 * ``lookup_join`` -- fact-to-dimension join with renamed keys (N16) and
   dplyr-style null-safe matching (N3/J6).
 * ``fan_out`` -- one row per label variant via ``explode`` (one scan
@@ -13,7 +12,6 @@
 
 from __future__ import annotations
 
-import itertools
 import weakref
 from collections.abc import Mapping, Sequence
 
@@ -29,6 +27,9 @@ DEFAULT_MAX_ROWS = 1_000_000
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 STRING_BYTES = 32
 
+# File sizes are compressed; in memory a table may be this much larger.
+COMPRESSION = 8
+
 _known_rows: "weakref.WeakKeyDictionary[DataFrame, int]" = weakref.WeakKeyDictionary()
 
 
@@ -50,57 +51,29 @@ def row_bytes(schema: T.StructType) -> int:
     return size
 
 
-def broadcast_max_rows(df: DataFrame) -> int:
-    """Largest row count of ``df`` that may be broadcast: the row limit, or
-    fewer when the schema's estimated width would pass the byte limit."""
-    conf = df.sparkSession.conf
-    rows = int(conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
-    max_bytes = int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES)))
-    return max(0, min(rows, max_bytes // row_bytes(df.schema)))
-
-
 def mark_bounded(df: DataFrame, rows: int) -> DataFrame:
     """Record that ``df`` has at most ``rows`` rows (known by construction)."""
     _known_rows[df] = rows
     return df
 
 
-# Probe results per plan hash: (plan, limit, fits) -- "fits" means the plan
-# has at most ``limit`` rows, otherwise it has more.
-_probed: dict[int, list[tuple[DataFrame, int, bool]]] = {}
-_PROBES_PER_PLAN = 8
-
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is small enough to broadcast, without running a job.
 
-def row_bound(df: DataFrame, max_rows: int) -> int | None:
-    """A proven upper bound on the rows of ``df`` if it is at most
-    ``max_rows``, else ``None``.
-
-    The probe asks whether a row exists past offset ``max_rows``; Spark
-    answers it by scanning partitions incrementally (a ``take``), so the
-    work is bounded by ``max_rows`` rows no matter how large ``df`` is, and
-    no column is read.  Answers are remembered per DataFrame and per
-    semantically equal plan, so a shared lookup is probed once per limit.
+    Either its rows are known by construction (``mark_bounded``), or the size
+    statistics of its plan -- for a table, the sizes of the files it lists
+    now -- times ``COMPRESSION`` stay within the session's limits.  Sizes
+    are taken anew for every DataFrame, so a table that has grown is seen.
     """
+    conf = df.sparkSession.conf
+    rows = int(conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS)))
+    width = row_bytes(df.schema)
+    limit = min(int(conf.get(MAX_BYTES_CONF, str(DEFAULT_MAX_BYTES))), rows * width)
     known = _known_rows.get(df)
-    if known is not None and known <= max_rows:
-        return known
-    h = df.semanticHash()
-    for other, limit, fits in _probed.get(h, []):
-        if not df.sameSemantics(other):
-            continue
-        if fits and limit <= max_rows:
-            _known_rows[df] = limit
-            return limit
-        if not fits and limit >= max_rows:
-            return None
-    fits = df.select().offset(max_rows).isEmpty()
-    entries = _probed.setdefault(h, [])
-    entries.append((df, max_rows, fits))
-    del entries[:-_PROBES_PER_PLAN]  # bounded memory in long sessions
-    if fits:
-        _known_rows[df] = max_rows if known is None else min(known, max_rows)
-        return _known_rows[df]
-    return None
+    if known is not None:
+        return known * width <= limit
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size * COMPRESSION <= limit
 
 
 def carry_bound(src: DataFrame, derived: DataFrame, factor: int = 1) -> DataFrame:
@@ -112,23 +85,13 @@ def carry_bound(src: DataFrame, derived: DataFrame, factor: int = 1) -> DataFram
     return derived
 
 
-def dimension(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Hint ``df`` for broadcast when its size is proven small, else not."""
-    limit = max_rows if max_rows is not None else broadcast_max_rows(df)
-    rows = row_bound(df, limit)
-    if rows is None:
-        return df
-    return mark_bounded(F.broadcast(df), rows)
-
-
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
     on: Sequence[str] | Mapping[str, str],
     how: str = "left",
     null_safe: bool = False,
-    max_rows: int | None = None,
-    probe: bool = True,
+    sized_as: DataFrame | None = None,
 ) -> DataFrame:
     """Join a (possibly huge) fact table to a lookup.
 
@@ -136,18 +99,16 @@ def lookup_join(
     dim_key``; the output keeps the fact-side names only (N16).  With
     ``null_safe`` a null key matches a null key, as dplyr joins do.
 
-    The lookup is broadcast when its size is known or proven by a probe.
-    ``probe=False`` is for a lookup that is itself an aggregate of the
-    facts (probing it would compute it twice): the join is left to the
-    planner -- a sort-merge join of two small aggregates, which AQE may
-    still turn into a broadcast join from the sizes its shuffle measured.
+    The lookup is broadcast when it is small (``fits_broadcast``); otherwise
+    the planner decides -- a sort-merge join, whose hot keys AQE splits and
+    which it turns into a broadcast join if the side measures small.
+    ``sized_as`` names a DataFrame that ``dim`` has no more rows than, where
+    the statistics of ``dim`` itself say little (a join, gathered arrays).
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     tmp = {d: f"__key_{i}" for i, (_, d) in enumerate(pairs)}
-    limit = max_rows if max_rows is not None else broadcast_max_rows(dim)
     right = dim.withColumnsRenamed(tmp)
-    known = _known_rows.get(dim)
-    if (known is not None and known <= limit) or (probe and row_bound(dim, limit) is not None):
+    if fits_broadcast(sized_as if sized_as is not None else dim):
         right = F.broadcast(right)
     cond: list[Column] = []
     for f, d in pairs:
@@ -204,19 +165,19 @@ def bind(*frames: DataFrame) -> DataFrame:
 def crossing(spark, schema: str, **domains: Sequence) -> DataFrame:
     """Sorted, de-duplicated product of literal value domains.
 
-    The domains are parameters, not data, so the product is a literal
-    table of known size -- no cross join is planned.
+    The domains are parameters, not data. The product is built by exploding
+    one array literal per domain, so it may have any size, and no cross join
+    is planned.
     """
-    from emberledger.sources.io import literal_table  # local: avoid cycle
-
-    axes = [sorted(set(v)) for v in domains.values()]
+    fields = spark.createDataFrame([], schema).schema.fields
+    out = spark.range(1).select()
     size = 1
-    for a in axes:
-        size *= len(a)
-    conf = spark.conf.get(MAX_ROWS_CONF, str(DEFAULT_MAX_ROWS))
-    if size > int(conf):
-        raise ValueError(f"crossing of {size} rows exceeds {MAX_ROWS_CONF}={conf}")
-    return literal_table(spark, list(itertools.product(*axes)), schema)
+    for field, values in zip(fields, domains.values()):
+        axis = sorted(set(values))
+        size *= len(axis)
+        literal = F.array(*[F.lit(v).cast(field.dataType) for v in axis]).cast(T.ArrayType(field.dataType))
+        out = out.withColumn(field.name, F.explode(literal))
+    return mark_bounded(out.orderBy(*[f.name for f in fields]), size)
 
 
 def when_map(column: str | Column, mapping: Mapping, default: Column | None = None) -> Column:

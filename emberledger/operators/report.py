@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberledger.functions.semantics import (
-    fixed_text,
     label_text,
     na_sum,
+    number_text,
     percent_text,
     safe_div,
     sum_or_zero,
@@ -24,6 +24,13 @@ from emberledger.functions.semantics import (
 )
 
 
+def ordered(df: DataFrame, period: str, *then: str) -> DataFrame:
+    """Display order (O2): by the numeric year in a period such as
+    ``FY 2016`` or ``2016``, then by the other keys."""
+    text = F.col(period).cast("string")
+    return df.orderBy(F.regexp_extract(text, r"(\d+)", 1).try_cast("int"), text, *then)
+
+
 def annual_totals(
     ledger: DataFrame,
     by: Sequence[str] = ("input_year",),
@@ -33,7 +40,7 @@ def annual_totals(
 ) -> DataFrame:
     """Totals per ``by`` (A6); NA-ignoring by default like the report."""
     agg = sum_or_zero(value) if na_rm else na_sum(value)
-    return ledger.groupBy(*by).agg(agg.alias(out))
+    return ordered(ledger.groupBy(*by).agg(agg.alias(out)), *by)
 
 
 def baseline_vs_current(
@@ -89,7 +96,7 @@ def change_vs_baseline(
                 "total_label": F.format_number(F.col("total"), 0),
             }
         )
-    return out
+    return ordered(out, period, *by)
 
 
 def sector_share(
@@ -99,7 +106,8 @@ def sector_share(
     value: str = "total_mtco2e",
     decimals: int = 1,
 ) -> DataFrame:
-    """Emissions and percent of the period total per (period, sector).
+    """Emissions, percent of the period total and a label (null prints as
+    ``NA``) per (period, sector) (D22).
 
     Sector totals and the period total are NA-propagating, as in the
     report; the period total is a window over the aggregated rows.
@@ -108,7 +116,13 @@ def sector_share(
     year_total = na_sum(value, over=whole_partition(period))
     out = sectors.withColumn("year_total", year_total)
     out = out.withColumn("pct", safe_div(F.col(value), F.col("year_total")) * F.lit(100.0))
-    return out.withColumn("pct_rounded", F.bround("pct", decimals))
+    text = F.concat(
+        F.lit("Sector: "), label_text(sector),
+        F.lit("<br>Emissions: "), number_text(value, decimals), F.lit(" MTCO2e<br>Share: "),
+        number_text("pct", decimals), F.lit("%"),
+    )
+    out = out.withColumns({"pct_rounded": F.bround("pct", decimals), "text": text})
+    return ordered(out, period, sector)
 
 
 def fuel_mix(
@@ -117,19 +131,17 @@ def fuel_mix(
     fuel: str = "account_fuel",
     value: str = "total_mtco2e",
     out: str = "total_emissions",
-    sum_scale: int | None = None,
 ) -> DataFrame:
     """Emissions per (period, fuel), share of the period on a 0-1 scale
     (the normalization of a 100 %-stacked bar, W4) and in percent, and a
     tooltip label where nulls print as ``NA`` (D23)."""
-    fuels = meter_ledger.groupBy(period, fuel).agg(na_sum(value, scale=sum_scale).alias(out))
-    period_total = na_sum(out, over=whole_partition(period), scale=sum_scale)
+    fuels = meter_ledger.groupBy(period, fuel).agg(na_sum(value).alias(out))
+    period_total = na_sum(out, over=whole_partition(period))
     fuels = fuels.withColumn("share", safe_div(F.col(out), period_total))  # 0-1, stacked bars
     fuels = fuels.withColumn("percentage", F.col("share") * F.lit(100.0))
-    return fuels.withColumn(
-        "tooltip_text",
-        F.concat(
-            F.lit("Fuel: "), label_text(fuel),
-            F.lit("\nShare: "), fixed_text("percentage", 1), F.lit("%"),
-        ),
+    text = F.concat(
+        F.lit("Fuel: "), label_text(fuel),
+        F.lit("\nEmissions: "), number_text(out, 2),
+        F.lit(" MTCO2e\nShare: "), number_text("percentage", 1), F.lit("%"),
     )
+    return ordered(fuels.withColumn("tooltip_text", text), period, fuel)

@@ -83,12 +83,17 @@ ZONE_ROWS = [("AFRICA", "south"), ("AMERICA", "west"), ("ASIA", "east"), ("EUROP
 ZONE_SCHEMA = "r_name string, zone string"
 
 # Allocation (q12/q22): methods are return flags; each draws on one composition.
-METHOD_SOURCES = {"A": "organic", "N": "total", "R": "recycling"}
+ORGANIC_TYPES = ["PROMO", "SMALL"]
+# Method -> whose amounts its type composition is made of (None: all), and which types it has.
+METHOD_COMPOSITIONS = {
+    "A": {"of": "A", "types": ORGANIC_TYPES},
+    "N": {"of": None, "types": None},
+    "R": {"of": "R", "types": None},
+}
 GRID_YEARS = FACTOR_YEARS
 GRID_ENTITIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]  # HOUSEHOLD is supplied
 GRID_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
 GRID_METHODS = ["A", "N", "R", "X"]
-ORGANIC_TYPES = ["PROMO", "SMALL"]
 SUPPLIED_ENTITY = "HOUSEHOLD"
 METHOD_LABELS = {
     "N": {"subcategory": "normal_lines", "gpc_ref": "T.1.2"},
@@ -118,9 +123,7 @@ DEPARTMENT_RULES = [("o_orderstatus", ["P"], "pending_desk"),
 SECTOR_OF_FLAG = {"A": "stationary_energy", "N": "transportation", "R": "waste"}
 ORDERS_SECTOR = "agriculture_forestry_other_land_use"
 
-# Scale of DECIMAL accumulation for sums of non-dyadic doubles (q18, q22).
-DECIMAL_SCALE = 6
-# Meter readings carry 2 decimals; /1000 and the meter factors and loss
-# factors above (at most 2 decimals each) keep every emission value within
-# 7 decimals, so accumulating at scale 8 never meets a rounding tie.
-METER_DECIMAL_SCALE = 8
+# Digits that finished totals of non-dyadic doubles are rounded to.
+TOTAL_DECIMALS = 6
+# Meter emissions have at most 8 decimals.
+METER_DECIMALS = 9

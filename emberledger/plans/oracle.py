@@ -36,9 +36,14 @@ def _case_map(col: str, mapping: dict, default: str | None = None) -> str:
     return f"CASE {whens}{' ELSE ' + default if default else ''} END"
 
 
-def _na_sum(expr: str, over: str = "", scale: int | None = None) -> str:
-    s = f"CAST(sum(CAST({expr} AS DECIMAL(38,{scale}))){over} AS DOUBLE)" if scale else f"sum({expr}){over}"
-    return f"CASE WHEN bool_or({expr} IS NULL){over} THEN NULL ELSE coalesce({s}, 0.0) END"
+def _na_sum(expr: str, over: str = "") -> str:
+    return f"CASE WHEN bool_or({expr} IS NULL){over} THEN NULL ELSE coalesce(sum({expr}){over}, 0.0) END"
+
+
+def _number_text(expr: str, decimals: int) -> str:
+    """Rounded, without trailing zeros; NA for null."""
+    fixed = f"printf('%.{decimals}f', round_even(round({expr}, {decimals + 7}), {decimals}) + 0.0)"
+    return f"CASE WHEN {expr} IS NULL THEN 'NA' ELSE regexp_replace({fixed}, '\\.0+$|(\\.\\d*?[1-9])0+$', '\\1') END"
 
 
 KEYS = values(B.KEY_ROWS, ["activity", "input_year", "emissions_factor"])
@@ -187,6 +192,51 @@ def _labels_select(labels: dict) -> str:
     return ", ".join(f"{_lit(v)} AS {k}" for k, v in labels.items())
 
 
+CHANGE_COLUMNS = """fiscal_year, total, percent_change,
+  CASE WHEN percent_change IS NULL THEN 'NA'
+       ELSE printf('%.1f%%', round_even(round(percent_change * 100.0, 8), 1) + 0.0) END AS percent_change_label,
+  format('{:,.0f}', total) AS total_label"""
+
+
+def _baseline_sql(where: str) -> str:
+    return _with(*LEDGER_CTES) + f"""
+SELECT baseline, current, (current - baseline) / nullif(baseline, 0) AS change FROM (
+  SELECT CASE WHEN bool_or(input_year = 1995 AND total_mtco2e IS NULL) THEN NULL
+              ELSE coalesce(sum(CASE WHEN input_year = 1995 THEN total_mtco2e END), 0.0) END AS baseline,
+         coalesce(sum(CASE WHEN input_year = 2000 THEN total_mtco2e END), 0.0) AS current
+  FROM ledger WHERE {where} AND input_year IN (1995, 2000))"""
+
+
+def _share_sql(where: str) -> str:
+    return _with(
+        *LEDGER_CTES,
+        f"""s AS (SELECT fiscal_year, supercategory, {_na_sum('total_mtco2e')} AS total_mtco2e
+  FROM ledger WHERE {where} GROUP BY 1, 2)""",
+        f"""y AS (SELECT *, {_na_sum('total_mtco2e', over=' OVER (PARTITION BY fiscal_year)')} AS year_total FROM s)""",
+        "p AS (SELECT *, total_mtco2e / nullif(year_total, 0) * 100.0 AS pct FROM y)",
+    ) + f"""
+SELECT fiscal_year, supercategory, total_mtco2e, year_total, pct, round_even(pct, 1) AS pct_rounded,
+  'Sector: ' || coalesce(supercategory, 'NA') || '<br>Emissions: ' || {_number_text('total_mtco2e', 1)} ||
+  ' MTCO2e<br>Share: ' || {_number_text('pct', 1)} || '%' AS text
+FROM p"""
+
+
+def _mix_sql(where: str) -> str:
+    return _with(
+        *METER_CTES,
+        f"""f AS (
+  SELECT CAST(CAST(usage_end AS DATE) AS VARCHAR) AS day, account_fuel, {_na_sum('total_mtco2e')} AS total_emissions
+  FROM meter WHERE {where} GROUP BY 1, 2)""",
+        f"""p AS (
+  SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)')}, 0) AS share FROM f)""",
+    ) + f"""
+SELECT day, account_fuel, round(total_emissions, {B.METER_DECIMALS}) AS total_emissions, round(share, 9) AS share,
+  round(share * 100.0, 7) AS percentage,
+  'Fuel: ' || coalesce(account_fuel, 'NA') || chr(10) || 'Emissions: ' || {_number_text('total_emissions', 2)} ||
+  ' MTCO2e' || chr(10) || 'Share: ' || {_number_text('(share * 100.0)', 1)} || '%' AS tooltip_text
+FROM p"""
+
+
 SQL: dict[str, str] = {
     "q01_resolve_factors": _with() + f"""
 SELECT p.activity, p.input_year, p.n_records, r.total_co2e_ef
@@ -215,6 +265,11 @@ FROM part""",
 SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax FROM lineitem
 WHERE l_returnflag = 'R' AND l_linestatus IN ('F', 'O') AND l_tax > 0.04::DOUBLE AND l_discount > 0""",
 
+    "q06_membership": """
+SELECT l_orderkey, l_linenumber, flag, coalesce(flag IN ('A', 'R'), FALSE) AS is_in,
+       NOT coalesce(flag IN ('A', 'R'), FALSE) AS is_out
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_tax > 0.04::DOUBLE THEN l_returnflag END AS flag FROM lineitem)""",
+
     "q07_recode": _with() + f"""
 SELECT m.activity_recoded AS activity, a.input_year, count(*) AS n_records, sum(a.amount) AS total_amount
 FROM act a LEFT JOIN {values(B.RECODE_ROWS, ['activity', 'activity_recoded'])} m
@@ -229,6 +284,23 @@ SELECT a.activity, a.input_year, count(*) AS n_records,
 FROM act a LEFT JOIN resolved r ON {MATCH.format(a='a')}
 GROUP BY a.activity, a.input_year""",
 
+    "q08_matched_only": _with() + f"""
+SELECT a.activity, a.input_year, count(*) AS n_records, coalesce(sum(a.amount), 0.0) AS total_amount,
+       coalesce(sum(a.amount * r.total_co2e_ef), 0.0) AS total_mtco2e
+FROM act a JOIN resolved r ON {MATCH.format(a='a')}
+WHERE a.amount * r.total_co2e_ef IS NOT NULL
+GROUP BY a.activity, a.input_year""",
+
+    "q09_loss_records": _with(
+        f"""led AS (
+  SELECT a.activity || '_' || l.type AS activity, a.input_year, a.amount * l.loss_factor AS amount,
+    {_case_map('a.activity', {k: v['gpc_ref'] for k, v in B.LOSS_LABELS.items()})} AS gpc_ref,
+    {_case_map('a.activity', {k: v['scope'] for k, v in B.LOSS_LABELS.items()})} AS scope
+  FROM act a JOIN loss l ON a.activity = l.fuel_type AND a.input_year = l.input_year)"""
+    ) + _totals("led", "s.activity, s.input_year, s.gpc_ref, s.scope").replace(
+        "SELECT s.activity, s.input_year, s.gpc_ref, s.scope",
+        "SELECT s.activity AS activity, s.input_year AS input_year, s.gpc_ref AS gpc_ref, s.scope AS scope"),
+
     "q09_losses": _with(
         f"""led AS (
   SELECT activity, input_year, amount, CAST(NULL AS VARCHAR) AS gpc_ref, CAST(NULL AS INTEGER) AS scope FROM act
@@ -322,9 +394,20 @@ FROM fan f LEFT JOIN resolved r ON {MATCH.format(a='f')}""",
            1.0::DOUBLE AS sun, l_tax AS eff FROM act))"""
     ) + f"""
 SELECT {_labels_select(K.TRANSIT_FUEL_LABELS)},
-       coalesce(CAST(sum(CAST(fuel AS DECIMAL(38,{B.DECIMAL_SCALE}))) AS DOUBLE), 0.0) AS amount, input_year
+       round(coalesce(sum(fuel), 0.0), {B.TOTAL_DECIMALS}) AS amount, input_year
 FROM routes GROUP BY input_year""",
 
+    "q18_transit_strict": _with(
+        f"""routes AS (
+  SELECT input_year, eff, {_transit_fuel_sql()} AS fuel FROM (
+    SELECT input_year, amount AS miles, CAST(l_linenumber AS DOUBLE) AS wd, l_linenumber / 2.0::DOUBLE AS sat,
+           1.0::DOUBLE AS sun, l_tax AS eff FROM act))""",
+        f"""sums AS (
+  SELECT input_year, {_na_sum('fuel')} AS amount FROM routes GROUP BY input_year
+  UNION ALL SELECT input_year, {_na_sum('fuel')} AS amount FROM routes WHERE eff > 0 GROUP BY input_year)""",
+    ) + f"""
+SELECT {_labels_select(K.TRANSIT_FUEL_LABELS)}, round(amount, {B.TOTAL_DECIMALS}) AS amount, input_year FROM sums""",
+
     "q19_labels": f"""
 SELECT o_orderkey,
   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high'
@@ -350,7 +433,7 @@ SELECT event_id, year, activity, use, units, total_co2e_ef, total_mtco2e FROM me
     "q22_allocate_and_emit": _with(*ALLOCATION_CTES, WIDE_CTE, LONG_CTE,
         f"""m AS (
   SELECT g.input_year, g.entity, g.disposal_method,
-    {_na_sum('g.percentage * t.total_tonnes', scale=B.DECIMAL_SCALE)} AS amount
+    round({_na_sum('g.percentage * t.total_tonnes')}, {B.TOTAL_DECIMALS}) AS amount
   FROM matrix g LEFT JOIN long13 t ON g.input_year IS NOT DISTINCT FROM t.input_year
     AND g.entity IS NOT DISTINCT FROM t.entity
   WHERE g.percentage > 0
@@ -387,13 +470,30 @@ FROM fan f LEFT JOIN resolved r ON {MATCH.format(a='f')}""",
 SELECT input_year, coalesce(sum(total_mtco2e), 0.0) AS total_mtco2e FROM ledger
 WHERE entity = 'BUILDING' AND supercategory = 'Stationary Energy' GROUP BY input_year""",
 
-    "q26_baseline_vs_current": _with(*LEDGER_CTES) + """
-SELECT baseline, current, (current - baseline) / nullif(baseline, 0) AS change FROM (
-  SELECT CASE WHEN bool_or(input_year = 1995 AND total_mtco2e IS NULL) THEN NULL
-              ELSE coalesce(sum(CASE WHEN input_year = 1995 THEN total_mtco2e END), 0.0) END AS baseline,
-         coalesce(sum(CASE WHEN input_year = 2001 THEN total_mtco2e END), 0.0) AS current
-  FROM ledger WHERE entity = 'BUILDING' AND supercategory = 'Stationary Energy'
-    AND input_year IN (1995, 2001))""",
+    "q24_four_sectors": _with(
+        f"""s4 AS (
+  SELECT 'stationary_energy' AS supercategory, l_linestatus AS subcategory, 'I.1' AS gpc_ref, 1 AS scope,
+         activity, entity, amount, 'units' AS units, input_year FROM act WHERE supercategory = 'A'
+  UNION ALL SELECT 'transportation', 'orders', 'II.1', NULL, o_orderpriority, o_orderstatus, o_totalprice, 'usd',
+         CAST(year(o_orderdate) AS INTEGER) FROM orders
+  UNION ALL SELECT 'waste', NULL, 'III.1', 3, p_type, p_brand, p_retailprice, NULL,
+         CAST(1995 + p_size % 6 AS INTEGER) FROM part
+  UNION ALL SELECT {_lit(B.ORDERS_SECTOR)}, 'events', NULL, 1, event_type, NULL, value, 'count',
+         CAST(year(ts) AS INTEGER) FROM events)""",
+        f"""l4 AS (
+  SELECT s.*, r.total_co2e_ef, s.amount * r.total_co2e_ef AS total_mtco2e
+  FROM s4 s LEFT JOIN resolved r ON {MATCH.format(a='s')})""",
+    ) + f"""
+SELECT {_pretty_case} AS supercategory, subcategory, gpc_ref, scope, activity, entity, units, input_year,
+       total_co2e_ef, 'FY ' || CAST(input_year AS VARCHAR) AS fiscal_year, count(*) AS n_records,
+       CAST(sum(CAST(amount AS DECIMAL(38,4))) AS DOUBLE) AS amount,
+       count(*) FILTER (WHERE total_mtco2e IS NULL) AS n_unmatched
+FROM l4 WHERE supercategory <> 'stationary_energy' OR total_mtco2e IS NOT NULL
+GROUP BY ALL""",
+
+    "q26_baseline_vs_current": _baseline_sql("entity = 'BUILDING'"),
+
+    "q26_baseline_known": _baseline_sql("entity = 'BUILDING' AND supercategory = 'Stationary Energy'"),
 
     "q27_change_vs_baseline": _with(
         *LEDGER_CTES,
@@ -401,37 +501,24 @@ SELECT baseline, current, (current - baseline) / nullif(baseline, 0) AS change F
         "b AS (SELECT entity, arg_min(total, fiscal_year) AS base FROM t GROUP BY entity)",
         "c AS (SELECT t.entity, t.fiscal_year, t.total, (t.total - b.base) / nullif(b.base, 0) AS percent_change "
         "FROM t JOIN b ON t.entity IS NOT DISTINCT FROM b.entity)",
-    ) + """
-SELECT entity, fiscal_year, total, percent_change,
-  CASE WHEN percent_change IS NULL THEN 'NA' ELSE printf('%.1f%%', percent_change * 100.0) END AS percent_change_label,
-  format('{:,.0f}', total) AS total_label
-FROM c""",
+    ) + f"""
+SELECT entity, {CHANGE_COLUMNS} FROM c""",
 
-    "q28_sector_share": _with(
+    "q27_change_overall": _with(
         *LEDGER_CTES,
-        f"""s AS (SELECT fiscal_year, supercategory, {_na_sum('total_mtco2e')} AS total_mtco2e
-  FROM ledger WHERE total_mtco2e IS NOT NULL GROUP BY 1, 2)""",
-        f"""y AS (SELECT *, {_na_sum('total_mtco2e', over=' OVER (PARTITION BY fiscal_year)')} AS year_total FROM s)""",
-    ) + """
-SELECT fiscal_year, supercategory, total_mtco2e, year_total,
-       total_mtco2e / nullif(year_total, 0) * 100.0 AS pct,
-       round_even(total_mtco2e / nullif(year_total, 0) * 100.0, 1) AS pct_rounded
-FROM y""",
+        "t AS (SELECT fiscal_year, coalesce(sum(total_mtco2e), 0.0) AS total FROM ledger WHERE entity = 'BUILDING' GROUP BY 1)",
+        "c AS (SELECT fiscal_year, total, (total - (SELECT arg_min(total, fiscal_year) FROM t)) "
+        "/ nullif((SELECT arg_min(total, fiscal_year) FROM t), 0) AS percent_change FROM t)",
+    ) + f"""
+SELECT {CHANGE_COLUMNS} FROM c""",
 
-    "q29_fuel_mix": _with(
-        *METER_CTES,
-        f"""f AS (
-  SELECT CAST(CAST(usage_end AS DATE) AS VARCHAR) AS day, account_fuel,
-         {_na_sum('total_mtco2e', scale=B.METER_DECIMAL_SCALE)} AS total_emissions
-  FROM meter WHERE total_mtco2e IS NOT NULL GROUP BY 1, 2)""",
-        f"""p AS (
-  SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)', scale=B.METER_DECIMAL_SCALE)}, 0)
-            AS share FROM f)""",
-    ) + """
-SELECT day, account_fuel, total_emissions, share, share * 100.0 AS percentage,
-  'Fuel: ' || coalesce(account_fuel, 'NA') || chr(10) || 'Share: ' ||
-  CASE WHEN share IS NULL THEN 'NA' ELSE printf('%.1f', share * 100.0) END || '%' AS tooltip_text
-FROM p""",
+    "q28_sector_share": _share_sql("TRUE"),
+
+    "q28_sector_share_known": _share_sql("total_mtco2e IS NOT NULL"),
+
+    "q29_fuel_mix": _mix_sql("TRUE"),
+
+    "q29_fuel_mix_known": _mix_sql("total_mtco2e IS NOT NULL"),
 }
 
 # The streaming form of q21 must give exactly the batch rows.

@@ -131,13 +131,16 @@ def inventory(
     waste_residual_entity: str,
     waste_years: Sequence[int] | None = K.WASTE_YEARS,
     ef: DataFrame | None = None,
+    transit: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """The four sector ledgers under one schema with fiscal-year labels;
-    factors are resolved once and shared by all sectors."""
+    factors are resolved once and shared by all sectors.  ``transit`` are
+    arguments of the transit model, such as ``labels`` with the activity
+    name that the key table uses."""
     ef = ef if ef is not None else resolved_factors(t)
     return inv.assemble_inventory(
         stationary_ledger(t, ef),
         waste_ledger(t, waste_entities, waste_named_parts, waste_residual_entity, ef, waste_years),
-        transportation_ledger(t, ef),
+        transportation_ledger(t, ef, **(transit or {})),
         agriculture_ledger(t, ef),
     )

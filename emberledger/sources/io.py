@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 
 from emberledger.functions.semantics import NA_TOKEN
 from emberledger.operators.relational import mark_bounded
+from emberledger.session import ensure_checkpoint_dir
 from emberledger.sources import schemas
 
 
-_shared: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+_schemas: "weakref.WeakKeyDictionary[SparkSession, dict[str, T.StructType]]" = weakref.WeakKeyDictionary()
 
 
 def read_table(
@@ -33,31 +34,44 @@ def read_table(
 ) -> DataFrame:
     """Load one named table ``<root>/<name>.<fmt>``.
 
-    With a schema the reader does no inference and Parquet columns are
-    matched by name, so column pruning and filter pushdown reach the scan.
-    With ``reuse`` the session hands out one DataFrame per table, so the
-    file listing and footer read happen once however many operators use
-    it (files added later are not seen by that DataFrame).
+    With a schema every column of it must be in the file (by name; others
+    are ignored) and has its type, else the read raises.  ``reuse`` keeps the
+    schema that a path had in this session, so that its footers are read
+    once; files are listed anew on every read.
     """
     schema = schema if schema is not None else schemas.TABLES.get(name)
     path = f"{root.rstrip('/')}/{name}.{fmt}"
-    key = (path, fmt, schema.json() if schema is not None else None)
-    if reuse:
-        hit = _shared.setdefault(spark, {}).get(key)
-        if hit is not None:
-            return hit
     if fmt == "csv":
-        df = read_csv_table(spark, path, schema)
+        return read_csv_table(spark, path, schema)
+    known = _schemas.setdefault(spark, {}) if reuse else {}
+    if path in known:
+        return spark.read.schema(known[path]).format(fmt).load(path)
+    df = spark.read.format(fmt).load(path)
+    if schema is not None:
+        df = typed(df, schema, path)
     else:
-        reader = spark.read.format(fmt)
-        if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.load(path)
-    if reuse:
-        _shared[spark][key] = df
+        known[path] = df.schema
     return df
 
 
+def typed(df: DataFrame, schema: T.StructType, path: str, keep_others: bool = False) -> DataFrame:
+    """The columns of ``schema`` with its types, cast where the file has
+    others; with ``keep_others`` every column, in the file's order.  A
+    missing column raises.  A cast fails on a value that does not fit."""
+    wanted = {f.name: f.dataType for f in schema.fields}
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} lacks columns {missing}")
+    names = df.columns if keep_others else list(wanted)
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(c: str):
+        same = c not in wanted or have[c] == wanted[c]
+        return F.col(f"`{c}`") if same else F.col(f"`{c}`").cast(wanted[c]).alias(c)
+
+    return df.select(*[column(c) for c in names])
+
+
 def load_tables(
     spark: SparkSession, root: str, names: Iterable[str], fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
@@ -65,11 +79,13 @@ def load_tables(
     return {n: read_table(spark, root, n, fmt=fmt) for n in names}
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str | None) -> DataFrame:
+def read_csv_table(
+    spark: SparkSession, path: str, schema: T.StructType | str | None, keep_others: bool = False
+) -> DataFrame:
     """Read a headed CSV where empty cells and ``NA`` are null.
 
-    With a schema, columns are taken by header name -- any order, extra
-    columns ignored -- and cast to the schema's types with ANSI casts, so a
+    With a schema, columns are taken by header name -- any order, others
+    ignored, or kept as strings with ``keep_others`` -- and cast to the schema's types with ANSI casts, so a
     malformed value fails the read instead of turning into a silent null.
     Without one, types are inferred (an extra pass over the data).
     """
@@ -83,11 +99,8 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | str |
         return reader.option("inferSchema", True).csv(path)
     if isinstance(schema, str):  # DDL such as "a int, b string"
         schema = spark.createDataFrame([], schema).schema
-    raw = reader.csv(path)  # strings; partition columns keep their inferred types
-    missing = [f.name for f in schema.fields if f.name not in raw.columns]
-    if missing:
-        raise ValueError(f"{path}: CSV header lacks columns {missing}")
-    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    # strings; partition columns keep their inferred types
+    return typed(reader.csv(path), schema, path, keep_others)
 
 
 def write_table(
@@ -116,32 +129,27 @@ def write_table(
     writer.format(fmt).save(path)
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``.
+def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """An account-level export: the known columns typed, all others kept."""
+    if path.endswith(".csv"):
+        return read_csv_table(spark, path, schema, keep_others=True)
+    return typed(spark.read.parquet(path), schema, path, keep_others=True)
 
-    The setting is read from the session; a default is set only when it is
-    unset (local tests).
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file:/tmp/emberledger-checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/emberledger/{name}-{uuid.uuid4().hex}"
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the session's checkpoint folder, removed when the
+    session ends (see ``session.ensure_checkpoint_dir``)."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/emberledger/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the session's checkpoint folder (``spark.checkpoint.dir``).
-
-    Meant for a small intermediate -- such as an aggregate of the facts --
-    that several branches of one plan read with different filters: Catalyst
-    would push each branch's filter below the aggregate, so the branches
-    would no longer share one exchange and the facts would be scanned once
-    per branch.  A lost executor does not lose the checkpoint.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoints"))
+    the session's checkpoint folder; a lost executor does not lose it.  Runs
+    a job, so no registered query needs it to be built."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -151,6 +159,6 @@ def literal_table(
     """A small literal table (S3), e.g. a mapping or a value domain.
 
     Its size is the length of ``rows``, known here, so it is marked as a
-    bounded dimension: ``lookup_join`` broadcasts it without a size probe.
+    bounded dimension for ``lookup_join``.
     """
     return mark_bounded(spark.createDataFrame(list(rows), schema), len(rows))

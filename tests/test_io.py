@@ -11,8 +11,8 @@ from emberledger.sources.schemas import LEDGER, conform
 
 
 def test_scratch_dir_under_checkpoint_dir(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     a, b = io.scratch_dir(spark, "x"), io.scratch_dir(spark, "x")
+    base = spark.sparkContext.getCheckpointDir()
     assert a.startswith(base.rstrip("/")) and a != b
 
 
@@ -28,24 +28,63 @@ def test_csv_roundtrip_with_na_token(spark):
     assert rows(back, "activity", "scope", "amount", "input_year") == rows(df, "activity", "scope", "amount", "input_year")
 
 
-def test_read_table_reuse(spark):
-    a = io.read_table(spark, "/root/testdata/sf0.001", "nation", reuse=True)
-    b = io.read_table(spark, "/root/testdata/sf0.001", "nation", reuse=True)
-    c = io.read_table(spark, "/root/testdata/sf0.001", "nation")
-    assert a is b and c is not a
+def test_read_table_sees_new_files(spark):
+    root = io.scratch_dir(spark, "reuse")
+    spark.range(5).write.parquet(f"{root}/t.parquet")
+    assert io.read_table(spark, root, "t", reuse=True).count() == 5
+    spark.range(5).write.mode("append").parquet(f"{root}/t.parquet")
+    assert io.read_table(spark, root, "t", reuse=True).count() == 10
 
 
-def test_crossing_is_sorted_distinct_and_bounded(spark):
+def test_parquet_without_a_column_raises(spark):
+    root = io.scratch_dir(spark, "columns")
+    spark.createDataFrame([(2020, 1.0, 2.0)], "input_year int, town double, region double").write.parquet(f"{root}/acreage_scaling.parquet")
+    with pytest.raises(ValueError, match="local_acreage"):
+        io.read_table(spark, root, "acreage_scaling")
+
+
+def test_export_keeps_every_column(spark):
+    from emberledger.sources.schemas import METER_EXPORT
+
+    for fmt in ("csv", "parquet"):
+        path = io.scratch_dir(spark, "export") + f"/e.{fmt}"
+        row = "'2022-01-05 00:00:00' AS usage_end, 'Gas' AS account_fuel, '2.5' AS use, 'therm' AS default_units, 'a' AS facility, 'b' AS department, '77' AS account_number"
+        getattr(spark.sql(f"SELECT {row}").write.option("header", True) if fmt == "csv" else spark.sql(f"SELECT {row}").write, fmt)(path)
+        got = io.read_export(spark, path, METER_EXPORT)
+        assert "account_number" in got.columns
+        assert [(r.use, r.account_number) for r in got.collect()] == [(2.5, "77")]
+
+
+def test_crossing_is_sorted_distinct_and_unbounded(spark):
     g = crossing(spark, "y int, m string", y=[2022, 2016, 2016], m=["b", "a"])
     assert [tuple(r) for r in g.collect()] == [(2016, "a"), (2016, "b"), (2022, "a"), (2022, "b")]
     spark.conf.set(MAX_ROWS_CONF, "3")
     try:
-        with pytest.raises(ValueError):
-            crossing(spark, "y int, m string", y=[1, 2], m=["a", "b"])
+        assert crossing(spark, "y int, m int", y=range(20), m=range(30)).count() == 600
+        assert crossing(spark, "y int, m int", y=[], m=[1]).count() == 0
     finally:
         spark.conf.unset(MAX_ROWS_CONF)
 
 
+def test_cluster_needs_a_checkpoint_folder():
+    from emberledger.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+
+
 def test_supplied_shares_without_type_column(spark):
     method = spark.createDataFrame([(2020, "e", "landfill", 1.0)],
                                    "input_year int, entity string, disposal_method string, disposal_method_pct double")

@@ -212,7 +212,7 @@ def test_full_run_writes_both_ledgers(spark, tables):
     assert r["current"] == 6.0  # town 2021: electricity 8 MWh x 0.75
     fm = spark.read.option("header", True).option("multiLine", True).csv(f"{base}/report/fuel_mix").collect()
     assert len(fm) == 1 and fm[0]["account_fuel"] == "Electric"
-    assert fm[0]["tooltip_text"] == "Fuel: Electric\nShare: 100.0%"
+    assert fm[0]["tooltip_text"].startswith("Fuel: Electric\nEmissions: ") and fm[0]["tooltip_text"].endswith(" MTCO2e\nShare: 100%")
 
 
 def test_run_cli(spark, tables, capsys):
@@ -247,3 +247,21 @@ def test_full_run_from_csv_tables(spark, tables):
     direct = sectors.inventory(tables, ["town", "campus"], ["campus"], "town", [2020])
     cols = ["supercategory", "activity", "entity", "input_year", "amount", "total_mtco2e"]
     assert rows(got, *cols) == rows(direct, *cols)
+
+
+def test_transit_activity_of_another_key_table(spark, tables):
+    """A key table that names the transit rows otherwise is matched by a
+    parameter of the run."""
+    from emberledger import constants as K
+
+    args = (["town", "campus"], ["campus"], "town", [2020])
+    key = tables["activity_emissions_key"]
+    year = tables["transit_model_inputs"].select("input_year").first()[0]
+    fid = key.where("emissions_factor IS NOT NULL").join(tables["emissions_factors"], "emissions_factor").first()["emissions_factor"]
+    t = {**tables, "activity_emissions_key": key.where(key.activity != "transit_bus").unionByName(
+        spark.createDataFrame([("city_bus", year, fid)], "activity string, input_year int, emissions_factor string"))}
+    transit = {"labels": {**K.TRANSIT_FUEL_LABELS, "activity": "city_bus"}, "na_rm": True}
+    rows_ = sectors.inventory(t, *args, transit=transit).where("activity = 'city_bus'").collect()
+    assert any(r["input_year"] == year and r["total_mtco2e"] is not None for r in rows_)
+    old = sectors.inventory(t, *args).where("activity = 'transit_bus'").collect()
+    assert old and all(r["total_mtco2e"] is None for r in old)

@@ -26,11 +26,22 @@ def test_n1_na_sum_window_and_mean(spark):
     assert means == {"a": None, "b": 3.0}
 
 
-def test_n1_decimal_scale_sum_is_order_free(spark):
-    vals = [(0.1,), (0.2,), (0.3,)] * 50
-    df = spark.createDataFrame(vals, "v double").repartition(7)
-    s = df.agg(S.na_sum("v", scale=6).alias("s")).collect()[0]["s"]
-    assert s == 30.0
+def test_number_text_rounds_ties_to_even_and_drops_zeros(spark):
+    vals = [12.25, 12.35, 36.0, 36.04, 0.0, -0.04, 100000.0, 120000.0, 1500000.0, -2000000.0, 99999.96, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
+    got = [r.t for r in df.select("i", S.number_text("v", 1).alias("t")).orderBy("i").collect()]
+    assert got == ["12.2", "12.4", "36", "36", "0", "0", "1e+05", "120000", "1500000", "-2e+06", "1e+05", "NA"]
+    assert rows(spark.createDataFrame([(0.1225,)], "r double").select(S.percent_text("r", 1).alias("p"))) == [("12.2%",)]
+
+
+def test_losses_match_null_fuels(spark):
+    from emberledger.operators import factors
+
+    rec = spark.createDataFrame([(None, 2020, 10.0), ("gas", 2020, 4.0)], "activity string, input_year int, amount double")
+    loss = spark.createDataFrame([(None, "leak", 0.5, 2020)], "fuel_type string, type string, loss_factor double, input_year int")
+    assert rows(factors.derive_losses(rec, loss), "activity", "amount") == [(None, 5.0)]
+    both = rows(factors.with_losses(rec, loss), "activity", "amount")
+    assert both == sorted([("gas", 4.0), (None, 10.0), (None, 5.0)], key=repr)
 
 
 def test_n2_sum_or_zero(spark):
