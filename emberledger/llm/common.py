@@ -44,6 +44,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+class Scope:
+    """Intermediate tables of an iterative operator.
+
+    Each is written as Parquet into the cluster's checkpoint folder and read
+    back, so neither lineage nor anything Catalyst has inferred about earlier
+    steps is carried along. ``close`` removes all but the given result.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = scratch(self.spark, "step")
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self, result: DataFrame) -> DataFrame:
+        steps, self.paths = self.paths, []
+        result = self.cut(result)
+        for path in steps:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        return result
+
+
 def lookup(df: DataFrame, side: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a checkpointed ``side``: broadcast if its counted rows are at most
     ``max_rows``, else a shuffled join (whose hot keys AQE splits)."""

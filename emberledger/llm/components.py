@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberledger.llm.common import cut
+from emberledger.llm.common import Scope
 
 
 def _via(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def _via(df: DataFrame, column: str, parents: DataFrame) -> DataFrame:
     )
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scope: Scope) -> DataFrame:
     """``id`` and ``component`` (the smallest id reachable) of every id in
     ``links`` (``u``, ``v``: not null) that is not its own component.
 
@@ -28,6 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     key of shuffled joins between checkpointed tables only, which AQE splits,
     and of aggregations, which combine before the shuffle.
     """
+    cut = scope.cut
     ordered = lambda df: df.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).distinct()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberledger.llm.common import cut, lookup, roots, runs
+from emberledger.llm.common import Scope, cut, lookup, roots, runs
 from emberledger.llm.components import components
 
 THRESHOLD = 0.93
@@ -207,7 +207,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     """
     rows = cut(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label").withColumn("row", F.monotonically_increasing_id()))
     found = cut(block_links(cut(unit_vectors(rows)), threshold, recall, block))
-    groups = cut(components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v"))))
+    scope = Scope(vectors.sparkSession)
+    groups = scope.close(components(found.select(F.col("vec_id").alias("u"), F.col("root").alias("v")), scope))
     links = cut(found.groupBy("row").agg(F.sum("links").cast("long").alias("n_links")))
     out = rows.select("row", "vec_id").join(links, "row", "left").join(groups, F.col("vec_id") == F.col("id"), "left")
     component = F.coalesce("component", "vec_id")
