@@ -109,7 +109,7 @@ def shard_rows(docs: DataFrame, shards: int = 16, tolerance: float = TOLERANCE)
     ``text_crc32``, ``shard`` and ``slot`` (gapless from 0 in its shard).
     Equal texts lie next to each other in the order, so a group of copies
     shares a shard unless a boundary has to cut it. Rows that agree in id and
-    text may come in either order. An empty table gives no rows; with fewer
+    text are one key: they share a shard and come in either order. An empty table gives no rows; with fewer
     rows than shards some shards stay empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))

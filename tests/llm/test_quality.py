@@ -1,0 +1,64 @@
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from emberledger.llm import quality as Q
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = set()
+    for i in range(len(words) - 7):
+        if windows[tuple(words[i : i + 8])] > 1:
+            covered.update(range(i, i + 8))
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
+
+
+def test_statistics_against_plain_python(spark, awkward, empty):
+    texts = [r.text for r in awkward.collect()]
+    texts += ["a b c d e f g h " * 5, "x y " * 9, "1 2 3 4 5 6 7 8\n1 2 3 4 5 6 7 8", "l\nl\n \n \nl ", "# | <>"]
+    for t in texts:
+        assert Q.text_statistics(t) == plain(t), repr(t)[:80]
+    got = Q.judge(awkward)
+    rows = got.collect()
+    assert len(rows) == awkward.count()
+    for r in rows:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert Q.judge(empty).count() == 0
+
+
+def test_junk_is_rejected_and_clean_documents_kept(spark):
+    sf = "/root/testdata/sf0.1"
+    got = Q.judge(spark.read.parquet(f"{sf}/documents.parquet")).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    rows = got.filter("not base_failed").select("quality", "kept").collect()
+    clean = [r.kept for r in rows if r.quality == 1]
+    junk = [r.kept for r in rows if r.quality == 0]
+    assert sum(clean) / len(clean) > 0.99 and sum(junk) / len(junk) < 0.1
+
+
+def test_mcd_ignores_a_fifth_of_outliers(spark):
+    rng = np.random.default_rng(5)
+    good = rng.multivariate_normal([1, 2, 3, 0.1], np.diag([4, 1, 4, 0.04]), 800)
+    bad = rng.multivariate_normal([30, 20, 30, 3], np.eye(4), 200)
+    data = [("c", [float(x) for x in v]) for v in np.vstack([good, bad])]
+    m = Q.mcd(spark.createDataFrame(data, "cell string, v array<double>")).collect()[0]
+    assert np.allclose(m["mean"], [1, 2, 3, 0.1], atol=0.3)
+    cov = np.linalg.inv(np.array(m["inverse"]).reshape(4, 4))
+    assert cov[0, 0] == pytest.approx(4, rel=0.3) and cov[1, 1] == pytest.approx(1, rel=0.3)
+
+
+def test_chi_square_quantiles():
+    assert Q.chi2_quantile(0.999, 4) == pytest.approx(18.467, abs=1e-3)
+    assert Q.chi2_quantile(0.975, 4) == pytest.approx(11.143, abs=1e-3)
