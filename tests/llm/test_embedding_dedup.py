@@ -77,3 +77,29 @@ def test_estimates_are_unbiased_and_bounded():
     off = near - x @ x.T
     assert abs(off.mean()) < 0.005
     assert (abs(off) < E.SIGMAS * error[None, :] + 1e-4).mean() > 0.999
+
+
+@pytest.mark.parametrize("options", [{}, {"block": 700}])
+def test_no_link_is_lost_in_a_large_label(spark, options):
+    """Planted pairs at the threshold and above, by cosine band, against all pairs."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1200, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=x.shape)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = rng.uniform(0.93, 0.96, (len(x), 1))
+    v = np.concatenate([x, c * x + np.sqrt(1 - c**2) * y]).astype("f4")
+    u = v.astype("f8")
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    cosines = u @ u.T
+    links = (cosines >= 0.93) & ~np.eye(len(u), dtype=bool)
+    got = {r[0]: r for r in result(frame(spark, [(i, w.tolist(), 0) for i, w in enumerate(v)]), **options)}
+    bands = {}
+    for i, j in zip(*np.nonzero(np.triu(links))):
+        lost, n = bands.get(band := int(cosines[i, j] * 100), (0, 0))
+        bands[band] = (lost + (got[i][1] < links[i].sum()), n + 1)
+    assert sorted(bands) == [93, 94, 95] and min(n for _, n in bands.values()) > 300
+    assert {band: lost for band, (lost, _) in bands.items()} == {93: 0, 94: 0, 95: 0}
+    assert [got[i][1] for i in range(len(u))] == links.sum(axis=1).tolist()
+    assert all(got[j][2] == i for i, j in zip(*np.nonzero(np.triu(links))))
