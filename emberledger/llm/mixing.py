@@ -56,17 +56,17 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     )
 
 
-def permuted(index: Column, n: Column, key: Column, seed: int, rounds: int = ROUNDS) -> Column:
+def permuted(index: Column, n: Column, key: Column, seed: int, rounds: int = ROUNDS, back: bool = False) -> Column:
     """A pseudorandom permutation of 0..n-1 that depends on ``key``: in each
     round an index and its mirror image about a hashed point either both stay
-    or change places, decided by a hash of the pair."""
+    or change places, decided by a hash of the pair. ``back`` undoes it."""
 
     def step(at: Column, r: Column) -> Column:
         other = F.pmod(F.pmod(F.xxhash64(F.lit(seed), key, r), n) - at, n)
         swap = F.pmod(F.xxhash64(F.lit(seed + 1), key, r, F.greatest(at, other)), F.lit(2)) == 1
         return F.when(swap, other).otherwise(at)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index, step)
+    return F.aggregate(F.sequence(F.lit(rounds), F.lit(1)) if back else F.sequence(F.lit(1), F.lit(rounds)), index, step)
 
 
 def mix_plan(
@@ -93,6 +93,9 @@ def mix_plan(
     placed = ranked(sized, ["_g"], [F.col(doc_id), F.col("_size"), F.col("_th")], [F.col(doc_id), F.col("_th")], F.col("_size"))
     placed = lookup(placed.withColumnRenamed("_at", "_start"), sources, "_g")
 
+    def epoch_key(epoch: str) -> Column:
+        return F.concat_ws("/", "_g", F.col(epoch).cast("string"))
+
     b = F.lit(block_words).cast("long")
     want = F.least(F.round("target").cast("long"), F.col("source_size") * MOST)
     s = (
@@ -100,9 +103,12 @@ def mix_plan(
         .withColumn("_want", want)
         .withColumn("_epochs", F.expr("_want div source_size"))
         .withColumn("_rest", F.expr("_want % source_size"))
-        .withColumn("_full", (F.col("source_size") / b).cast("long"))
         .withColumn("_n", F.ceil(F.col("source_size") / b))
-        .withColumn("_slots", F.col("_epochs") * F.col("_n") + F.ceil(F.col("_rest") / b))
+        # words that the last block is short of, and its slot in the pass that is taken in part
+        .withColumn("_gap", F.col("_n") * b - F.col("source_size"))
+        .withColumn("_short", permuted(F.col("_n") - 1, F.col("_n"), epoch_key("_epochs"), seed, back=True))
+        .withColumn("_more", F.when(F.col("_short") < F.ceil(F.col("_rest") / b), F.col("_gap")).otherwise(0))
+        .withColumn("_slots", F.col("_epochs") * F.col("_n") + F.ceil((F.col("_rest") + F.col("_more")) / b))
         .withColumn("_shards", F.ceil(F.sum("_slots").over(Window.partitionBy()) / F.lit(shard_blocks)))
         .filter("_slots > 0")
         .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_slots - 1) div {CHUNK}"))))
@@ -112,13 +118,12 @@ def mix_plan(
             F.explode(F.sequence(F.col("_chunk") * CHUNK, F.least(F.col("_slots"), (F.col("_chunk") + 1) * CHUNK) - 1)),
         )
     )
-    # the short last block of a source stays last in every epoch
     k, g = F.expr("_slot % _n"), F.col("_g")
     s = s.withColumn("_epoch", F.expr("_slot div _n")).withColumn("_k", k)
-    epoch_key = F.concat_ws("/", g, F.col("_epoch").cast("string"))
-    s = s.withColumn("_block", F.when(F.col("_k") < F.col("_full"), permuted(F.col("_k"), F.col("_full"), epoch_key, seed)).otherwise(F.col("_k")))
+    s = s.withColumn("_block", permuted(F.col("_k"), F.col("_n"), epoch_key("_epoch"), seed))
     whole = F.least(b, F.col("source_size") - F.col("_block") * b)
-    last = F.least(whole, F.col("_rest") - F.col("_k") * b)
+    before = F.col("_k") * b - F.when(F.col("_k") > F.col("_short"), F.col("_gap")).otherwise(0)
+    last = F.least(whole, F.col("_rest") - before)
     slots = s.select(
         "_g",
         "_block",

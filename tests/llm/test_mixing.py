@@ -81,3 +81,18 @@ def test_mix_as_documents(spark, awkward):
         originals[r.doc_id] += r.taken
     assert {k: v for k, v in originals.items() if v} == dict(words)
     assert M.mix_documents(docs.limit(0)).count() == 0
+
+
+def test_the_short_last_block_is_drawn_like_any_other(spark):
+    """1.5 passes over 44 words in blocks of 8: the block of the last 4 words is in about half of the partial passes."""
+    docs = spark.createDataFrame([(i, "w " * 11, "s") for i in range(4)], "doc_id long, text string, source string")
+    drawn = []
+    for seed in range(8):
+        rows = M.mix_plan(docs, block_words=8, seed=seed)[1].collect()
+        assert sorted(r._block for r in rows if r._epoch == 0) == list(range(6))
+        assert sum(r._words for r in rows) == 66 and min(r._words for r in rows) > 0
+        assert all(r._words <= (4 if r._block == 5 else 8) for r in rows)
+        second = [r._block for r in rows if r._epoch == 1]
+        assert len(set(second)) == len(second)
+        drawn.append(5 in second)
+    assert True in drawn and False in drawn
