@@ -73,7 +73,7 @@ class Scope:
 def lookup(df: DataFrame, side: DataFrame, on, how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a checkpointed ``side``: broadcast if its counted rows are at most
     ``max_rows``, else a shuffled join (whose hot keys AQE splits)."""
-    small = side.limit(max_rows + 1).count() <= max_rows
+    small = side.count() <= max_rows  # one number per task
     return df.join(F.broadcast(side) if small else side, on, how)
 
 
@@ -166,6 +166,37 @@ def runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def pack(*columns: np.ndarray) -> bytes:
+    """Arrays, or bytes, as one compressed buffer."""
+    parts = [c if isinstance(c, bytes) else np.ascontiguousarray(c).tobytes() for c in columns]
+    head = np.array([len(parts), *map(len, parts)], "<i8").tobytes()
+    raw = head + b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(body: bytes, *kinds: str) -> list:
+    """What ``pack`` was given: arrays of the given types, or "bytes"."""
+    raw = pa.decompress(body[8:], int.from_bytes(body[:8], "little"), codec="zstd", asbytes=True)
+    sizes = np.frombuffer(raw, "<i8", 1 + len(kinds))[1:]
+    ends = 8 * (1 + len(kinds)) + np.cumsum(sizes)
+    return [raw[e - n : e] if kind == "bytes" else np.frombuffer(raw, kind, n // np.dtype(kind).itemsize, e - n)
+            for kind, n, e in zip(kinds, sizes.tolist(), ends.tolist())]
+
+
+def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Consecutive rows that agree in the first column, as tuples."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and row[0] != key:
+                yield key, held
+                held = []
+            key = row[0]
+            held.append(row)
+    if held:
+        yield key, held
+
+
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member number of the component of each of ``n`` members under links a-b."""
     label = np.arange(n)
