@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberledger.llm import embedding_dedup, line_dedup, mixing, ngram_join, packing, quality, sharding, toxicity, url_filter, warc
+from emberledger.llm import (
+    alignment,
+    embedding_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    warc,
+    whitening,
+)
 from emberledger.llm.common import scratch, table
 
 
@@ -58,6 +72,18 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,6 +97,9 @@ QUERIES = {
         op8_line_dedup,
         op9_embedding_dedup,
         op10_shards,
+        op11_suffix_dedup,
+        op12_token_alignment,
+        op13_whitening,
     )
 }
 
