@@ -95,7 +95,8 @@ def sampled(b: np.ndarray, span: int, k: int) -> tuple[np.ndarray, np.ndarray, n
         at = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         starts, left = np.repeat(starts, pieces) + at * width, np.repeat(counts, pieces) - at * width
         counts = np.minimum(left, width)
-    return least[starts], starts, counts
+    # least hashes are small numbers: mixed again, their bits are even
+    return _mixed(least[starts] * np.uint64(_ODD)), starts, counts
 
 
 def _batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, list, list]]:
