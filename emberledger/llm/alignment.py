@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from emberledger.llm.packing import byte_letters
 DOCS, CHARS = 256, 1 << 21
 #: Windows, and their tokens, that a process remembers.
 WINDOWS, TOKENS = 400_000, 8_000_000
+#: Links of a group from which on its pairs are counted by ids.
+LARGE = 4096
 #: Pairs of a task that are counted before they are sent on.
 HELD = 2_000_000
 #: Pairs that are broadcast at a time (25 bytes each).
@@ -89,20 +91,31 @@ class _Codes(dict):
         return code
 
 
-def window_groups(a: Sequence[int], b: Sequence[int], size_a: Sequence[int], size_b: Sequence[int]) -> list[tuple[list, list]]:
-    """The ids between offsets where a token of each list ends."""
-    out, i, j, lo, hi, at, to = [], 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if at <= to and i < len(a):
-            at += size_a[a[i]]
-            i += 1
-        else:
-            to += size_b[b[j]]
-            j += 1
-        if at == to:
-            out.append((list(a[lo:i]), list(b[hi:j])))
-            lo, hi = i, j
-    return out
+class _Grown:
+    """Integers that are appended to, in an array with room to spare."""
+
+    def __init__(self):
+        self.room, self.n = np.zeros(1 << 10, "i8"), 0
+
+    def append(self, new: np.ndarray) -> None:
+        need = self.n + len(new)
+        if need > len(self.room):
+            self.room = np.concatenate([self.room[: self.n], np.zeros(2 * need - self.n, "i8")])
+        self.room[self.n : need] = new
+        self.n = need
+
+    def __getitem__(self, at):
+        return self.room[: self.n][at]
+
+
+def _summed(where: np.ndarray, pair: np.ndarray, times: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different pairs of each place, rising, with the sum of ``times``."""
+    key = where * total + pair
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, "i8")
+    key = key[heads]
+    return key % total, np.add.reduceat(times[order], heads) if len(heads) else times, key // total
 
 
 class Aligner:
@@ -114,40 +127,62 @@ class Aligner:
         self.sizes = np.array(self.size_a, "i8"), np.array(self.size_b, "i8")
         self.marked = np.array(first.marked), np.array(second.marked)
         self.width = len(self.size_b)
+        # ids as they are written: inside a group, at the end of its first half, of its second, of a window
+        self.words = [f"{i}{c}" for n, ends in ((len(self.size_a), ",|"), (self.width, ",;\n")) for c in ends for i in range(n)]
         self._forget()
 
     def _forget(self) -> None:
         self.codes, self.texts, self.tokens = _Codes(), [], 0
-        self.groups, self.links, self.counts = (np.zeros(0, "i8") for _ in range(3))
-        self.pairs, self.times = np.zeros(0, "i8"), np.zeros(0, "i8")
+        self.groups, self.links, self.counts, self.starts, self.pairs, self.times = (_Grown() for _ in range(6))
 
     def _learn(self, keys: list[bytes]) -> None:
-        groups, links, counts, pairs, times = [], [], [], [], []
-        for key in keys:
-            ids = np.frombuffer(key, "<i4").tolist()
-            cut = ids.index(-1)
-            a, b = ids[:cut], ids[cut + 1 :]
-            parts = window_groups(a, b, self.size_a, self.size_b)
-            held: Counter[int] = Counter()
-            for x, y in parts:
-                if len(x) == 1 and len(y) == 1:
-                    held[x[0] * self.width + y[0]] += 1
-                    continue
-                others = Counter(y).items()
-                for i, n in Counter(x).items():
-                    for j, m in others:
-                        held[i * self.width + j] += n * m
-            self.texts.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in parts))
-            self.tokens += len(ids) + len(held)
-            groups.append(len(parts))
-            links.append(sum(len(x) * len(y) for x, y in parts))
-            counts.append(len(held))
-            pairs += held.keys()
-            times += held.values()
-        self.groups, self.links, self.counts = (
-            np.append(old, np.array(new, "i8")) for old, new in ((self.groups, groups), (self.links, links), (self.counts, counts))
-        )
-        self.pairs, self.times = np.append(self.pairs, np.array(pairs, "i8")), np.append(self.times, np.array(times, "i8"))
+        """Align new windows, all at once: their bytes are laid end to end."""
+        flat, n = np.frombuffer(b"".join(keys), "<i4"), len(keys)
+        window = np.repeat(np.arange(n), np.fromiter(map(len, keys), "i8", n) // 4)
+        parted = np.cumsum(flat == -1)
+        in_a, in_b = parted == window, (parted > window) & (flat >= 0)
+        a, b, window_a, window_b = flat[in_a].astype("i8"), flat[in_b].astype("i8"), window[in_a], window[in_b]
+        ends_a, ends_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        at = np.searchsorted(ends_b, ends_a)
+        cut_a = ends_b[at] == ends_a  # a group ends here
+        cut_b = np.zeros(len(b), bool)
+        cut_b[at[cut_a]] = True
+        group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
+        n_a, n_b = np.bincount(group_a), np.bincount(group_b)
+        of = window_a[cut_a]
+        links = np.zeros(n, "i8")
+        np.add.at(links, of, n_a * n_b)
+        self.groups.append(np.bincount(of, minlength=n))
+        self.links.append(links)
+        # pairs: all of a group, but large groups by how often an id is in them
+        large = n_a * n_b > LARGE
+        some = ~large[group_a]
+        many = n_b[group_a[some]]
+        first_b = np.cumsum(n_b) - n_b
+        other = np.arange(many.sum()) + np.repeat(first_b[group_a[some]] - (np.cumsum(many) - many), many)
+        pair, where = np.repeat(a[some], many) * self.width + b[other], np.repeat(window_a[some], many)
+        times = np.ones(len(pair), "i8")
+        first_a = np.cumsum(n_a) - n_a
+        for g in np.flatnonzero(large).tolist():
+            x, nx = np.unique(a[first_a[g] : first_a[g] + n_a[g]], return_counts=True)
+            y, ny = np.unique(b[first_b[g] : first_b[g] + n_b[g]], return_counts=True)
+            pair = np.append(pair, (x[:, None] * self.width + y).ravel())
+            times = np.append(times, np.outer(nx, ny).ravel())
+            where = np.append(where, np.full(len(x) * len(y), of[g]))
+        pair, times, where = _summed(where, pair, times, len(self.size_a) * self.width)
+        counts = np.bincount(where, minlength=n)
+        self.starts.append(self.pairs.n + np.cumsum(counts) - counts)
+        self.counts.append(counts)
+        self.pairs.append(pair)
+        self.times.append(times)
+        self.tokens += len(flat) + len(pair)
+        # texts: every id with what follows it
+        first, second = len(self.size_a), self.width
+        last_b = np.append(window_b[1:] != window_b[:-1], True)
+        said = np.empty(len(a) + len(b), "i8")
+        said[np.arange(len(a)) + first_b[group_a]] = a + first * cut_a
+        said[np.arange(len(b)) + (first_a + n_a)[group_b]] = 2 * first + b + second * cut_b + second * last_b
+        self.texts += "".join(map(self.words.__getitem__, said.tolist())).split("\n")[:-1]
 
     def tokens_of(self, texts: list[str]) -> tuple[list, list]:
         """Token ids of both, empty where the bytes of either are not those
@@ -168,7 +203,7 @@ class Aligner:
         pairs (rising per text) and how often each is linked."""
         a, b = self.tokens_of(texts)
         n_a, n_b = (np.fromiter(map(len, x), "i8", len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for x in y for i in x), "i4", int(n.sum())) for y, n in ((a, n_a), (b, n_b)))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(y), "i4", int(n.sum())) for y, n in ((a, n_a), (b, n_b)))
         # offsets run on over all texts: their bytes are the same in both
         ends_a, ends_b = np.cumsum(self.sizes[0][ids_a]), np.cumsum(self.sizes[1][ids_b])
         starts_a, starts_b = ends_a - self.sizes[0][ids_a], ends_b - self.sizes[1][ids_b]
@@ -209,17 +244,11 @@ class Aligner:
             rows.append((int(n_a[k]), int(n_b[k]), int(groups[k]), int(links[k]), digest))
         # different pairs of each text
         many = self.counts[code]
-        from_ = (np.cumsum(self.counts) - self.counts)[code]
-        take = np.arange(many.sum()) + np.repeat(from_ - (np.cumsum(many) - many), many)
-        pair, times, text = self.pairs[take], self.times[take], np.repeat(of, many)
-        total = len(self.size_a) * self.width
-        order = np.argsort(text * total + pair, kind="stable")
-        pair, times, text = pair[order], times[order], text[order]
-        heads = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (pair[1:] != pair[:-1]))) if len(pair) else np.zeros(0, "i8")
-        times = np.add.reduceat(times, heads) if len(heads) else times
+        take = np.arange(many.sum()) + np.repeat(self.starts[code] - (np.cumsum(many) - many), many)
+        pair, times, text = _summed(np.repeat(of, many), self.pairs[take], self.times[take], len(self.size_a) * self.width)
         if len(self.codes) > WINDOWS or self.tokens > TOKENS:
             self._forget()
-        return rows, np.bincount(text[heads], minlength=len(texts)), pair[heads], times
+        return rows, np.bincount(text, minlength=len(texts)), pair, times
 
 
 def _pack_pairs(sizes: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> bytes:

@@ -97,7 +97,7 @@ def test_against_all_links(spark, rows, both, slice_rows, monkeypatch):
 
 
 def test_little_memory(spark, rows, both, monkeypatch):
-    for name, value in (("DOCS", 5), ("WINDOWS", 3), ("HELD", 10), ("CHARS", 60)):
+    for name, value in (("DOCS", 5), ("WINDOWS", 3), ("HELD", 10), ("CHARS", 60), ("LARGE", 2)):
         monkeypatch.setattr(A, name, value)
     assert result(frame(spark, rows)) == brute(rows, both)
 
