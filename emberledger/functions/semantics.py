@@ -7,6 +7,8 @@ it stays inside whole-stage codegen and works in ``groupBy().agg``,
 * ``na_sum`` / ``na_mean``: an aggregate is null when any input is null,
   and a sum over no rows is ``0.0`` (N1).
 * ``sum_or_zero``: nulls skipped, empty input gives ``0.0`` (N2).
+* ``exact_sum``: the true sum of doubles, rounded once, in whatever order and
+  partitions they are added; ``na_sum`` and ``sum_or_zero`` take ``exact``.
 * ``safe_div``: division by zero gives null instead of an ANSI error (N11).
 * ``str_remove_first`` / ``str_extract``: first-match removal and
   null-on-no-match extraction (N9, N10).
@@ -41,26 +43,108 @@ def any_null(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
     return F.coalesce(_over(F.bool_or(_col(c).isNull()), over), F.lit(False))
 
 
-def na_sum(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
+#: Bits of a limb, and the power of two of the lowest; limbs cover 2^-144 to 2^96.
+LIMB_BITS, LOWEST, LIMBS = 24, -144, 10
+_BASE = 1 << LIMB_BITS
+
+
+def sum_limbs(c: ColumnOrName, over: WindowSpec | None = None) -> list[Column]:
+    """The sum of a double column as integers: limb ``i`` counts units of
+    ``2 ** (LOWEST + LIMB_BITS * i)``.
+
+    Every value is cut into signed limbs of ``LIMB_BITS`` bits, which are exact
+    integers; their sums are longs that hold 2^39 rows. So they can be added up
+    by map tasks, partitions or days in any order. Bits below 2^-144 are cut
+    off each value; a value of 2^96 and more, an infinity or NaN is in no limb
+    (see ``sum_outside``). Null over no (non-null) rows.
+    """
+    c = _col(c).cast("double")
+    inside = F.when(F.abs(c) < F.lit(2.0**96), c)
+    return [
+        _over(F.sum(((inside * F.lit(2.0 ** -(LOWEST + LIMB_BITS * i))) % F.lit(float(_BASE))).cast("long")), over)
+        for i in range(LIMBS)
+    ]
+
+
+def sum_outside(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
+    """Plain sum of the values that no limb can hold; null without any."""
+    c = _col(c).cast("double")
+    return _over(F.sum(F.when(~(F.abs(c) < F.lit(2.0**96)), c)), over)
+
+
+def limbs_value(limbs: list[Column], outside: Column) -> Column:
+    """The double nearest to the sum that ``limbs`` stand for (ties to even)."""
+
+    def carried(parts: Column) -> Column:
+        """Digits from 0 to 2^24 - 1 from the lowest, and what goes beyond them."""
+        return F.aggregate(
+            parts,
+            F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<long>").alias("digits")),
+            lambda acc, x: F.struct(
+                F.shiftright(x + acc["carry"], LIMB_BITS).alias("carry"),
+                F.concat(F.array((x + acc["carry"]).bitwiseAND(F.lit(_BASE - 1))), acc["digits"]).alias("digits"),
+            ),
+        )
+
+    parts = F.array(*limbs)
+    negative = carried(parts)["carry"] < 0
+    signed = F.transform(parts, lambda x: F.when(negative, -x).otherwise(x))
+
+    def nearest(both: Column) -> Column:
+        # highest first, with the carry above as two more digits
+        digits = F.concat(
+            F.array(F.shiftright(both["carry"], LIMB_BITS), both["carry"].bitwiseAND(F.lit(_BASE - 1))), both["digits"], F.array_repeat(F.lit(0).cast("long"), 3)
+        )
+
+        def of(d: Column) -> Column:
+            lead = F.array_position(F.transform(d, lambda x: x > 0), F.lit(True)).cast("int")  # from 1; 0 if all are 0
+            at = F.greatest(lead, F.lit(1))
+            high = (F.element_at(d, at) * _BASE + F.element_at(d, at + 1)).cast("double")
+            low = (F.element_at(d, at + 2) * _BASE + F.element_at(d, at + 3)).cast("double")
+            # whether anything is left below decides between two doubles only where the rest is a tie
+            rest = F.exists(F.slice(d, at + 4, F.lit(LIMBS + 5)), lambda x: x > 0)
+            value = high * F.lit(2.0 ** (2 * LIMB_BITS)) + (low + F.when(rest, 0.5).otherwise(0.0))
+            # digit ``at`` stands for LIMB_BITS * (LIMBS + 2 - at) + LOWEST bits, ``low`` ends three digits further
+            return F.when(lead == 0, F.lit(0.0)).otherwise(value * F.pow(F.lit(2.0), (F.lit(LIMBS - 1) - at) * LIMB_BITS + LOWEST))
+
+        return F.element_at(F.transform(F.array(digits), of), 1)
+
+    value = F.element_at(F.transform(F.array(carried(signed)), nearest), 1)
+    value = F.when(limbs[0].isNotNull(), F.when(negative, -value).otherwise(value))
+    return F.when(outside.isNotNull(), outside + F.coalesce(value, F.lit(0.0))).otherwise(value)
+
+
+def exact_sum(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
+    """The sum of a double column, rounded once: the same to the last bit for
+    any order of rows, partitions or partial sums. Nulls are skipped; null over
+    no rows. Values of 2^96 and more are added to it in plain floating point."""
+    return limbs_value(sum_limbs(c, over), sum_outside(c, over))
+
+
+def _sum(c: Column, over: WindowSpec | None, exact: bool) -> Column:
+    return exact_sum(c, over) if exact else _over(F.sum(c), over).cast("double")
+
+
+def na_sum(c: ColumnOrName, over: WindowSpec | None = None, exact: bool = False) -> Column:
     """Sum that is null if any input is null; 0.0 over no rows.
 
-    Both parts are ordinary partial aggregates, so a grouped ``na_sum``
-    still combines map-side before the shuffle.
+    All parts are ordinary partial aggregates, so a grouped ``na_sum``
+    still combines map-side before the shuffle. ``exact``: see ``exact_sum``.
     """
     c = _col(c)
-    total = F.coalesce(_over(F.sum(c), over).cast("double"), F.lit(0.0))
-    return F.when(~any_null(c, over), total)
+    return F.when(~any_null(c, over), F.coalesce(_sum(c, over, exact), F.lit(0.0)))
 
 
-def sum_or_zero(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
+def sum_or_zero(c: ColumnOrName, over: WindowSpec | None = None, exact: bool = False) -> Column:
     """Sum ignoring nulls; 0.0 over no (non-null) rows."""
-    return F.coalesce(_over(F.sum(_col(c)), over).cast("double"), F.lit(0.0))
+    return F.coalesce(_sum(_col(c), over, exact), F.lit(0.0))
 
 
-def na_mean(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
+def na_mean(c: ColumnOrName, over: WindowSpec | None = None, exact: bool = False) -> Column:
     """Mean that is null if any input is null (N1); null over no rows."""
     c = _col(c)
-    return F.when(~any_null(c, over), _over(F.avg(c), over))
+    mean = exact_sum(c, over) / F.nullif(_over(F.count(c), over), F.lit(0)) if exact else _over(F.avg(c), over)
+    return F.when(~any_null(c, over), mean)
 
 
 def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:

@@ -154,24 +154,21 @@ def allocate_and_emit(
     method_labels: Mapping[str, Mapping[str, str]] = K.METHOD_LABELS,
     supercategory: str = K.SUPERCATEGORY_WASTE,
     units: str = K.SOLID_WASTE_UNITS,
-    decimals: int | None = None,
 ) -> DataFrame:
     """share x entity total, summed over types per method, labelled and
     turned into emissions (D10).
 
     ``scope`` is the trailing digit of ``gpc_ref``.  Methods without labels
     (recycling) keep null labels; unmatched factors stay null (keep policy).
-    ``decimals`` rounds the summed amounts, not the parts.
+    The summed amounts are exact: the same in any partitioning.
     """
     joined = lookup_join(
         matrix, totals.select("input_year", "entity", "total_tonnes"),
         ["input_year", "entity"], "left", null_safe=True,
     )
     tonnes = joined.groupBy("input_year", "entity", "disposal_method").agg(
-        na_sum(F.col("percentage") * F.col("total_tonnes")).alias("amount")
+        na_sum(F.col("percentage") * F.col("total_tonnes"), exact=True).alias("amount")
     )
-    if decimals is not None:
-        tonnes = tonnes.withColumn("amount", F.round("amount", decimals))
     labelled = tonnes.withColumns(
         {
             "supercategory": F.lit(supercategory),

@@ -84,13 +84,14 @@ def transit_fuel_model(
 ) -> DataFrame:
     """Per-route fuel summed by year, as ledger rows.
 
-    The sum is NA-propagating like the model's, unless ``na_rm``.
+    The sum is NA-propagating like the model's, unless ``na_rm``, and exact:
+    the same in any partitioning.
     """
     fuel = transit_fuel(
         F.col("miles_per_route"), F.col("avg_weekday_trips"), F.col("avg_sat_trips"),
         F.col("avg_sun_trips"), F.col("avg_fuel_efficiency"), **constants,
     )
-    agg = sum_or_zero(fuel) if na_rm else na_sum(fuel)
+    agg = sum_or_zero(fuel, exact=True) if na_rm else na_sum(fuel, exact=True)
     out = with_labels(routes.groupBy(*by).agg(agg.alias("amount")), labels)
     return sector_columns(out)
 

@@ -4,6 +4,8 @@
 Every report aggregates the ledger first (partial aggregation, so a hot
 key is combined map-side) and only then applies windows or scalar
 subqueries to the small aggregated result -- never a window over facts.
+Totals are exact sums (``semantics.exact_sum``): a report has the same digits
+however the ledger is partitioned.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def annual_totals(
     out: str = "total",
 ) -> DataFrame:
     """Totals per ``by`` (A6); NA-ignoring by default like the report."""
-    agg = sum_or_zero(value) if na_rm else na_sum(value)
+    agg = sum_or_zero(value, exact=True) if na_rm else na_sum(value, exact=True)
     return ordered(ledger.groupBy(*by).agg(agg.alias(out)), *by)
 
 
@@ -55,8 +57,8 @@ def baseline_vs_current(
     v, y = F.col(value), F.col(year)
     is_base, is_cur = y == F.lit(baseline_year), y == F.lit(current_year)
     base_has_null = F.coalesce(F.bool_or(is_base & v.isNull()), F.lit(False))
-    base = F.when(~base_has_null, F.coalesce(F.sum(F.when(is_base, v)), F.lit(0.0)))
-    cur = F.coalesce(F.sum(F.when(is_cur, v)), F.lit(0.0))
+    base = F.when(~base_has_null, sum_or_zero(F.when(is_base, v), exact=True))
+    cur = sum_or_zero(F.when(is_cur, v), exact=True)
     totals = ledger.where(y.isin(baseline_year, current_year)).agg(
         base.cast("double").alias("baseline"), cur.cast("double").alias("current")
     )
@@ -79,7 +81,7 @@ def change_vs_baseline(
     With no ``by`` the baseline is a scalar subquery over the per-period
     totals; with ``by`` it is a window over those totals.
     """
-    totals = ledger.groupBy(*by, period).agg(sum_or_zero(value).alias("total"))
+    totals = ledger.groupBy(*by, period).agg(sum_or_zero(value, exact=True).alias("total"))
     if by:
         first = F.min_by("total", period).over(Window.partitionBy(*by))
     else:
@@ -112,8 +114,8 @@ def sector_share(
     Sector totals and the period total are NA-propagating, as in the
     report; the period total is a window over the aggregated rows.
     """
-    sectors = ledger.groupBy(period, sector).agg(na_sum(value).alias(value))
-    year_total = na_sum(value, over=whole_partition(period))
+    sectors = ledger.groupBy(period, sector).agg(na_sum(value, exact=True).alias(value))
+    year_total = na_sum(value, over=whole_partition(period), exact=True)
     out = sectors.withColumn("year_total", year_total)
     out = out.withColumn("pct", safe_div(F.col(value), F.col("year_total")) * F.lit(100.0))
     text = F.concat(
@@ -135,8 +137,8 @@ def fuel_mix(
     """Emissions per (period, fuel), share of the period on a 0-1 scale
     (the normalization of a 100 %-stacked bar, W4) and in percent, and a
     tooltip label where nulls print as ``NA`` (D23)."""
-    fuels = meter_ledger.groupBy(period, fuel).agg(na_sum(value).alias(out))
-    period_total = na_sum(out, over=whole_partition(period))
+    fuels = meter_ledger.groupBy(period, fuel).agg(na_sum(value, exact=True).alias(out))
+    period_total = na_sum(out, over=whole_partition(period), exact=True)
     fuels = fuels.withColumn("share", safe_div(F.col(out), period_total))  # 0-1, stacked bars
     fuels = fuels.withColumn("percentage", F.col("share") * F.lit(100.0))
     text = F.concat(

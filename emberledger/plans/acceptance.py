@@ -357,14 +357,8 @@ def _routes(spark, root) -> DataFrame:
     )
 
 
-def _rounded(df: DataFrame, **decimals: int) -> DataFrame:
-    """Totals of doubles depend on the order of addition in the last digits:
-    the finished values are rounded, in the SQL too."""
-    return df.withColumns({c: F.round(c, d) for c, d in decimals.items()})
-
-
 def q18_transit_model(spark, root):
-    return _rounded(models.transit_fuel_model(_routes(spark, root), na_rm=True), amount=B.TOTAL_DECIMALS)
+    return models.transit_fuel_model(_routes(spark, root), na_rm=True)
 
 
 def q18_transit_strict(spark, root):
@@ -374,8 +368,7 @@ def q18_transit_strict(spark, root):
     both = r.withColumn("service", F.lit("all")).unionByName(
         r.where(F.col("avg_fuel_efficiency") > 0).withColumn("service", F.lit("running"))
     )
-    out = models.transit_fuel_model(both, by=["input_year", "service"], labels={**K.TRANSIT_FUEL_LABELS})
-    return _rounded(out, amount=B.TOTAL_DECIMALS)
+    return models.transit_fuel_model(both, by=["input_year", "service"], labels={**K.TRANSIT_FUEL_LABELS})
 
 
 def q19_labels(spark, root):
@@ -454,7 +447,7 @@ def q22_allocate_and_emit(spark, root):
     matrix = q12_allocation_matrix(spark, root, rollup)
     totals = q13_entity_totals(spark, root, rollup)
     return allocation.allocate_and_emit(
-        matrix, totals, resolved(spark), method_labels=B.METHOD_LABELS, decimals=B.TOTAL_DECIMALS
+        matrix, totals, resolved(spark), method_labels=B.METHOD_LABELS
     )
 
 
@@ -577,8 +570,7 @@ def q28_sector_share_known(spark, root):
 
 def _fuel_mix(led: DataFrame) -> DataFrame:
     led = led.withColumn("day", F.to_date("usage_end").cast("string"))
-    out = report.fuel_mix(led, period="day")
-    return _rounded(out, total_emissions=B.METER_DECIMALS, share=9, percentage=7)
+    return report.fuel_mix(led, period="day")
 
 
 def q29_fuel_mix(spark, root):

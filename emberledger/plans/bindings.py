@@ -122,8 +122,3 @@ DEPARTMENT_RULES = [("o_orderstatus", ["P"], "pending_desk"),
 # q24: returnflag -> sector, and which sectors drop unmatched rows.
 SECTOR_OF_FLAG = {"A": "stationary_energy", "N": "transportation", "R": "waste"}
 ORDERS_SECTOR = "agriculture_forestry_other_land_use"
-
-# Digits that finished totals of non-dyadic doubles are rounded to.
-TOTAL_DECIMALS = 6
-# Meter emissions have at most 8 decimals.
-METER_DECIMALS = 9

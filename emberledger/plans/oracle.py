@@ -36,6 +36,20 @@ def _case_map(col: str, mapping: dict, default: str | None = None) -> str:
     return f"CASE {whens}{' ELSE ' + default if default else ''} END"
 
 
+def _exact(expr: str, over: str = "") -> str:
+    """Sum of doubles whose digits do not depend on the order: in 24-bit
+    integers, put together from the lowest."""
+    limbs = [f"sum(CAST(trunc(fmod(({expr}) * power(2.0, {144 - 24 * i}), 16777216.0)) AS BIGINT)){over}" for i in range(10)]
+    out = f"{limbs[0]} * power(2.0, -144)"
+    for i, limb in enumerate(limbs[1:], 1):
+        out = f"({out} + {limb} * power(2.0, {24 * i - 144}))"
+    return out
+
+
+def _exact_na_sum(expr: str, over: str = "") -> str:
+    return f"CASE WHEN bool_or({expr} IS NULL){over} THEN NULL ELSE coalesce({_exact(expr, over)}, 0.0) END"
+
+
 def _na_sum(expr: str, over: str = "") -> str:
     return f"CASE WHEN bool_or({expr} IS NULL){over} THEN NULL ELSE coalesce(sum({expr}){over}, 0.0) END"
 
@@ -225,13 +239,12 @@ def _mix_sql(where: str) -> str:
     return _with(
         *METER_CTES,
         f"""f AS (
-  SELECT CAST(CAST(usage_end AS DATE) AS VARCHAR) AS day, account_fuel, {_na_sum('total_mtco2e')} AS total_emissions
+  SELECT CAST(CAST(usage_end AS DATE) AS VARCHAR) AS day, account_fuel, {_exact_na_sum('total_mtco2e')} AS total_emissions
   FROM meter WHERE {where} GROUP BY 1, 2)""",
         f"""p AS (
-  SELECT *, total_emissions / nullif({_na_sum('total_emissions', over=' OVER (PARTITION BY day)')}, 0) AS share FROM f)""",
+  SELECT *, total_emissions / nullif({_exact_na_sum('total_emissions', over=' OVER (PARTITION BY day)')}, 0) AS share FROM f)""",
     ) + f"""
-SELECT day, account_fuel, round(total_emissions, {B.METER_DECIMALS}) AS total_emissions, round(share, 9) AS share,
-  round(share * 100.0, 7) AS percentage,
+SELECT day, account_fuel, total_emissions, share, share * 100.0 AS percentage,
   'Fuel: ' || coalesce(account_fuel, 'NA') || chr(10) || 'Emissions: ' || {_number_text('total_emissions', 2)} ||
   ' MTCO2e' || chr(10) || 'Share: ' || {_number_text('(share * 100.0)', 1)} || '%' AS tooltip_text
 FROM p"""
@@ -394,7 +407,7 @@ FROM fan f LEFT JOIN resolved r ON {MATCH.format(a='f')}""",
            1.0::DOUBLE AS sun, l_tax AS eff FROM act))"""
     ) + f"""
 SELECT {_labels_select(K.TRANSIT_FUEL_LABELS)},
-       round(coalesce(sum(fuel), 0.0), {B.TOTAL_DECIMALS}) AS amount, input_year
+       coalesce({_exact('fuel')}, 0.0) AS amount, input_year
 FROM routes GROUP BY input_year""",
 
     "q18_transit_strict": _with(
@@ -403,10 +416,10 @@ FROM routes GROUP BY input_year""",
     SELECT input_year, amount AS miles, CAST(l_linenumber AS DOUBLE) AS wd, l_linenumber / 2.0::DOUBLE AS sat,
            1.0::DOUBLE AS sun, l_tax AS eff FROM act))""",
         f"""sums AS (
-  SELECT input_year, {_na_sum('fuel')} AS amount FROM routes GROUP BY input_year
-  UNION ALL SELECT input_year, {_na_sum('fuel')} AS amount FROM routes WHERE eff > 0 GROUP BY input_year)""",
+  SELECT input_year, {_exact_na_sum('fuel')} AS amount FROM routes GROUP BY input_year
+  UNION ALL SELECT input_year, {_exact_na_sum('fuel')} AS amount FROM routes WHERE eff > 0 GROUP BY input_year)""",
     ) + f"""
-SELECT {_labels_select(K.TRANSIT_FUEL_LABELS)}, round(amount, {B.TOTAL_DECIMALS}) AS amount, input_year FROM sums""",
+SELECT {_labels_select(K.TRANSIT_FUEL_LABELS)}, amount, input_year FROM sums""",
 
     "q19_labels": f"""
 SELECT o_orderkey,
@@ -433,7 +446,7 @@ SELECT event_id, year, activity, use, units, total_co2e_ef, total_mtco2e FROM me
     "q22_allocate_and_emit": _with(*ALLOCATION_CTES, WIDE_CTE, LONG_CTE,
         f"""m AS (
   SELECT g.input_year, g.entity, g.disposal_method,
-    round({_na_sum('g.percentage * t.total_tonnes')}, {B.TOTAL_DECIMALS}) AS amount
+    {_exact_na_sum('g.percentage * t.total_tonnes')} AS amount
   FROM matrix g LEFT JOIN long13 t ON g.input_year IS NOT DISTINCT FROM t.input_year
     AND g.entity IS NOT DISTINCT FROM t.entity
   WHERE g.percentage > 0

@@ -5,7 +5,7 @@ ledger, write both ledgers.
         --waste-entities town campus --waste-named-parts campus --waste-residual town
 
 Each input table is ``DIR/<name>.parquet`` (or ``.csv`` with ``--format
-csv``) named as in ``sources.schemas.TABLES``; ``solid_waste_inputs`` has
+csv``), or with ``--format xlsx`` the sheet ``<name>`` of the workbook DIR, named as in ``sources.schemas.TABLES``; ``solid_waste_inputs`` has
 one ``<entity>_tonnes`` column per named part.  Outputs are CSV with the
 ``NA`` null token (or Parquet), partitioned by year.
 """
@@ -22,6 +22,7 @@ from emberledger import constants as K
 from emberledger.plans import sectors
 from emberledger.sources.io import load_tables, read_export, read_table, write_table
 from emberledger.sources.schemas import METER_EXPORT, TABLES
+from emberledger.sources.workbook import sheet_names
 
 INPUTS = [n for n in TABLES if n not in ("ledger", "meter_ledger", "meter_export", "supplied_disposal_methods")]
 OPTIONAL = ["supplied_disposal_methods"]
@@ -49,6 +50,8 @@ def run_inventory(
     # the wide waste table has entity-specific columns: read it without a fixed schema
     t["solid_waste_inputs"] = read_table(spark, tables_dir, "solid_waste_inputs", fmt=fmt)
     for name in OPTIONAL:
+        if fmt == "xlsx" and name not in sheet_names(spark, tables_dir):
+            continue
         try:
             t[name] = read_table(spark, tables_dir, name, fmt=fmt)
         except AnalysisException:  # table not landed: no supplied shares
@@ -70,7 +73,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--tables", required=True)
     p.add_argument("--out", required=True)
     p.add_argument("--meter-export")
-    p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    p.add_argument("--format", default="parquet", choices=["parquet", "csv", "xlsx"])
     p.add_argument("--out-format", default="csv", choices=["parquet", "csv"])
     p.add_argument("--waste-entities", nargs="+", required=True)
     p.add_argument("--waste-named-parts", nargs="*", default=[])

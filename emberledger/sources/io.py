@@ -12,13 +12,14 @@ import weakref
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberledger.functions.semantics import NA_TOKEN
 from emberledger.operators.relational import mark_bounded
 from emberledger.session import ensure_checkpoint_dir
 from emberledger.sources import schemas
+from emberledger.sources.typing import typed
+from emberledger.sources.workbook import read_sheet
 
 
 _schemas: "weakref.WeakKeyDictionary[SparkSession, dict[str, T.StructType]]" = weakref.WeakKeyDictionary()
@@ -32,7 +33,8 @@ def read_table(
     fmt: str = "parquet",
     reuse: bool = False,
 ) -> DataFrame:
-    """Load one named table ``<root>/<name>.<fmt>``.
+    """Load one named table ``<root>/<name>.<fmt>`` (S1), or, as ``xlsx``,
+    the sheet ``name`` of the workbook (or workbooks) at ``root``.
 
     With a schema every column of it must be in the file (by name; others
     are ignored) and has its type, else the read raises.  ``reuse`` keeps the
@@ -43,6 +45,8 @@ def read_table(
     path = f"{root.rstrip('/')}/{name}.{fmt}"
     if fmt == "csv":
         return read_csv_table(spark, path, schema)
+    if fmt == "xlsx":
+        return read_sheet(spark, root, name, schema)
     known = _schemas.setdefault(spark, {}) if reuse else {}
     if path in known:
         return spark.read.schema(known[path]).format(fmt).load(path)
@@ -54,24 +58,6 @@ def read_table(
     return df
 
 
-def typed(df: DataFrame, schema: T.StructType, path: str, keep_others: bool = False) -> DataFrame:
-    """The columns of ``schema`` with its types, cast where the file has
-    others; with ``keep_others`` every column, in the file's order.  A
-    missing column raises.  A cast fails on a value that does not fit."""
-    wanted = {f.name: f.dataType for f in schema.fields}
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise ValueError(f"{path} lacks columns {missing}")
-    names = df.columns if keep_others else list(wanted)
-    have = {f.name: f.dataType for f in df.schema.fields}
-
-    def column(c: str):
-        same = c not in wanted or have[c] == wanted[c]
-        return F.col(f"`{c}`") if same else F.col(f"`{c}`").cast(wanted[c]).alias(c)
-
-    return df.select(*[column(c) for c in names])
-
-
 def load_tables(
     spark: SparkSession, root: str, names: Iterable[str], fmt: str = "parquet"
 ) -> dict[str, DataFrame]:

@@ -13,9 +13,3 @@ def spark():
     s = get_session("local[4]", 8)
     s.sparkContext.setLogLevel("ERROR")
     yield s
-
-
-def rows(df, *cols):
-    """Sorted tuples of ``cols`` (all columns by default)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

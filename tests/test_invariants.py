@@ -3,7 +3,7 @@ are unique on their keys, allocation conserves totals, losses are 1 -> N."""
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from checks import rows
 from emberledger.operators import allocation, factors
 from emberledger.plans import acceptance as A
 from emberledger.plans import bindings as B

@@ -3,7 +3,7 @@ reuse, scratch folders under the checkpoint directory, literal domains."""
 
 import pytest
 
-from conftest import rows
+from checks import rows
 from emberledger.operators import allocation
 from emberledger.operators.relational import MAX_ROWS_CONF, crossing
 from emberledger.sources import io

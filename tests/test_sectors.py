@@ -5,7 +5,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from checks import rows
 from emberledger.operators import report
 from emberledger.plans import sectors
 from emberledger.sources import schemas as S

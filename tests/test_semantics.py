@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.errors import ArithmeticException
 
-from conftest import rows
+from checks import rows
 from emberledger.functions import semantics as S
 from emberledger.operators.relational import bind, lookup_join, to_long, when_map
 

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows
+from checks import rows
 from emberledger.operators import meters
 from emberledger.sources.io import scratch_dir
 from emberledger.sources.schemas import METER_EXPORT
