@@ -41,6 +41,7 @@ from emberledger.sources.io import (
     scratch_dir,
     write_table,
 )
+from emberledger.sources.workbook import sheet_rows, to_books
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,6 +120,16 @@ def q01_resolve_factors(spark, root):
     return lookup_join(pairs, resolved(spark), ["activity", "input_year"], "left", null_safe=True)
 
 
+def q01_workbook_sheets(spark, root):
+    """S1 from workbooks: orders written as workbooks by the tasks that hold
+    them, their sheets read back with a declared schema."""
+    orders = read_table(spark, root, "orders", reuse=True).select(
+        "o_orderkey", F.expr("nullif(o_orderpriority, '5-LOW')").alias("o_orderpriority"), "o_totalprice",
+        "o_orderdate", (F.col("o_totalprice") > 1000).alias("large"),
+    )
+    return sheet_rows(to_books(orders, "orders"), "orders", orders.schema)
+
+
 def q02_csv_roundtrip(spark, root):
     nation = read_table(spark, root, "nation", reuse=True)
     region = read_table(spark, root, "region", reuse=True)
@@ -584,6 +595,7 @@ def q29_fuel_mix_known(spark, root):
 
 QUERIES: dict[str, Query] = {
     "q01_resolve_factors": q01_resolve_factors,
+    "q01_workbook_sheets": q01_workbook_sheets,
     "q02_csv_roundtrip": q02_csv_roundtrip,
     "q03_literal_domain": q03_literal_domain,
     "q04_projection": q04_projection,

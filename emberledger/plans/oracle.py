@@ -256,6 +256,11 @@ SELECT p.activity, p.input_year, p.n_records, r.total_co2e_ef
 FROM (SELECT activity, input_year, count(*) AS n_records FROM act GROUP BY activity, input_year) p
 LEFT JOIN resolved r ON {MATCH.format(a='p')}""",
 
+    "q01_workbook_sheets": """
+SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, o_totalprice, o_orderdate,
+       o_totalprice > 1000 AS large
+FROM orders""",
+
     "q02_csv_roundtrip": """
 SELECT n_nationkey, n_name, n_regionkey, nullif(r_name, 'ASIA') AS r_name
 FROM nation JOIN region ON n_regionkey = r_regionkey""",

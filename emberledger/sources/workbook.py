@@ -18,7 +18,7 @@ import re
 import sys
 import zipfile
 from collections.abc import Iterator
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from xml.etree.ElementTree import iterparse
 from xml.sax.saxutils import escape
 
@@ -136,7 +136,7 @@ def cells(content: bytes, sheet: str) -> Iterator[tuple[int, dict[int, str]]]:
                 elif kind == "b":
                     text = "true" if text == "1" else "false"
                 elif kind == "n" and int(c.get("s", 0)) in dates:
-                    text = str(epoch + timedelta(days=round(float(text) * 86_400_000_000) / 86_400_000_000))
+                    text = str(epoch + timedelta(milliseconds=round(float(text) * 86_400_000)))  # a day's fraction tells no more
                 elif kind == "n":
                     text = _number(text)
                 if text not in ("", NA_TOKEN):
@@ -257,6 +257,8 @@ def book_bytes(sheets: dict[str, tuple[list[str], list[tuple]]]) -> bytes:
             return ""
         if isinstance(value, bool):
             return f'<c r="{at}" t="b"><v>{int(value)}</v></c>'
+        if isinstance(value, date) and not isinstance(value, datetime):
+            value = datetime(value.year, value.month, value.day)
         if isinstance(value, datetime):
             return f'<c r="{at}" s="1"><v>{(value - EPOCH) / timedelta(days=1)!r}</v></c>'
         if isinstance(value, (int, float)):
