@@ -2,6 +2,8 @@
 
 * ``fits_broadcast`` -- whether a lookup side may be broadcast, decided from
   known rows or file sizes, without a job.
+* ``hot_key_join`` -- the same where the lookup is too large to broadcast and
+  a few keys hold most facts.
 * ``lookup_join`` -- fact-to-dimension join with renamed keys (N16) and
   dplyr-style null-safe matching (N3/J6).
 * ``fan_out`` -- one row per label variant via ``explode`` (one scan
@@ -124,6 +126,58 @@ def lookup_join(
     return out
 
 
+#: Hot keys that ``hot_key_join`` treats apart, rows of the lookup that such a key may have, and keys its sketch tracks.
+HOT_KEYS, ROWS_PER_HOT_KEY, TRACKED_KEYS = 256, 64, 10_000
+
+
+def hot_key_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str] | Mapping[str, str],
+    how: str = "left",
+    null_safe: bool = False,
+    hot_keys: int = HOT_KEYS,
+) -> DataFrame:
+    """``lookup_join`` to a lookup above the broadcast limit, where a few
+    keys may hold most of the facts -- also within a single map output, which
+    adaptive execution cannot split.
+
+    One pass over the facts' keys feeds a heavy-hitter sketch in every task
+    (``approx_top_k``; partial sketches are merged). The facts of the
+    ``hot_keys`` most frequent keys never shuffle: they meet a broadcast of
+    those keys' few lookup rows. The others take the sort-merge join. What is
+    broadcast is bounded by construction: ``hot_keys`` hashes, and at most
+    ``ROWS_PER_HOT_KEY`` lookup rows for each -- a key with more is left to the
+    sort-merge join. Rows are the same as those of ``lookup_join``, whatever
+    the sketch finds. Nothing runs before the result is used.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how={how!r}: left or inner")
+    pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
+    if not null_safe:  # null keys match nothing: they need not move
+        keyed = facts.where(" and ".join(f"`{f}` is not null" for f, _ in pairs))
+    else:
+        keyed = facts
+    # both sides hash values of one type: that of the comparison
+    types = [facts.select(f).union(dim.select(d)).schema[0].dataType for f, d in pairs]
+    h, r = "__hash", "__hot"
+    hash_of = lambda names: F.xxhash64(*[F.col(f"`{n}`").cast(t) for n, t in zip(names, types)])
+    fact_hash, dim_hash = hash_of([f for f, _ in pairs]), hash_of([d for _, d in pairs])
+
+    top = keyed.select(fact_hash.alias(h)).agg(F.expr(f"approx_top_k({h}, {hot_keys}, {max(TRACKED_KEYS, hot_keys)})").alias("top"))
+    hot = top.select(F.explode("top").alias("top")).select(F.col("top.item").alias(h))
+    hashed = dim.withColumn(h, dim_hash)
+    sizes = hashed.select(h).join(F.broadcast(hot), h).groupBy(h).agg(F.count(F.lit(1)).alias("n"))
+    wide = sizes.where(F.col("n") > ROWS_PER_HOT_KEY).select(h)
+    chosen = hot.join(F.broadcast(wide), h, "left_anti").withColumn(r, F.lit(True))
+
+    marked = facts.withColumn(h, fact_hash).join(F.broadcast(chosen), h, "left")
+    some = hashed.join(F.broadcast(chosen), h, "left_semi").drop(h)
+    split = [(F.col(r).isNotNull(), mark_bounded(some, hot_keys * ROWS_PER_HOT_KEY)), (F.col(r).isNull(), dim)]
+    parts = [lookup_join(marked.where(which).drop(h, r), side, on, how, null_safe) for which, side in split]
+    return parts[0].unionByName(parts[1])
+
+
 def fan_out(df: DataFrame, column: str, suffixes: Sequence[str]) -> DataFrame:
     """One output row per suffix, ``column`` becoming ``column || suffix``.
 

@@ -29,6 +29,7 @@ from emberledger.operators import allocation, factors, inventory, meters, models
 from emberledger.operators.factors import DROP, KEEP
 from emberledger.operators.relational import (
     column_range,
+    hot_key_join,
     lookup_join,
     when_groups,
     when_map,
@@ -41,6 +42,8 @@ from emberledger.sources.io import (
     scratch_dir,
     write_table,
 )
+from emberledger.sources.publish import Published, publish
+from emberledger.sources.rejects import read_csv_with_rejects
 from emberledger.sources.workbook import sheet_rows, to_books
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +147,47 @@ def q02_csv_roundtrip(spark, root):
     return back.select("n_nationkey", "n_name", "n_regionkey", "r_name")
 
 
+def q02_reject_channel(spark, root):
+    """S2 with malformed cells: orders written as CSV with a price that is no
+    number or a missing date here and there, read back as rows and rejects."""
+    o = read_table(spark, root, "orders", reuse=True).select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/k")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(F.col("o_custkey") % 5 > 0, F.col("o_orderdate").cast("date").cast("string")).alias("o_orderdate"),
+    )
+    path = scratch_dir(spark, "q02-rejects")
+    write_table(o, path, "csv")
+    good, bad = read_csv_with_rejects(
+        spark, path, "o_orderkey long, o_totalprice double, o_orderdate date", required=["o_orderdate"]
+    )
+    good = good.select("o_orderkey", "o_totalprice", "o_orderdate", F.lit(None).cast("string").alias("reason"))
+    bad = bad.select(
+        F.col("cells")["o_orderkey"].cast("long").alias("o_orderkey"), F.col("cells")["o_totalprice"].try_cast("double").alias("o_totalprice"),
+        F.col("cells")["o_orderdate"].cast("date").alias("o_orderdate"), "reason",
+    )
+    return good.unionByName(bad)
+
+
+def q02_published(spark, root):
+    """K1 as versions: two ledgers are published together, then again with
+    later years; readers that opened the first version still see it."""
+    led = q08_emissions(spark, root)
+    orders = read_table(spark, root, "orders", reuse=True).select("o_orderkey", F.year("o_orderdate").cast("int").alias("input_year"))
+    base = scratch_dir(spark, "q02-published")
+
+    def version(last: int) -> Published:
+        publish(spark, base, {"totals": (led.where(F.col("input_year") <= last), ["input_year"]),
+                              "orders": (orders.where(F.col("input_year") <= last), [])})
+        return Published(spark, base)
+
+    parts = []
+    for name, v in [("first", version(1996)), ("second", version(1998))]:
+        n = v.read("orders").groupBy("input_year").agg(F.count(F.lit(1)).alias("n_orders"))
+        t = v.read("totals").groupBy("input_year").agg(F.sum("n_records").alias("n_records"))
+        parts.append(n.join(t, "input_year", "full").withColumn("version", F.lit(name)))
+    return parts[0].unionByName(parts[1])
+
+
 def q03_literal_domain(spark, root):
     nation = read_table(spark, root, "nation", reuse=True)
     region = read_table(spark, root, "region", reuse=True)
@@ -217,6 +261,19 @@ def q08_matched_only(spark, root):
     return _emission_totals(factors.apply_factors(a, resolved(spark), DROP), ["activity", "input_year"])
 
 
+def q08_hot_keys(spark, root):
+    """J1 above the broadcast limit with a key that holds over half of the
+    records: they meet that key's lookup rows without a shuffle."""
+    li = read_table(spark, root, "lineitem", reuse=True).select(
+        F.when(F.col("l_linenumber") > 2, F.col("l_partkey")).when(F.col("l_quantity") > 3, F.lit(1)).alias("part"), "l_quantity"
+    )
+    p = read_table(spark, root, "part", reuse=True).select("p_partkey", "p_type")
+    out = hot_key_join(li, p, {"part": "p_partkey"}, "left")
+    return out.groupBy(F.col("p_type").alias("activity")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("l_quantity").alias("total_amount"), F.count("part").alias("n_known")
+    )
+
+
 def q09_loss_records(spark, root):
     """D4 alone: the inner join with the loss factors."""
     a = act(spark, root).select("activity", "input_year", "amount")
@@ -597,6 +654,8 @@ QUERIES: dict[str, Query] = {
     "q01_resolve_factors": q01_resolve_factors,
     "q01_workbook_sheets": q01_workbook_sheets,
     "q02_csv_roundtrip": q02_csv_roundtrip,
+    "q02_reject_channel": q02_reject_channel,
+    "q02_published": q02_published,
     "q03_literal_domain": q03_literal_domain,
     "q04_projection": q04_projection,
     "q05_household_model": q05_household_model,
@@ -605,6 +664,7 @@ QUERIES: dict[str, Query] = {
     "q07_recode": q07_recode,
     "q08_emissions": q08_emissions,
     "q08_matched_only": q08_matched_only,
+    "q08_hot_keys": q08_hot_keys,
     "q09_loss_records": q09_loss_records,
     "q09_losses": q09_losses,
     "q09_loss_gaps": q09_loss_gaps,

@@ -265,6 +265,28 @@ FROM orders""",
 SELECT n_nationkey, n_name, n_regionkey, nullif(r_name, 'ASIA') AS r_name
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
 
+    "q02_reject_channel": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN o_totalprice END AS o_totalprice,
+  CASE WHEN o_custkey % 5 > 0 THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+  nullif(concat_ws('; ', CASE WHEN o_orderkey % 7 = 0 THEN 'o_totalprice: ''n/k'' is no double' END,
+                   CASE WHEN o_custkey % 5 = 0 THEN 'o_orderdate: missing' END), '') AS reason
+FROM orders""",
+
+    "q02_published": _with() + """
+SELECT v.version, coalesce(o.input_year, t.input_year) AS input_year, o.n_orders, t.n_records
+FROM (SELECT 'first' AS version, 1996 AS last UNION ALL SELECT 'second', 1998) v
+JOIN (SELECT coalesce(o.input_year, t.input_year) AS y, o.*, t.* FROM
+        (SELECT CAST(year(o_orderdate) AS INTEGER) AS input_year, count(*) AS n_orders FROM orders GROUP BY 1) o
+        FULL JOIN (SELECT input_year, count(*) AS n_records FROM act GROUP BY 1) t ON o.input_year = t.input_year) x
+  ON x.y <= v.last
+LEFT JOIN (SELECT CAST(year(o_orderdate) AS INTEGER) AS input_year, count(*) AS n_orders FROM orders GROUP BY 1) o ON o.input_year = x.y
+LEFT JOIN (SELECT input_year, count(*) AS n_records FROM act GROUP BY 1) t ON t.input_year = x.y""",
+
+    "q08_hot_keys": """
+SELECT p_type AS activity, count(*) AS n_records, sum(l_quantity) AS total_amount, count(l.part) AS n_known
+FROM (SELECT CASE WHEN l_linenumber > 2 THEN l_partkey WHEN l_quantity > 3 THEN 1 END AS part, l_quantity FROM lineitem) l
+LEFT JOIN part ON l.part = p_partkey GROUP BY p_type""",
+
     "q03_literal_domain": f"""
 SELECT c.r_name, c.n_nations, z.zone
 FROM (SELECT r_name, count(*) AS n_nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name) c
