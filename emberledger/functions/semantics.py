@@ -186,13 +186,10 @@ def label_text(c: ColumnOrName) -> Column:
 
 
 def fixed_text(c: ColumnOrName, decimals: int) -> Column:
-    """Fixed-point text of a number (``%.<d>f``), ties to even (N17); null
-    prints as ``NA``.  Digits far behind are rounded away first: a sum of
-    doubles carries noise there that depends on the order of addition."""
+    """Fixed-point text of a number (``%.<d>f``), rounded by ``half_even``;
+    null prints as ``NA``."""
     c = _col(c)
-    return F.when(c.isNull(), F.lit(NA_TOKEN)).otherwise(
-        F.format_string(f"%.{decimals}f", F.bround(F.round(c, decimals + 7), decimals))
-    )
+    return F.when(c.isNull(), F.lit(NA_TOKEN)).otherwise(F.format_string(f"%.{decimals}f", half_even(c, decimals) + F.lit(0.0)))
 
 
 def number_text(c: ColumnOrName, decimals: int) -> Column:
@@ -222,8 +219,46 @@ def not_in(c: ColumnOrName, values: Iterable) -> Column:
 
 
 def half_even(c: ColumnOrName, decimals: int) -> Column:
-    """Round half to even, the rounding used by the report's labels."""
-    return F.bround(_col(c), decimals)
+    """Rounding of the stored number, used by the report's labels (N17): of
+    the two neighbours with that many decimals the nearer to the double, which
+    is rarely a tie (0.15 is stored below its name and gives 0.1); of a tie
+    the one with the even digit."""
+    c, power = _col(c).cast("double"), F.lit(10.0**decimals)
+    below, above = F.floor(c * power), F.ceil(c * power)
+    down, up = c - below / power, above / power - c
+    nearer = F.when(down < up, below).when(up < down, above).when(below % 2 == 0, below).otherwise(above)
+    # numbers this large have no such decimals; NaN and infinities stay
+    return F.when(F.abs(c) * power < F.lit(2.0**52), nearer / power).otherwise(c)
+
+
+#: Gaps below this are noise, and a column of one value has none: whole percents.
+LEAST_GAP = 2.0**-26
+
+
+def fitting_accuracy(c: ColumnOrName, *by: ColumnOrName) -> Column:
+    """The unit that the values of a column (in each ``by`` group) should be
+    shown in (X12): one digit finer than the order of the smallest gap between
+    two of them, a digit coarser again if that digit is 0 in all, and 1 at most.
+    Over finished report rows: its windows hold a group of them."""
+    c = _col(c)
+    value = F.when(F.abs(c) < F.lit(float("inf")), c)
+    group = Window.partitionBy(*by)
+    gap = value - F.lag(value).over(group.orderBy(value.asc_nulls_first()))
+    least = F.min(F.when(gap > 0, gap)).over(group)
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(least)) - 1)
+    trailing = F.bool_and(F.rint(value / unit) % 10 == 0).over(group)
+    fitted = F.least(F.when(trailing, unit * 10).otherwise(unit), F.lit(1.0))
+    return F.when(least >= F.lit(LEAST_GAP), fitted).otherwise(F.lit(1.0))
+
+
+def fitted_percent_text(ratio: ColumnOrName, *by: ColumnOrName) -> Column:
+    """A ratio as a percent label with as many decimals as its column (in
+    each ``by`` group) needs to tell its values apart (X12)."""
+    percent = _col(ratio) * F.lit(100.0)
+    unit = fitting_accuracy(percent, *by)
+    decimals = F.least(F.greatest(-F.floor(F.log10(unit)), F.lit(0)), F.lit(20))
+    text = F.call_function("format_string", F.concat(F.lit("%."), decimals.cast("string"), F.lit("f%%")), F.rint(percent / unit) * unit + F.lit(0.0))
+    return F.when(percent.isNull(), F.lit(NA_TOKEN)).otherwise(text)
 
 
 def whole_partition(*keys: str) -> WindowSpec:

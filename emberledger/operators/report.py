@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emberledger.functions.semantics import (
+    fitted_percent_text,
+    half_even,
     label_text,
     na_sum,
     number_text,
@@ -73,13 +75,16 @@ def change_vs_baseline(
     period: str = "fiscal_year",
     value: str = "total_mtco2e",
     labels: bool = True,
+    decimals: int | None = 1,
 ) -> DataFrame:
     """Totals per period (NA-ignoring) and the change relative to the first
     period of each ``by`` group (D21).
 
     Periods sort as their labels; ``FY <year>`` labels sort like years.
     With no ``by`` the baseline is a scalar subquery over the per-period
-    totals; with ``by`` it is a window over those totals.
+    totals; with ``by`` it is a window over those totals. The percent labels
+    have ``decimals`` decimals, or, with None, as many as each group's column
+    needs (X12).
     """
     totals = ledger.groupBy(*by, period).agg(sum_or_zero(value, exact=True).alias("total"))
     if by:
@@ -94,7 +99,9 @@ def change_vs_baseline(
     if labels:
         out = out.withColumns(
             {
-                "percent_change_label": percent_text("percent_change", 1),
+                "percent_change_label": percent_text("percent_change", decimals)
+                if decimals is not None
+                else fitted_percent_text("percent_change", *by),
                 "total_label": F.format_number(F.col("total"), 0),
             }
         )
@@ -123,7 +130,7 @@ def sector_share(
         F.lit("<br>Emissions: "), number_text(value, decimals), F.lit(" MTCO2e<br>Share: "),
         number_text("pct", decimals), F.lit("%"),
     )
-    out = out.withColumns({"pct_rounded": F.bround("pct", decimals), "text": text})
+    out = out.withColumns({"pct_rounded": half_even("pct", decimals), "text": text})
     return ordered(out, period, sector)
 
 

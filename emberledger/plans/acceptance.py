@@ -24,11 +24,13 @@ from emberledger.functions.semantics import (
     str_remove_first,
     sum_or_zero,
     to_int,
+    whole_partition,
 )
 from emberledger.operators import allocation, factors, inventory, meters, models, records, report
 from emberledger.operators.factors import DROP, KEEP
 from emberledger.operators.relational import (
     column_range,
+    crossing,
     hot_key_join,
     lookup_join,
     when_groups,
@@ -334,6 +336,43 @@ def q12_allocation_matrix(spark, root, rollup: DataFrame | None = None):
     )
 
 
+def q12_crossing(spark, root):
+    """The product of the literal domains, with the records of each cell."""
+    grid = crossing(
+        spark, "input_year int, entity string, activity string, supercategory string",
+        years=B.GRID_YEARS, entities=B.GRID_ENTITIES, types=B.GRID_TYPES, methods=B.GRID_METHODS,
+    )
+    keys = ["input_year", "entity", "activity", "supercategory"]
+    cells = act_rollup(spark, root).select(*keys, "n_lines")
+    return lookup_join(grid, cells, keys, "left").withColumn("n_lines", F.coalesce("n_lines", F.lit(0)))
+
+
+def _composition(rows: DataFrame, kind: str, column: str, pct: str) -> DataFrame:
+    """Shares of a (year, entity)'s amounts by ``column``."""
+    sums = rows.groupBy("input_year", "entity", F.col(column).alias(kind)).agg(F.sum("amount").alias("__amount"))
+    share = F.col("__amount") / F.sum("__amount").over(whole_partition("input_year", "entity"))
+    return sums.select("input_year", "entity", kind, share.alias(pct))
+
+
+def q12_allocation_tables(spark, root):
+    """D7 from composition tables, as the full run has it: the same matrix."""
+    a = act_rollup(spark, root)
+    flag = F.col("supercategory")
+    compositions = {
+        "total": _composition(a, "waste_type", "activity", "total_waste_pct"),
+        "organic": _composition(a.where((flag == "A") & F.col("activity").isin(B.ORGANIC_TYPES)), "organic_waste_subtype", "activity", "organic_waste_pct"),
+        "recycling": _composition(a.where(flag == "R"), "waste_type", "activity", "total_recycling_pct"),
+    }
+    supplied = a.where((F.col("entity") == B.SUPPLIED_ENTITY) & F.col("input_year").isin(B.GRID_YEARS))
+    share = F.col("amount") / F.sum("amount").over(whole_partition("input_year", "entity"))
+    return allocation.allocation_matrix(
+        _composition(a, "disposal_method", "supercategory", "disposal_method_pct"), compositions,
+        method_sources={"A": "organic", "N": "total", "R": "recycling"},
+        years=B.GRID_YEARS, entities=B.GRID_ENTITIES, types=B.GRID_TYPES, methods=B.GRID_METHODS,
+        supplied=supplied.select("input_year", "entity", F.col("activity").alias("waste_type"), flag.alias("disposal_method"), share.alias("percentage")),
+    )
+
+
 def wide_totals(spark, root, rollup: DataFrame | None = None) -> DataFrame:
     """Per-year segment totals as ``<segment>_tonnes`` columns (one
     conditional sum per segment over the shared rollup)."""
@@ -414,6 +453,22 @@ def q17_application_model(spark, root):
     return models.application_rows(yearly, resolved(spark))
 
 
+def q17_load_tables(spark, root):
+    """D11 from two tables, as the full run has it: flows and chemistry."""
+    a = act(spark, root)
+    flows = a.select("input_year", "entity", F.col("amount").alias("wastewater_gallons"))
+    chemistry = a.select("input_year", F.col("l_discount").alias("influent_bod_mg_l"), F.col("amount").alias("effluent_bod_mg_l"))
+    return models.concentration_load(flows, chemistry, resolved(spark))
+
+
+def q17_application_tables(spark, root):
+    """D14 from two tables, as the full run has it: areas and practice."""
+    a = act(spark, root)
+    area = a.groupBy("input_year").agg(F.sum(F.when(F.col("entity") == "BUILDING", F.col("amount"))).alias("local_acreage"))
+    practice = a.select("input_year", (F.col("l_linenumber") / F.lit(8.0)).alias("pct_fertilized"), F.col("amount").alias("application_rate_lb_N_acre"))
+    return models.application_model(area, practice, resolved(spark))
+
+
 def _routes(spark, root) -> DataFrame:
     return act(spark, root).select(
         "input_year",
@@ -625,6 +680,11 @@ def q27_change_overall(spark, root):
     return report.change_vs_baseline(_building(spark, root))
 
 
+def q27_change_fitted(spark, root):
+    """Labels with as many decimals as each entity's column needs."""
+    return report.change_vs_baseline(inventory_ledger(spark, root), by=["entity"], decimals=None)
+
+
 def q28_sector_share(spark, root):
     """The whole ledger: a sector with an unmatched record has no total, and
     its year no shares."""
@@ -671,12 +731,16 @@ QUERIES: dict[str, Query] = {
     "q10_null_safe": q10_null_safe,
     "q11_na_totals": q11_na_totals,
     "q12_allocation_matrix": q12_allocation_matrix,
+    "q12_crossing": q12_crossing,
+    "q12_allocation_tables": q12_allocation_tables,
     "q13_entity_totals": q13_entity_totals,
     "q14_residual": q14_residual,
     "q15_fan_out": q15_fan_out,
     "q16_downscale": q16_downscale,
     "q17_concentration_load": q17_concentration_load,
     "q17_application_model": q17_application_model,
+    "q17_load_tables": q17_load_tables,
+    "q17_application_tables": q17_application_tables,
     "q18_transit_model": q18_transit_model,
     "q18_transit_strict": q18_transit_strict,
     "q19_labels": q19_labels,
@@ -692,6 +756,7 @@ QUERIES: dict[str, Query] = {
     "q26_baseline_known": q26_baseline_known,
     "q27_change_vs_baseline": q27_change_vs_baseline,
     "q27_change_overall": q27_change_overall,
+    "q27_change_fitted": q27_change_fitted,
     "q28_sector_share": q28_sector_share,
     "q28_sector_share_known": q28_sector_share_known,
     "q29_fuel_mix": q29_fuel_mix,

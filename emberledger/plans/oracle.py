@@ -54,9 +54,17 @@ def _na_sum(expr: str, over: str = "") -> str:
     return f"CASE WHEN bool_or({expr} IS NULL){over} THEN NULL ELSE coalesce(sum({expr}){over}, 0.0) END"
 
 
+def _stored(expr: str, decimals: int) -> str:
+    """The nearer of the two numbers with that many decimals; of a tie the even one."""
+    p = f"1{'0' * decimals}.0::DOUBLE"
+    lo, hi = f"(floor(({expr}) * {p}) / {p})", f"(ceil(({expr}) * {p}) / {p})"
+    return (f"CASE WHEN ({expr}) - {lo} < {hi} - ({expr}) THEN {lo} WHEN ({expr}) - {lo} > {hi} - ({expr}) THEN {hi} "
+            f"WHEN CAST(floor(({expr}) * {p}) AS HUGEINT) % 2 = 0 THEN {lo} ELSE {hi} END")
+
+
 def _number_text(expr: str, decimals: int) -> str:
     """Rounded, without trailing zeros; NA for null."""
-    fixed = f"printf('%.{decimals}f', round_even(round({expr}, {decimals + 7}), {decimals}) + 0.0)"
+    fixed = f"printf('%.{decimals}f', {_stored(expr, decimals)} + 0.0)"
     return f"CASE WHEN {expr} IS NULL THEN 'NA' ELSE regexp_replace({fixed}, '\\.0+$|(\\.\\d*?[1-9])0+$', '\\1') END"
 
 
@@ -206,10 +214,10 @@ def _labels_select(labels: dict) -> str:
     return ", ".join(f"{_lit(v)} AS {k}" for k, v in labels.items())
 
 
-CHANGE_COLUMNS = """fiscal_year, total, percent_change,
+CHANGE_COLUMNS = f"""fiscal_year, total, percent_change,
   CASE WHEN percent_change IS NULL THEN 'NA'
-       ELSE printf('%.1f%%', round_even(round(percent_change * 100.0, 8), 1) + 0.0) END AS percent_change_label,
-  format('{:,.0f}', total) AS total_label"""
+       ELSE printf('%.1f%%', {_stored('percent_change * 100.0', 1)} + 0.0) END AS percent_change_label,
+  format('{{:,.0f}}', total) AS total_label"""
 
 
 def _baseline_sql(where: str) -> str:
@@ -229,7 +237,7 @@ def _share_sql(where: str) -> str:
         f"""y AS (SELECT *, {_na_sum('total_mtco2e', over=' OVER (PARTITION BY fiscal_year)')} AS year_total FROM s)""",
         "p AS (SELECT *, total_mtco2e / nullif(year_total, 0) * 100.0 AS pct FROM y)",
     ) + f"""
-SELECT fiscal_year, supercategory, total_mtco2e, year_total, pct, round_even(pct, 1) AS pct_rounded,
+SELECT fiscal_year, supercategory, total_mtco2e, year_total, pct, {_stored('pct', 1)} AS pct_rounded,
   'Sector: ' || coalesce(supercategory, 'NA') || '<br>Emissions: ' || {_number_text('total_mtco2e', 1)} ||
   ' MTCO2e<br>Share: ' || {_number_text('pct', 1)} || '%' AS text
 FROM p"""
@@ -562,4 +570,33 @@ SELECT {CHANGE_COLUMNS} FROM c""",
 }
 
 # The streaming form of q21 must give exactly the batch rows.
+SQL["q12_crossing"] = _with(ALLOCATION_CTES[-2]) + """
+SELECT g.input_year, g.entity, g.waste_type AS activity, g.disposal_method AS supercategory, count(a.amount) AS n_lines
+FROM grid g LEFT JOIN act a ON a.input_year = g.input_year AND a.entity = g.entity
+  AND a.activity = g.waste_type AND a.supercategory = g.disposal_method
+GROUP BY ALL"""
+# The same results from tables as from records.
+SQL["q12_allocation_tables"] = SQL["q12_allocation_matrix"]
+SQL["q17_load_tables"] = SQL["q17_concentration_load"]
+SQL["q17_application_tables"] = SQL["q17_application_model"]
+
+# Labels of a column with the decimals that tell its values apart.
+SQL["q27_change_fitted"] = _with(
+    *LEDGER_CTES,
+    "t AS (SELECT entity, fiscal_year, coalesce(sum(total_mtco2e), 0.0) AS total FROM ledger GROUP BY 1, 2)",
+    "b AS (SELECT entity, arg_min(total, fiscal_year) AS base FROM t GROUP BY entity)",
+    "c AS (SELECT t.entity, t.fiscal_year, t.total, (t.total - b.base) / nullif(b.base, 0) AS change, "
+    "change * 100.0::DOUBLE AS v FROM t JOIN b ON t.entity IS NOT DISTINCT FROM b.entity)",
+    """g AS (SELECT x.entity, min(y.v - x.v) AS least FROM c x JOIN c y ON x.entity IS NOT DISTINCT FROM y.entity AND y.v > x.v
+  GROUP BY x.entity)""",
+    "u AS (SELECT c.*, least, pow(10.0, floor(log10(least)) - 1) AS unit FROM c LEFT JOIN g ON c.entity IS NOT DISTINCT FROM g.entity)",
+    """f AS (SELECT *, CASE WHEN least >= pow(2.0, -26) THEN
+    least(CASE WHEN bool_and(round_even(v / unit, 0) % 10 = 0) OVER (PARTITION BY entity) THEN unit * 10 ELSE unit END, 1.0) ELSE 1.0 END AS acc
+  FROM u)""",
+) + """
+SELECT entity, fiscal_year, total, change AS percent_change,
+  CASE WHEN v IS NULL THEN 'NA' ELSE printf('%.' || CAST(CAST(greatest(-floor(log10(acc)), 0) AS INTEGER) AS VARCHAR) || 'f', round_even(v / acc, 0) * acc + 0.0) || '%' END AS percent_change_label,
+  format('{:,.0f}', total) AS total_label
+FROM f"""
+
 SQL["q21_meter_stream"] = SQL["q21_meter_emissions"]

@@ -30,7 +30,8 @@ def test_number_text_rounds_ties_to_even_and_drops_zeros(spark):
     vals = [12.25, 12.35, 36.0, 36.04, 0.0, -0.04, 100000.0, 120000.0, 1500000.0, -2000000.0, 99999.96, None]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
     got = [r.t for r in df.select("i", S.number_text("v", 1).alias("t")).orderBy("i").collect()]
-    assert got == ["12.2", "12.4", "36", "36", "0", "0", "1e+05", "120000", "1500000", "-2e+06", "1e+05", "NA"]
+    # 12.35 is stored below its name
+    assert got == ["12.2", "12.3", "36", "36", "0", "0", "1e+05", "120000", "1500000", "-2e+06", "1e+05", "NA"]
     assert rows(spark.createDataFrame([(0.1225,)], "r double").select(S.percent_text("r", 1).alias("p"))) == [("12.2%",)]
 
 
@@ -113,3 +114,29 @@ def test_n17_half_even_rounding(spark):
 def test_labels_text(spark):
     df = spark.createDataFrame([(0.2984,), (None,)], "r double")
     assert rows(df.select(S.percent_text("r").alias("p"))) == [("29.8%",), ("NA",)]
+
+
+@pytest.mark.parametrize("value,decimals,want", [
+    (0.15, 1, 0.1), (0.35, 1, 0.3), (2.675, 2, 2.67), (0.25, 1, 0.2), (0.75, 1, 0.8), (-0.15, 1, -0.1), (-0.25, 1, -0.2),
+    (2.5, 0, 2.0), (3.5, 0, 4.0), (1e300, 2, 1e300), (1234.5, 0, 1234.0), (1.005, 2, 1.0), (0.285, 2, 0.28),
+])
+def test_n17_rounds_the_stored_number(spark, value, decimals, want):
+    got = spark.createDataFrame([(value,), (None,)], "v double").select(S.half_even("v", decimals).alias("v"))
+    assert [r.v for r in got.collect()] == [want, None]
+
+
+@pytest.mark.parametrize("ratios,want", [
+    ([0.0, 0.5, -0.25], ["0%", "50%", "-25%"]),  # gaps of 25 percent: whole percents
+    ([0.0, 0.05, 0.10], ["0%", "5%", "10%"]),
+    ([0.0, 0.005, 0.0125], ["0.00%", "0.50%", "1.25%"]),  # a gap of 0.5 percent
+    ([0.0, 0.005, 0.012], ["0.0%", "0.5%", "1.2%"]),  # the last digit would be 0 in all
+    ([0.0, -0.130617, -0.298498], ["0%", "-13%", "-30%"]),
+    ([0.001, 0.002], ["0.1%", "0.2%"]),
+    ([0.00012, 0.00034], ["0.012%", "0.034%"]),
+    ([0.5], ["50%"]), ([0.5, 0.5], ["50%", "50%"]), ([None, 0.123], ["NA", "12%"]),
+])
+def test_x12_decimals_from_the_column(spark, ratios, want):
+    df = spark.createDataFrame([(i, "a", r) for i, r in enumerate(ratios)] + [(99, "b", 0.1), (100, "b", 0.10012)], "i int, g string, r double")
+    got = {r.i: r.t for r in df.select("i", S.fitted_percent_text("r", "g").alias("t")).collect()}
+    assert [got[i] for i in range(len(ratios))] == want
+    assert got[99] == "10.000%" and got[100] == "10.012%"
