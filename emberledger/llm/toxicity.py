@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import string
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emberledger.llm.common import cut
+
 #: Labelled documents of each class that the model is fitted on, at most.
 TRAIN_ROWS = 3000
 GRADES = 3
@@ -31,23 +33,10 @@ MAX_FEATURES, MIN_DOCS, MIN_Z = 20_000, 5, 4.0
 #: Lengths of word beginnings.
 HEADS = (4, 5, 6)
 #: Expected grade from which on a document is rejected.
-REJECT = 0.5
+REJECT = 0.4
 _EDGE = string.punctuation + "«»„“”’…–—"
 
 
-def features_of(words: Iterable[str]) -> set[str]:
-    """The features of some words: each word, and the beginnings of long ones."""
-    out = set()
-    for w in words:
-        w = w.strip(_EDGE)
-        if w:
-            out.add(w)
-            for n in HEADS:
-                if len(w) > n:
-                    out.add(f"{w[:n]}*")
-    return out
-
-
 def counts(text: str | None, known: dict[str, int] | None = None) -> dict[str, int]:
     """How often each feature (of the known ones) occurs in a text."""
     out: Counter[str] = Counter()
@@ -67,6 +56,11 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def plain(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        """What a broadcast carries (at most ``MAX_FEATURES`` weights): a
+        class would be unpickled by name, and executors need no copy of the package."""
+        return self.names, self.weights, self.thresholds
+
     def expected(self, found: dict[str, int]) -> float:
         score = sum(self.weights[self.names[f]] * (1 + np.log(n)) for f, n in found.items())
         return float((1 - _sigmoid(self.thresholds - score)).sum())
@@ -108,54 +102,90 @@ def fit_cumulative(
     return w, np.cumsum(np.concatenate([params[n_features : n_features + 1], np.exp(params[n_features + 1 :])]))
 
 
-def fit(texts: list[str], toxic: list[int], grades: int = GRADES) -> Model:
-    """Fit the model on labelled texts; without toxic or clean ones, a model
-    that finds nothing toxic."""
-    y = np.array(toxic, "i8")
-    found = [counts(t) for t in texts]
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    held: tuple[Counter, Counter] = (Counter(), Counter())
-    for f, label in zip(found, y):
-        held[label].update(f.keys())
-    evidence = {}
-    for f, a in held[1].items():
-        b = held[0].get(f, 0)
-        if a + b >= MIN_DOCS:
-            odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
-            z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if z >= MIN_Z:
-                evidence[f] = (z, odds)
-    names = {f: i for i, f in enumerate(sorted(evidence, key=lambda f: (-evidence[f][0], f))[:MAX_FEATURES])}
-    if not names:
-        return Model({}, np.zeros(0), np.full(grades - 1, 35.0))
-    mass = np.array([sum(evidence[g][1] * n for g, n in f.items() if g in names) for f in found])
-    edges = np.quantile(mass[y == 1], np.linspace(0, 1, grades)[1:-1])
-    grade = np.where(y == 1, 1 + np.searchsorted(edges, mass, side="left"), 0)
-    entries = [(i, names[g], 1 + np.log(n)) for i, f in enumerate(found) for g, n in f.items() if g in names]
-    r, c, x = (np.array(col) for col in zip(*entries))
-    weights, thresholds = fit_cumulative(r, c, x, grade, len(names), grades)
-    return Model(names, weights, thresholds)
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[tuple[str, int]]:
-    """At most ``rows`` labelled documents of each class, chosen by the hash
-    of their id. Rows without label, id or text are not used."""
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+    """``doc_id``, ``text``, ``toxic`` of at most ``rows`` labelled documents
+    of each class, chosen by the hash of their id. Rows without label, id or
+    text are not used. Only ids and hashes of texts are sorted and sent."""
     marked = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).dropna().distinct()
     parts = [marked.filter(F.col("_toxic") == k).orderBy(F.xxhash64("_id"), "_id").limit(rows) for k in (0, 1)]
     # 2 * rows ids at most
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
     joined = docs.select("doc_id", "text").dropna().join(chosen, F.col("doc_id") == F.col("_id"))
-    sample = joined.select("doc_id", "text", "_toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "_toxic", "text").limit(2 * rows)
-    return [(r[1], r[2]) for r in sample.collect()]
+    joined = joined.select("doc_id", "text", F.col("_toxic").alias("toxic"), F.xxhash64("text").alias("key"))
+    # where ids repeat there may be more rows than ids
+    first = joined.select("doc_id", "toxic", "key").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "key").limit(2 * rows)
+    return joined.join(F.broadcast(first), ["doc_id", "toxic", "key"]).dropDuplicates(["doc_id", "toxic", "key"]).select("doc_id", "text", "toxic", "key")
+
+
+def telling_features(sample: DataFrame) -> list[tuple[str, float]]:
+    """Features that mark toxic documents, with their log odds ratio: counted
+    in the tasks, chosen by an aggregation, at most ``MAX_FEATURES``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[Counter, Counter] = (Counter(), Counter())
+        size = [0, 0]
+        for batch in batches:
+            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held[label].update(counts(text).keys())
+                size[label] += 1
+        names = [None, *(held[0].keys() | held[1].keys())]
+        held[0][None], held[1][None] = size  # the documents themselves
+        for lo in range(0, len(names) if sum(size) else 0, 50_000):
+            part = names[lo : lo + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.string()), *(pa.array([h[n] for n in part], pa.int64()) for h in held)], names=["feature", "clean", "toxic"]
+            )
+
+    found = sample.select("text", "toxic").mapInArrow(run, "feature string, clean long, toxic long")
+    found = found.groupBy("feature").agg(F.sum("clean").alias("b"), F.sum("toxic").alias("a"))
+    found = cut(found.filter(f"feature is null or (a > 0 and a + b >= {MIN_DOCS})"))
+    size = found.filter("feature is null").select("b", "a").first()
+    n0, n1 = (max(1, n) for n in (size or (0, 0)))
+    a, b, half = F.col("a"), F.col("b"), F.lit(0.5)
+    odds = F.log((a + half) / (F.lit(n1) - a + half)) - F.log((b + half) / (F.lit(n0) - b + half))
+    z = odds / F.sqrt(1 / (a + half) + 1 / (b + half))
+    best = found.filter("feature is not null").select("feature", odds.alias("odds"), z.alias("z")).filter(F.col("z") >= MIN_Z)
+    return [(r.feature, r.odds) for r in best.orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).collect()]
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, grades: int = GRADES) -> Model:
+    """Fit the model on a bounded sample of labelled documents; without toxic
+    or clean ones, a model that finds nothing toxic. The driver gets, per
+    sampled document, its counts of the chosen features, never its text."""
+    sample = cut(training_rows(docs, labels, rows))
+    chosen = telling_features(sample)
+    names, weight = {f: i for i, (f, _) in enumerate(chosen)}, np.array([o for _, o in chosen])
+    if not names:
+        return Model({}, np.zeros(0), np.full(grades - 1, 35.0))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [{names[f]: n for f, n in counts(t, names).items()} for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))],
+                names=["doc_id", "toxic", "key", "at", "n"],
+            )
+
+    kind = sample.select("doc_id").schema[0].dataType.simpleString()
+    sparse = sample.select("text", "doc_id", "toxic", "key").mapInArrow(run, f"doc_id {kind}, toxic int, key long, at array<int>, n array<long>")
+    got = sorted(sparse.collect(), key=lambda r: (r.key, r.doc_id, r.toxic))  # 2 * rows documents at most
+    y = np.array([r.toxic for r in got])
+    n = [len(r.at) for r in got]
+    r = np.repeat(np.arange(len(got)), n)
+    c, times = (np.array([v for row in got for v in row[f]], "i8") for f in ("at", "n"))
+    mass = np.bincount(r, weights=weight[c] * times, minlength=len(got))
+    edges = np.quantile(mass[y == 1], np.linspace(0, 1, grades)[1:-1])
+    grade = np.where(y == 1, 1 + np.searchsorted(edges, mass, side="left"), 0)
+    weights, thresholds = fit_cumulative(r, c, 1 + np.log(times), grade, len(names), grades)
+    return Model(names, weights, thresholds)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``expected_severity``, ``grade`` (the nearest) and ``toxic``."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
+    sent = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         for batch in batches:
             e = np.array([m.expected(counts(t.as_py(), m.names)) for t in batch.column(1)], "f8")
             yield pa.RecordBatch.from_arrays(
@@ -173,19 +203,16 @@ def grade_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
     """Fit on a bounded sample of the labelled documents, score all. A null
     or empty text has no features and scores as such; rows that repeat are
     scored alike; other columns are left out; no documents, no rows."""
-    pairs = training_rows(docs, labels, rows)
-    return score(docs, fit([t for t, _ in pairs], [y for _, y in pairs]))
+    return score(docs, fit(docs, labels, rows))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without the documents that the model rejects, all columns kept."""
-    pairs = training_rows(docs, labels, rows)
-    model = fit([t for t, _ in pairs], [y for _, y in pairs])
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows).plain())
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
+        m = Model(*sent.value)
         for batch in batches:
             keep = [m.expected(counts(t.as_py(), m.names)) < REJECT for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))

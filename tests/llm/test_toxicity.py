@@ -44,7 +44,7 @@ def test_held_out_accuracy(spark):
     got = T.grade_documents(docs, train).join(held.withColumnRenamed("toxic", "truth"), "doc_id").select("toxic", "truth", "expected_severity").collect()
     hit = [r.toxic for r in got if r.truth == 1]
     false = [r.toxic for r in got if r.truth == 0]
-    assert sum(hit) / len(hit) > 0.85 and sum(false) / len(false) < 0.01
+    assert sum(hit) / len(hit) >= 0.9 and sum(false) / len(false) < 0.01
     assert all(0 <= r.expected_severity <= T.GRADES - 1 for r in got)
 
 
@@ -63,3 +63,45 @@ def test_awkward_documents(spark, awkward, empty):
     assert T.grade_documents(empty, labels).count() == 0
     none = T.grade_documents(docs, labels.limit(0)).collect()
     assert len(none) == docs.count() and not any(r.toxic for r in none)
+
+
+def test_features_against_plain_counts(spark):
+    """The chosen features and their odds, counted one document after the other."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)] + ["vile", "Vile!", "scumbag", "scummy"]
+    rows = [(i, " ".join(rng.choice(words if i % 3 == 0 else words[:31]) for _ in range(25)), int(i % 3 == 0)) for i in range(90)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    held = {0: {}, 1: {}}
+    for _, t, y in rows:
+        for f in T.counts(t):
+            held[y][f] = held[y].get(f, 0) + 1
+    n1, n0 = sum(r[2] for r in rows), sum(1 - r[2] for r in rows)
+    want = {}
+    for f, a in held[1].items():
+        b = held[0].get(f, 0)
+        odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+        if a + b >= T.MIN_DOCS and odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)) >= T.MIN_Z:
+            want[f] = odds
+    got = dict(T.telling_features(T.training_rows(docs, labels)))
+    assert want and got.keys() == want.keys() and all(abs(got[f] - want[f]) < 1e-9 for f in want)
+    # the expected grade of every document, from the fitted weights
+    model = T.fit(docs, labels)
+    for r in T.grade_documents(docs, labels).collect():
+        text = rows[r.doc_id][1]
+        score = sum(model.weights[i] * (1 + np.log(n)) for f, n in T.counts(text).items() if (i := model.names.get(f)) is not None)
+        assert abs(r.expected_severity - sum(1 / (1 + np.exp(c - score)) for c in model.thresholds)) < 1e-9
+
+
+def test_sample_is_bounded_and_repeats(spark):
+    docs = spark.createDataFrame([(i % 40, f"t{i}") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    picks = [sorted(map(tuple, T.training_rows(docs.repartition(n), labels, 5).collect())) for n in (1, 4)]
+    assert picks[0] == picks[1] and 0 < len(picks[0]) <= 10
+
+
+def test_executors_need_no_copy_of_the_package(spark):
+    import pickle
+
+    model = T.Model({"x": 0}, np.ones(1), np.zeros(2))
+    assert b"emberledger" not in pickle.dumps(model.plain())
