@@ -59,11 +59,8 @@ def sum_limbs(c: ColumnOrName, over: WindowSpec | None = None) -> list[Column]:
     (see ``sum_outside``). Null over no (non-null) rows.
     """
     c = _col(c).cast("double")
-    inside = F.when(F.abs(c) < F.lit(2.0**96), c)
-    return [
-        _over(F.sum(((inside * F.lit(2.0 ** -(LOWEST + LIMB_BITS * i))) % F.lit(float(_BASE))).cast("long")), over)
-        for i in range(LIMBS)
-    ]
+    inside, base = F.when(F.abs(c) < F.lit(2.0**96), c), F.lit(float(_BASE))
+    return [_over(F.sum((inside * 2.0 ** -(LOWEST + LIMB_BITS * i) % base).cast("long")), over) for i in range(LIMBS)]
 
 
 def sum_outside(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
@@ -72,46 +69,39 @@ def sum_outside(c: ColumnOrName, over: WindowSpec | None = None) -> Column:
     return _over(F.sum(F.when(~(F.abs(c) < F.lit(2.0**96)), c)), over)
 
 
+# Rounding of a sum in limbs, as one SQL lambda: each step's result is bound to
+# a name, so nothing is computed, or analysed, twice.
+_CARRIED = """aggregate({0}, named_struct('carry', 0L, 'digits', cast(array() as array<bigint>)),
+  (acc, x) -> named_struct('carry', shiftright(x + acc.carry, {bits}),
+                           'digits', concat(array((x + acc.carry) & {mask}L), acc.digits)))"""
+_BIND = "element_at(transform(array({0}), {1} -> {2}), 1)"
+
+
+def _nearest_double() -> str:
+    bits, mask = LIMB_BITS, _BASE - 1
+
+    def carried(of: str) -> str:
+        return _CARRIED.format(of, bits=bits, mask=mask)
+
+    # digits from the highest: what goes beyond the limbs is two more
+    digits = f"concat(array(shiftright(both.carry, {bits}), both.carry & {mask}L), both.digits, array(0L, 0L, 0L))"
+    lead = "cast(array_position(transform(d, x -> x > 0), true) as int)"  # from 1; 0 if all are 0
+    high = f"cast(element_at(d, lead) * {_BASE}L + element_at(d, lead + 1) as double)"
+    low = f"cast(element_at(d, lead + 2) * {_BASE}L + element_at(d, lead + 3) as double)"
+    # what is left below decides between two doubles only where the rest is a tie
+    rest = f"if(exists(slice(d, lead + 4, {LIMBS + 5}), x -> x > 0), 0.5D, 0D)"
+    unit = f"power(2D, ({LIMBS - 1} - lead) * {bits} + {LOWEST})"
+    value = f"if(lead = 0, 0D, ({high} * {2.0 ** (2 * bits)!r}D + ({low} + {rest})) * {unit})"
+    value = _BIND.format(digits, "d", _BIND.format(lead, "lead", value.replace("element_at(d, lead)", "element_at(d, greatest(lead, 1))")))
+    value = _BIND.format(carried("transform(p, x -> if(negative, -x, x))"), "both", value)
+    return "p -> " + _BIND.format(f"{carried('p')}.carry < 0", "negative", f"if(negative, -1D, 1D) * {value}")
+
+
 def limbs_value(limbs: list[Column], outside: Column) -> Column:
     """The double nearest to the sum that ``limbs`` stand for (ties to even)."""
-
-    def carried(parts: Column) -> Column:
-        """Digits from 0 to 2^24 - 1 from the lowest, and what goes beyond them."""
-        return F.aggregate(
-            parts,
-            F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<long>").alias("digits")),
-            lambda acc, x: F.struct(
-                F.shiftright(x + acc["carry"], LIMB_BITS).alias("carry"),
-                F.concat(F.array((x + acc["carry"]).bitwiseAND(F.lit(_BASE - 1))), acc["digits"]).alias("digits"),
-            ),
-        )
-
-    parts = F.array(*limbs)
-    negative = carried(parts)["carry"] < 0
-    signed = F.transform(parts, lambda x: F.when(negative, -x).otherwise(x))
-
-    def nearest(both: Column) -> Column:
-        # highest first, with the carry above as two more digits
-        digits = F.concat(
-            F.array(F.shiftright(both["carry"], LIMB_BITS), both["carry"].bitwiseAND(F.lit(_BASE - 1))), both["digits"], F.array_repeat(F.lit(0).cast("long"), 3)
-        )
-
-        def of(d: Column) -> Column:
-            lead = F.array_position(F.transform(d, lambda x: x > 0), F.lit(True)).cast("int")  # from 1; 0 if all are 0
-            at = F.greatest(lead, F.lit(1))
-            high = (F.element_at(d, at) * _BASE + F.element_at(d, at + 1)).cast("double")
-            low = (F.element_at(d, at + 2) * _BASE + F.element_at(d, at + 3)).cast("double")
-            # whether anything is left below decides between two doubles only where the rest is a tie
-            rest = F.exists(F.slice(d, at + 4, F.lit(LIMBS + 5)), lambda x: x > 0)
-            value = high * F.lit(2.0 ** (2 * LIMB_BITS)) + (low + F.when(rest, 0.5).otherwise(0.0))
-            # digit ``at`` stands for LIMB_BITS * (LIMBS + 2 - at) + LOWEST bits, ``low`` ends three digits further
-            return F.when(lead == 0, F.lit(0.0)).otherwise(value * F.pow(F.lit(2.0), (F.lit(LIMBS - 1) - at) * LIMB_BITS + LOWEST))
-
-        return F.element_at(F.transform(F.array(digits), of), 1)
-
-    value = F.element_at(F.transform(F.array(carried(signed)), nearest), 1)
-    value = F.when(limbs[0].isNotNull(), F.when(negative, -value).otherwise(value))
-    return F.when(outside.isNotNull(), outside + F.coalesce(value, F.lit(0.0))).otherwise(value)
+    value = F.element_at(F.call_function("transform", F.array(F.array(*limbs)), F.expr(_nearest_double())), 1) + F.lit(0.0)
+    value = F.when(limbs[0].isNotNull(), value)
+    return F.coalesce(outside + F.coalesce(value, F.lit(0.0)), value)
 
 
 def exact_sum(c: ColumnOrName, over: WindowSpec | None = None) -> Column:

@@ -87,6 +87,13 @@ def change_vs_baseline(
     needs (X12).
     """
     totals = ledger.groupBy(*by, period).agg(sum_or_zero(value, exact=True).alias("total"))
+    return change_of_totals(totals, by, period, labels, decimals)
+
+
+def change_of_totals(
+    totals: DataFrame, by: Sequence[str] = (), period: str = "fiscal_year", labels: bool = True, decimals: int | None = 1
+) -> DataFrame:
+    """``change_vs_baseline`` from finished totals (``total``)."""
     if by:
         first = F.min_by("total", period).over(Window.partitionBy(*by))
     else:
@@ -122,6 +129,13 @@ def sector_share(
     report; the period total is a window over the aggregated rows.
     """
     sectors = ledger.groupBy(period, sector).agg(na_sum(value, exact=True).alias(value))
+    return share_of_totals(sectors, period, sector, value, decimals)
+
+
+def share_of_totals(
+    sectors: DataFrame, period: str = "fiscal_year", sector: str = "supercategory", value: str = "total_mtco2e", decimals: int = 1
+) -> DataFrame:
+    """``sector_share`` from finished totals (``value``)."""
     year_total = na_sum(value, over=whole_partition(period), exact=True)
     out = sectors.withColumn("year_total", year_total)
     out = out.withColumn("pct", safe_div(F.col(value), F.col("year_total")) * F.lit(100.0))

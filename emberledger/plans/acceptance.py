@@ -26,7 +26,7 @@ from emberledger.functions.semantics import (
     to_int,
     whole_partition,
 )
-from emberledger.operators import allocation, factors, inventory, meters, models, records, report
+from emberledger.operators import allocation, factors, inventory, meters, models, records, report, report_state
 from emberledger.operators.factors import DROP, KEEP
 from emberledger.operators.relational import (
     column_range,
@@ -685,6 +685,27 @@ def q27_change_fitted(spark, root):
     return report.change_vs_baseline(inventory_ledger(spark, root), by=["entity"], decimals=None)
 
 
+def stored_state(spark, root) -> DataFrame:
+    """The ledger's state as a run would leave it: all years stored once, and
+    one year stored wrong before it was run again."""
+    led = inventory_ledger(spark, root)
+    path = scratch_dir(spark, "state")
+    wrong = F.when(F.col("input_year") == 1997, F.col("total_mtco2e") * 2 + 1).otherwise(F.col("total_mtco2e"))
+    report_state.store_state(report_state.ledger_state(led.withColumn("total_mtco2e", wrong)), path)
+    report_state.store_state(report_state.ledger_state(led.where(F.col("input_year") == 1997)), path)
+    return report_state.read_state(spark, path)
+
+
+def q27_change_from_state(spark, root):
+    """q27 from stored partial aggregates, after one year was run again."""
+    return report_state.change_vs_baseline(stored_state(spark, root), by=["entity"])
+
+
+def q28_share_from_state(spark, root):
+    """q28 from stored partial aggregates, after one year was run again."""
+    return report_state.sector_share(stored_state(spark, root))
+
+
 def q28_sector_share(spark, root):
     """The whole ledger: a sector with an unmatched record has no total, and
     its year no shares."""
@@ -757,6 +778,8 @@ QUERIES: dict[str, Query] = {
     "q27_change_vs_baseline": q27_change_vs_baseline,
     "q27_change_overall": q27_change_overall,
     "q27_change_fitted": q27_change_fitted,
+    "q27_change_from_state": q27_change_from_state,
+    "q28_share_from_state": q28_share_from_state,
     "q28_sector_share": q28_sector_share,
     "q28_sector_share_known": q28_sector_share_known,
     "q29_fuel_mix": q29_fuel_mix,

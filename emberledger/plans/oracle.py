@@ -575,6 +575,9 @@ SELECT g.input_year, g.entity, g.waste_type AS activity, g.disposal_method AS su
 FROM grid g LEFT JOIN act a ON a.input_year = g.input_year AND a.entity = g.entity
   AND a.activity = g.waste_type AND a.supercategory = g.disposal_method
 GROUP BY ALL"""
+# The same results from stored partial aggregates as from the ledger.
+SQL["q27_change_from_state"] = SQL["q27_change_vs_baseline"]
+SQL["q28_share_from_state"] = SQL["q28_sector_share"]
 # The same results from tables as from records.
 SQL["q12_allocation_tables"] = SQL["q12_allocation_matrix"]
 SQL["q17_load_tables"] = SQL["q17_concentration_load"]
