@@ -18,6 +18,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +30,13 @@ STEP = 8
 #: Most pieces in an enumerated combination.
 DEPTH = 3
 #: Chunks that a worker's token cache keeps, and documents encoded at once.
-CACHE, AT_ONCE = 700_000, 256
+CACHE, AT_ONCE = 700_000, 1024
+#: Texts that are encoded whole: with other white space than blanks and newlines, with two such characters
+#: in a row, with one at an end, or with a NUL.
+UNCUT = (
+    "[\\x{0}\\x{9}\\x{b}-\\x{d}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}"
+    "\\x{205f}\\x{3000}]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\z"
+)
 
 
 # -- tokens ---------------------------------------------------------------
@@ -91,7 +98,7 @@ class Encoder:
     def _learn(self, new: list[str], starts: np.ndarray) -> None:
         """Append the ids of new chunks. A full stop or comma after a letter
         is a token of its own, so the word before it may be known."""
-        cut = [(w[:-1], self.marks[w[-1]]) if w[-1] in ".," and len(w) > 1 and w[-2].isalpha() else (w, []) for w in new]
+        cut = [(w[:-1], self.marks[w[-1]]) if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else (w, []) for w in new]
         known = len(starts)
         ask = list(dict.fromkeys(w for w, _ in cut if dict.get(self.codes, w, known) >= known))
         told = dict(zip(ask, self._ids(ask)))
@@ -118,25 +125,37 @@ class Encoder:
         self.codes = _Codes((chunks[k], i) for i, k in enumerate(keep.tolist()))
         self.flat, self.lengths, self.used = self.flat[at], n, self.used[keep] // 2
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = []
-        for t in texts:
-            words = t.replace("\n", " ").split(" ")
-            if "" in words or len(words) != len(t.split()):
-                split.append([t] if t else [])
-            else:
-                split.append(t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in t else [t])
+    def _chunks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of the chunks of all texts, how many each text has, and the
+        order the texts are in: those cut into chunks, then the others. Only
+        the different chunks of ``texts`` become Python strings."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        whole = pc.match_substring_regex(texts, UNCUT)
+        order = np.argsort(whole.to_numpy(zero_copy_only=False), kind="stable")
+        marked = pc.replace_substring(pc.replace_substring(texts.filter(pc.invert(whole)), " ", "\0 "), "\n", "\0\n\0")
+        lists = pc.split_pattern(marked, "\0")
+        different = pa.concat_arrays([lists.flatten().cast(pa.large_string()), texts.filter(whole)]).dictionary_encode()
         kept = len(self.codes)
-        code = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(split)), "i8", sum(map(len, split)))
+        known = different.dictionary.to_pylist()
+        code = np.fromiter(map(self.codes.__getitem__, known), "i8", len(known))[different.indices.to_numpy()]
         if len(self.codes) > kept:
             self._learn(list(islice(self.codes, kept, None)), np.cumsum(self.lengths) - self.lengths)
+        each = np.concatenate([pc.list_value_length(lists).to_numpy().astype("i8"), np.ones(len(texts) - len(lists), "i8")])
+        return code, each, order
+
+    def encode(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        code, each, order = self._chunks(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
         starts = np.cumsum(self.lengths) - self.lengths
         n = self.lengths[code]
         ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(n) else 0) + np.repeat(starts[code] - (ends - n), n)
-        stops = np.cumsum(np.fromiter(map(len, split), "i8", len(split)))
-        stops = np.concatenate([[0], ends])[stops]
-        out = np.split(self.flat[at], stops[:-1]) if texts else []
+        at = np.arange(ends[-1]) + np.repeat(starts[code] - (ends - n), n)
+        flat = self.flat[at]
+        stops = ends[np.cumsum(each) - 1]
+        out: list = [None] * len(order)
+        for i, lo, hi in zip(order.tolist(), [0, *stops[:-1].tolist()], stops.tolist()):
+            out[i] = flat[lo:hi]
         self.used += np.bincount(code, minlength=len(self.used))
         if len(self.codes) > self.cache:
             self._forget(starts)
@@ -153,10 +172,9 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WIND
         for batch in batches:
             for lo in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(lo, AT_ONCE)
-                texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = part.column(0).to_pylist()
                 out: list[tuple] = []
-                for doc, tokens in zip(ids, encoder.encode(texts)):
+                for doc, tokens in zip(ids, encoder.encode(part.column(1))):
                     tokens = np.append(tokens, np.array([end_id], "<u4"))
                     data = memoryview(tokens.astype("<u4", copy=False).tobytes())
                     for s in range(0, len(tokens), window):
