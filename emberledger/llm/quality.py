@@ -1,10 +1,18 @@
 """Quality rules with robust multivariate outliers.
 
 Every document gets base statistics and fixed rules. The documents that pass
-them are judged by a transformed vector of the statistics: minimum-covariance-
-determinant estimates of its centre and scatter per language and source, by
-concentration steps from the medians, then one reweighting; a document is
-rejected if its Mahalanobis distance is beyond a chi-square quantile.
+them are judged by a transformed vector of the statistics: regularised minimum-
+covariance-determinant estimates of its centre and scatter per language and
+source. Concentration steps run from several starts (the medians, and small
+hashed subsets), the start with the least determinant goes on, and the result
+is reweighted once; a document is rejected if its Mahalanobis distance is
+beyond a chi-square quantile.
+
+Three of the statistics are 0 in most documents, so the documents that an
+estimate is concentrated on need not vary in them at all. A count is not known
+better than to one occurrence; the mean square, over these documents, of what
+one more occurrence changes is therefore added to the variance of each
+statistic. It comes from the lengths of the documents of the cell.
 
 A concentration step is two aggregations over all documents, so a cell
 (language and source) of any size is worked on by all tasks. Cells of fewer
@@ -28,16 +36,16 @@ from emberledger.llm.common import cut, lookup, null_last
 
 SYMBOLS = "#*$%&|<>"
 GRAM = 8
-#: Share of a cell that the estimates are concentrated on, and steps.
-KEEP, STEPS = 0.75, 4
+#: Share of a cell that the estimates are concentrated on; steps from every start, and from the best.
+KEEP, ROUGH, STEPS = 0.75, 2, 3
+#: Starts: the medians, and hashed subsets of about so many documents.
+STARTS, SUBSET = 4, 40
 #: Chi-square quantiles (4 degrees of freedom) of the reweighting and of rejection.
 REWEIGHT, REJECT = 0.975, 0.999
 MIN_ROWS = 100
-#: Least standard deviation of each transformed statistic. Most are 0 in almost all documents.
-FLOORS = (1.0, 0.75, 1.0, 0.1)
 #: Words from which on the mean word length of a document varies no less with its length.
 LONG = 3000
-DIMS = len(FLOORS)
+DIMS = 4
 
 
 # -- base statistics ------------------------------------------------------
@@ -124,32 +132,34 @@ def consistency(share: float, dof: int = DIMS) -> float:
     return share / chi2_cdf(chi2_quantile(share, dof), dof + 2)
 
 
-MODEL = "cell string, mean array<double>, inverse array<double>"
+BY = ["cell", "start"]
+MODEL = "cell string, start int, mean array<double>, inverse array<double>, logdet double"
 
 
 def _models(sums: DataFrame, factor: float) -> DataFrame:
-    """Centre and inverse scatter per cell from (``n``, ``s`` sums, ``ss`` sums of products)."""
+    """Centre, inverse scatter and its log determinant per cell and start from
+    (``n``, ``s`` sums, ``ss`` sums of products, ``rs`` sums of squared resolutions)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for cell, n, s, ss in zip(pdf["cell"], pdf["n"], pdf["s"], pdf["ss"]):
+            for cell, start, n, s, ss, rs in pdf[[*BY, "n", "s", "ss", "rs"]].itertuples(index=False):
                 mean = np.array(s) / n
                 cov = factor * (np.array(ss).reshape(DIMS, DIMS) / n - np.outer(mean, mean))
-                short = np.maximum(np.array(FLOORS) ** 2 - np.diag(cov), 0)
-                inverse = np.linalg.inv(cov + np.diag(short))
-                out.append((cell, mean.tolist(), inverse.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["cell", "mean", "inverse"])
+                cov += np.diag(np.array(rs) / n)
+                out.append((cell, start, mean.tolist(), np.linalg.inv(cov).ravel().tolist(), float(np.linalg.slogdet(cov)[1])))
+            yield pd.DataFrame(out, columns=[*BY, "mean", "inverse", "logdet"])
 
     return cut(sums.mapInPandas(run, MODEL))
 
 
 def _sums(rows: DataFrame) -> DataFrame:
     v = [F.element_at("v", i + 1) for i in range(DIMS)]
-    return rows.groupBy("cell").agg(
+    return rows.groupBy(*BY).agg(
         F.count("*").alias("n"),
         F.array(*[F.sum(x) for x in v]).alias("s"),
         F.array(*[F.sum(x * y) for x in v for y in v]).alias("ss"),
+        F.array(*[F.sum(F.element_at("r", i + 1)) for i in range(DIMS)]).alias("rs"),
     )
 
 
@@ -179,7 +189,10 @@ def with_cells(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
 
 
 def with_vectors(rows: DataFrame) -> DataFrame:
-    """``v``: the transformed statistics, each of about equal variance at every length."""
+    """``v``: the transformed statistics (word length, symbols, repeated lines,
+    repetitions of a window), each of about equal variance at every length;
+    ``r``: the squares of what one more occurrence (a character, a symbol, a
+    line, a window said again) changes."""
     n = F.col("n_words")
     rows = rows.withColumn("_len", F.col("word_chars") / n)
     middle = cut(rows.groupBy("cell").agg(F.percentile_approx("_len", 0.5, 10000).alias("_mid")))
@@ -188,28 +201,58 @@ def with_vectors(rows: DataFrame) -> DataFrame:
         (F.col("_len") - F.col("_mid")) * F.sqrt(n / (1 + n / LONG)),
         F.sqrt(100 * F.col("n_symbols") / n),
         F.sqrt(100 * F.col("n_dup_lines") / n),
-        F.col("n_repeat_words") / n,
+        F.col("n_repeat_words") / (2 * GRAM) * F.sqrt(100 / n),
     )
-    return rows.withColumn("v", v).drop("_len", "_mid")
+    r = F.array(1 / (n * (1 + n / LONG)), 100 / n, 100 / n, 100 / n)
+    return rows.withColumn("v", v).withColumn("r", r).drop("_len", "_mid")
 
 
-def mcd(rows: DataFrame, keep: float = KEEP, steps: int = STEPS) -> DataFrame:
-    """The model of every cell of ``rows`` (``cell``, ``v``)."""
+def first_models(rows: DataFrame, starts: int) -> DataFrame:
+    """Start 0 of every cell from medians and their absolute deviations; the
+    others from hashed subsets (a cell in which a subset is empty has no such start)."""
     v = [F.element_at("v", i + 1) for i in range(DIMS)]
-    middles = cut(rows.groupBy("cell").agg(F.array(*[F.percentile_approx(x, 0.5, 10000) for x in v]).alias("mean")))
+    middles = cut(rows.groupBy("cell").agg(F.count("*").alias("size"), F.array(*[F.percentile_approx(x, 0.5, 10000) for x in v]).alias("mean")))
+    rows = lookup(rows, middles, "cell")
     off = [F.abs(x - F.element_at("mean", i + 1)) for i, x in enumerate(v)]
-    spread = lookup(rows, middles, "cell").groupBy("cell", "mean").agg(
-        F.array(*[F.percentile_approx(x, 0.5, 10000) for x in off]).alias("mad")
+    spread = rows.groupBy("cell", "mean").agg(
+        F.array(*[F.percentile_approx(x, 0.5, 10000) for x in off]).alias("mad"),
+        F.array(*[F.avg(F.element_at("r", i + 1)) for i in range(DIMS)]).alias("res"),
     )
-    scale = [F.pow(F.greatest(1.4826 * F.element_at("mad", i + 1), F.lit(f)), 2) for i, f in enumerate(FLOORS)]
+    scale = [F.pow(1.4826 * F.element_at("mad", i + 1), 2) + F.element_at("res", i + 1) for i in range(DIMS)]
     flat = [1 / scale[i] if i == j else F.lit(0.0) for i in range(DIMS) for j in range(DIMS)]
-    model = cut(spread.select("cell", "mean", F.array(*flat).alias("inverse")))
+    medians = spread.select("cell", F.lit(0).alias("start"), "mean", F.array(*flat).alias("inverse"))
+    drawn = F.filter(
+        F.sequence(F.lit(1), F.lit(starts - 1)), lambda s: F.pmod(F.xxhash64(s, "v"), F.col("size")) < SUBSET
+    )
+    if starts < 2:
+        return cut(medians)
+    subsets = _models(_sums(rows.withColumn("start", F.explode(drawn))), 1.0)
+    return cut(medians.unionByName(subsets.drop("logdet")))
+
+
+def concentrate(rows: DataFrame, model: DataFrame, keep: float) -> DataFrame:
+    """The models of the nearest ``keep`` of the rows under ``model``."""
+    far = lookup(rows, model.select(*BY, "mean", "inverse"), BY).withColumn("d", distance()).drop("mean", "inverse")
+    edge = cut(far.groupBy(*BY).agg(F.percentile_approx("d", keep, 10000).alias("edge")))
+    return _models(_sums(lookup(far, edge, BY, "inner").filter("d <= edge")), consistency(keep))
+
+
+def mcd(rows: DataFrame, keep: float = KEEP, steps: int = STEPS, starts: int = STARTS, rough: int = ROUGH) -> DataFrame:
+    """The model of every cell of ``rows`` (``cell``, ``v``; without ``r`` nothing is added to the scatter)."""
+    if "r" not in rows.columns:
+        rows = rows.withColumn("r", F.array(*[F.lit(0.0)] * DIMS))
+    rows = rows.select("cell", "v", "r")
+    model = first_models(rows, starts)
+    every = rows.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(starts - 1))))
+    for _ in range(rough):
+        model = concentrate(every, model, keep)
+    if rough:
+        best = model.groupBy("cell").agg(F.min(F.struct("logdet", "start")).alias("least"))
+        model = cut(model.join(best, "cell").filter("start = least.start").drop("least"))
+    rows = lookup(rows, cut(model.select(*BY)), "cell", "inner")
     for _ in range(steps):
-        far = lookup(rows, model, "cell").withColumn("d", distance())
-        edge = cut(far.groupBy("cell").agg(F.percentile_approx("d", keep, 10000).alias("edge")))
-        inner = lookup(far.drop("mean", "inverse"), edge, "cell").filter("d <= edge")
-        model = _models(_sums(inner), consistency(keep))
-    near = lookup(rows, model, "cell").filter(distance() <= chi2_quantile(REWEIGHT, DIMS))
+        model = concentrate(rows, model, keep)
+    near = lookup(rows, model, BY).filter(distance() <= chi2_quantile(REWEIGHT, DIMS))
     return _models(_sums(near), consistency(REWEIGHT))
 
 
@@ -217,6 +260,8 @@ def judge(docs: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     """Base statistics, ``base_failed`` and ``kept`` of every document.
 
     A null text has no words and fails. Ties at a quantile count as inside.
+    Very long texts are counted whole. A cell that ends up without a model
+    (none of its documents near any centre) keeps its documents.
     Equal rows are judged alike; null languages and sources are values of
     their own; an empty table gives no rows; other columns are left out.
     """
