@@ -1,3 +1,5 @@
+import math
+import random
 import re
 from collections import Counter
 
@@ -62,3 +64,82 @@ def test_mcd_ignores_a_fifth_of_outliers(spark):
 def test_chi_square_quantiles():
     assert Q.chi2_quantile(0.999, 4) == pytest.approx(18.467, abs=1e-3)
     assert Q.chi2_quantile(0.975, 4) == pytest.approx(11.143, abs=1e-3)
+
+
+def brute_mcd(v, r, keep=Q.KEEP, tries=300):
+    """Squared distances under the least determinant of many random starts, each followed to its end, reweighted once."""
+    rng, (n, d) = np.random.default_rng(1), v.shape
+    h = math.ceil(keep * n)
+
+    def model(rows, share):
+        return v[rows].mean(axis=0), Q.consistency(share) * np.cov(v[rows].T, bias=True) + np.diag(r[rows].mean(axis=0))
+
+    def distances(m):
+        off = v - m[0]
+        return np.einsum("ij,jk,ik->i", off, np.linalg.inv(m[1]), off)
+
+    best = None
+    for _ in range(tries):
+        rows = rng.choice(n, d + 1, replace=False)
+        seen = None
+        while seen is None or set(rows) != seen:
+            seen = set(rows)
+            rows = np.argsort(distances(model(rows, keep)), kind="stable")[:h]
+        m = model(rows, keep)
+        if best is None or np.linalg.slogdet(m[1])[1] < best[0]:
+            best = (np.linalg.slogdet(m[1])[1], m)
+    near = np.flatnonzero(distances(best[1]) <= Q.chi2_quantile(Q.REWEIGHT, d))
+    return distances(model(near, Q.REWEIGHT))
+
+
+def test_verdicts_against_brute_force(spark):
+    """Two statistics are 0 in most rows; 18 % of the rows are a tight group far off."""
+    rng = np.random.default_rng(8)
+    good = np.column_stack([rng.normal(0, 3, 246), rng.gamma(2, 1, 246), rng.binomial(1, 0.05, 246), rng.binomial(1, 0.04, 246) * 1.1])
+    good[:, 1] += 0.3 * good[:, 0]
+    bad = np.column_stack([rng.normal(9, 0.5, 54), rng.normal(14, 0.5, 54), rng.binomial(3, 0.5, 54), np.zeros(54)])
+    v = np.vstack([good, bad])
+    r = np.column_stack([np.full(300, 0.01), *[rng.uniform(0.1, 1, 300)] * 3])
+    data = [("c", i, x.tolist(), y.tolist()) for i, (x, y) in enumerate(zip(v, r))]
+    rows = spark.createDataFrame(data, "cell string, id int, v array<double>, r array<double>")
+    model = Q.mcd(rows)
+    got = rows.join(model, "cell").withColumn("d", Q.distance()).orderBy("id").collect()
+    want, limit = brute_mcd(v, r), Q.chi2_quantile(Q.REJECT, 4)
+    assert np.allclose([x.d for x in got], want, rtol=0.1, atol=0.1)
+    clear = np.abs(want / limit - 1) > 0.1
+    assert ((np.array([x.d for x in got]) > limit) == (want > limit))[clear].all()
+    assert all(x.d > limit for x in got[246:])
+
+
+def test_each_statistic_rejects_by_itself(spark):
+    rng = random.Random(4)
+
+    def word(lo=3, hi=8):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(lo, hi)))
+
+    def text(n, **kind):
+        return " ".join(word(**kind) for _ in range(n))
+
+    docs = [(i, text(rng.randint(30, 1500))) for i in range(300)]
+    docs += [(300 + i, text(400) + "\nab cd\n" + text(30) + "\nab cd") for i in range(10)]  # a line twice is nothing
+    docs.append((1001, text(300, lo=11, hi=13)))
+    docs.append((1002, " ".join(w[:2] + "#" + w[3:] for w in text(300).split())))
+    docs.append((1003, "\n".join(f"ab\n{text(3)}" for _ in range(150))))
+    passage = text(210)
+    docs.append((1004, f"{text(500)} {passage} {text(580)} {passage}"))
+    frame = spark.createDataFrame([(i, "en", "s", t) for i, t in docs], "doc_id long, lang string, source string, text string")
+    got = {r.doc_id: r for r in Q.judge(frame).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [i for i, r in got.items() if not r.kept and i < 1001] == []
+    assert [i for i in range(1001, 1005) if got[i].kept] == []
+    only = [(r.n_symbols > 0, r.n_dup_lines > 0, r.n_repeat_words > 0) for r in (got[i] for i in range(1001, 1005))]
+    assert only == [(False,) * 3, (True, False, False), (False, True, False), (False, False, True)]
+
+
+def test_variances_come_from_the_cell(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    base = Q.base_statistics(docs).filter("n_words >= 20 and 100 * n_repeat_words <= 30 * n_words")
+    model = Q.mcd(Q.cut(Q.with_vectors(Q.with_cells(base, 30)))).collect()
+    assert len(model) > 3
+    spread = np.array([np.diag(np.linalg.inv(np.array(m["inverse"]).reshape(4, 4))) for m in model])
+    assert all(len(set(spread[:, j].round(6))) == len(model) for j in range(4))
