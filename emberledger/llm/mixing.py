@@ -158,37 +158,54 @@ def pieces(placed: DataFrame, slots: DataFrame, block_words: int = BLOCK_WORDS)
 
 
 def mix_taken(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
-    """Per document its ``size``, ``source_size``, ``target`` and ``taken``
-    words (repeats counted). Every row of ``docs`` gives one row; an empty
-    table gives none; a document without words takes none."""
+    """Per document its ``size``, ``source_size``, ``target``, ``taken``
+    words (repeats counted) and ``shards``: the output shards that drew it, in
+    order, and the words each takes. Every row of ``docs`` gives one row; an
+    empty table gives none; a document without words takes none. Null ids,
+    equal rows and very long texts (cut over many blocks) need no care of the
+    caller; other columns are left out."""
     placed, slots = mix_plan(docs.select("doc_id", "text", "source"), block_words=block_words, **options)
     p = pieces(placed.drop("source", "_th"), slots, block_words)
+    words = (F.col("_hi") - F.col("_lo")).cast("long")
+    numbers = F.array_sort(F.array_distinct(F.transform("_drawn", lambda x: x["shard"])))
+
+    def total(shard: Column) -> Column:
+        own = F.filter("_drawn", lambda x: x["shard"] == shard)
+        return F.struct(shard.alias("shard"), F.aggregate(own, F.lit(0).cast("long"), lambda n, x: n + x["words"]).alias("words"))
+
     return (
         p.groupBy("_g", "_bucket", "_row", "doc_id", F.col("_size").alias("size"), "source_size", "target")
-        .agg(F.coalesce(F.sum(F.col("_hi") - F.col("_lo")), F.lit(0)).cast("long").alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
+        .agg(
+            F.coalesce(F.sum(words), F.lit(0)).cast("long").alias("taken"),
+            F.collect_list(F.when(words > 0, F.struct("shard", words.alias("words")))).alias("_drawn"),
+        )
+        .select("doc_id", "size", "source_size", "target", "taken", F.transform(numbers, total).alias("shards"))
     )
 
 
-def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
+def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, shard: str | None = None, **options) -> DataFrame:
     """The mix as documents: for each epoch in which a document is drawn, one
     row with the words taken. A document taken whole keeps its text as it is;
-    of one taken in part, the words are joined by single spaces.
+    of one taken in part, the words are joined by single spaces. With
+    ``shard``, the name of a column to add, there is one row for each epoch
+    and output shard, so that the mix can be written by shard. Other columns
+    are kept; an empty table gives no rows; null ids are values of their own.
     """
     columns = docs.columns
     placed, slots = mix_plan(docs.select("doc_id", "text", "source"), block_words=block_words, **options)
     placed = placed.withColumn("_k", F.xxhash64("doc_id")).select("_g", "_bucket", "_row", "_k", "_th", "_size", "_start")
     key = ["_k", "_th", "_g"]
+    by = [F.col("shard").alias("_shard")] if shard else []
     spans = (
         pieces(placed, slots, block_words)
         .filter("_lo is not null")
-        .groupBy(*key, "_bucket", "_row", "_size", "_epoch")
+        .groupBy(*key, "_bucket", "_row", "_size", "_epoch", *by)
         .agg(F.sort_array(F.collect_list(F.struct("_lo", "_hi"))).alias("_spans"), F.sum(F.col("_hi") - F.col("_lo")).alias("_taken"))
         .withColumn("_spans", F.when(F.col("_taken") < F.col("_size"), F.col("_spans")))
     )
     # rows with one id, text and source are numbered on both sides, so that each gets its own share
     own = Window.partitionBy(*key, "_epoch").orderBy("_bucket", "_row")
-    spans = spans.select(*key, F.row_number().over(own).alias("_nth"), "_spans")
+    spans = spans.select(*key, F.dense_rank().over(own).alias("_nth"), "_spans", *(["_shard"] if shard else []))
     keyed = docs.withColumns({"_k": F.xxhash64("doc_id"), "_th": F.xxhash64("text"), "_g": null_last("source")})
     numbered = keyed.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("_th")))
     # as a range, so that the text is shuffled once, by the key of the window
@@ -202,4 +219,5 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) ->
     )
     text = F.when(F.col("s._spans").isNull(), F.col("d.text")).otherwise(cutout)
     out = {"text": text} | ({"n_chars": F.char_length(text).cast("long")} if "n_chars" in columns else {})
-    return j.select(*[out[c].alias(c) if c in out else F.col(f"d.`{c}`").alias(c) for c in columns])
+    kept = [out[c].alias(c) if c in out else F.col(f"d.`{c}`").alias(c) for c in columns]
+    return j.select(*kept, *([F.col("s._shard").alias(shard)] if shard else []))

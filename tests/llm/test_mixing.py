@@ -1,7 +1,9 @@
 import re
+import struct
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 
 from emberledger.llm import mixing as M
 
@@ -96,3 +98,74 @@ def test_the_short_last_block_is_drawn_like_any_other(spark):
         assert len(set(second)) == len(second)
         drawn.append(5 in second)
     assert True in drawn and False in drawn
+
+
+def hashed(*parts):
+    """The engine's 64-bit hash of several values, as a signed number."""
+    h = 42
+    for form, x in parts:
+        h = xxhash.xxh64_intdigest(x.encode() if form == "s" else struct.pack(form, x), seed=h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def place(index, n, key, seed):
+    for r in range(1, M.ROUNDS + 1):
+        other = (hashed(("<i", seed), ("s", key), ("<i", r)) % n - index) % n
+        if hashed(("<i", seed + 1), ("s", key), ("<i", r), ("<q", max(index, other))) % 2:
+            index = other
+    return index
+
+
+def test_taken_words_and_shards_against_brute_force(spark, awkward):
+    """Every word of every slot, one by one, through a permutation and a shard draw in plain Python."""
+    b, seed, per_shard = 16, 20, 30
+    docs = awkward.select("doc_id", "text", "source")
+    placed = M.mix_plan(docs, block_words=b, shard_blocks=per_shard, seed=seed)[0].collect()
+    sources = defaultdict(list)
+    for r in placed:
+        sources[r._g].append(r)
+    slots = {}
+    for g, rows in sources.items():
+        words = [None] * rows[0].source_size
+        for r in rows:
+            for i in range(r._start, r._start + r._size):
+                assert words[i] is None
+                words[i] = (g, r._bucket, r._row)
+        assert None not in words
+        left, epoch, n = min(round(rows[0].target), 2 * len(words)), 0, -(-len(words) // b)
+        slots[g] = drawn = []
+        while left > 0:
+            for k in range(n):
+                block = place(k, n, f"{g}/{epoch}", seed)
+                own = words[block * b : (block + 1) * b][:left]
+                left -= len(own)
+                if own:
+                    drawn.append(own)
+            epoch += 1
+    shards = -(-sum(map(len, slots.values())) // per_shard)
+    want = defaultdict(Counter)
+    for g, drawn in slots.items():
+        for i, own in enumerate(drawn):
+            for word in own:
+                want[word][hashed(("<i", seed + 2), ("s", g), ("<q", i)) % shards] += 1
+    expect = sorted((str(r.doc_id), r._size, sorted(want[(r._g, r._bucket, r._row)].items())) for r in placed)
+    got = M.mix_taken(docs, block_words=b, shard_blocks=per_shard, seed=seed).collect()
+    assert shards > 5
+    assert sorted((str(r.doc_id), r.size, [(s.shard, s.words) for s in r.shards]) for r in got) == expect
+    assert all(r.taken == sum(s.words for s in r.shards) for r in got)
+
+
+def test_mix_by_shard(spark, awkward):
+    """One row for each document, epoch and shard; the words of a shard are those that it drew."""
+    docs = awkward.filter("doc_id is not null")
+    options = {"block_words": 16, "shard_blocks": 30}
+    mixed = M.mix_documents(docs, shard="part", **options)
+    assert mixed.columns == [*docs.columns, "part"]
+    got, want = Counter(), Counter()
+    for r in mixed.collect():
+        got[r.doc_id, r.part] += len(WORD.findall(r.text))
+    for r in M.mix_taken(docs, **options).collect():
+        for s in r.shards:
+            want[r.doc_id, s.shard] += s.words
+    assert got == want and len({part for _, part in got}) > 5
+    assert M.mix_documents(docs.limit(0), shard="part").count() == 0
