@@ -24,7 +24,7 @@ def test_matches_sql(spark, name):
 
 def test_every_operator_is_registered():
     numbers = {int(n[2:].split("_")[0]) for n in QUERIES}
-    assert numbers == set(range(1, 11)) and set(QUERIES) <= set(queries()) and "pipeline" in queries()
+    assert numbers == set(range(1, 14)) and set(QUERIES) <= set(queries()) and "pipeline" in queries()
 
 
 def test_pipeline(spark, tmp_path):
