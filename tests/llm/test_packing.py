@@ -95,3 +95,18 @@ def test_little_padding(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = P.pack_documents(docs, tokenizer_path()).groupBy("sequence_id").sum("length").collect()
     assert sum(r[1] for r in rows) / (2048 * len(rows)) > 0.97
+
+
+def test_texts_that_are_not_cut_have_the_tokenizer_s_ids():
+    import pyarrow as pa
+    import public_tokenizers
+
+    texts = [
+        "", None, "  ", "a\n", "\na", "a  b", "a\n\nb", "a \nb", "x\0y", "x \0 y", "a\tb", "a b", "a\u0085b", "a b", "w\x1cq", " lead",
+        "trail ", "one two\nthree", "été à\nla", "日本 語", "don't I'll 123 45.6, x.,", "a \n b",
+    ]
+    encoder = P.Encoder(public_tokenizers.path("byte_bpe_50k.json"), cache=8)
+    want = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(3):  # the cache is full after the first
+        assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
+    assert encoder.encode([]) == [] and encoder.encode([t or "" for t in texts])[7].tolist() == want[7]
