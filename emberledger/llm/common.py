@@ -61,6 +61,14 @@ class Scope:
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def inside(self, step, *args) -> DataFrame:
+        """What ``step(*args, scope)`` returns, with a scope of its own: its
+        steps are removed at once, its result belongs to this scope."""
+        own = Scope(self.spark)
+        result = own.close(step(*args, own))
+        self.paths += own.paths
+        return result
+
     def close(self, result: DataFrame) -> DataFrame:
         steps, self.paths = self.paths, []
         result = self.cut(result)
