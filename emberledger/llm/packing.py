@@ -96,20 +96,28 @@ class Encoder:
         return out
 
     def _learn(self, new: list[str], starts: np.ndarray) -> None:
-        """Append the ids of new chunks. A full stop or comma after a letter
-        is a token of its own, so the word before it may be known."""
-        cut = [(w[:-1], self.marks[w[-1]]) if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else (w, []) for w in new]
-        known = len(starts)
-        ask = list(dict.fromkeys(w for w, _ in cut if dict.get(self.codes, w, known) >= known))
-        told = dict(zip(ask, self._ids(ask)))
-
-        def of(word: str) -> list[int]:
-            if (ids := told.get(word)) is None:
-                code = self.codes[word]
-                ids = self.flat[starts[code] : starts[code] + self.lengths[code]].tolist()
-            return ids
-
-        ids = [of(w) + mark for w, mark in cut]
+        """Append the ids of new chunks, which have the numbers from
+        ``len(starts)`` on. A full stop or comma after a letter is a token of
+        its own, so the word before it may be known, or be new as well."""
+        marks, known = self.marks, len(starts)
+        marked = [i for i, w in enumerate(new) if w[-1:] in marks and w[-2:-1].isalpha()]
+        words = [new[i][:-1] for i in marked]
+        codes = [dict.get(self.codes, w) for w in words]
+        extra = {w: i for i, w in enumerate(dict.fromkeys(w for w, c in zip(words, codes) if c is None), len(new))}
+        skip = set(marked)
+        ask = [i for i in range(len(new)) if i not in skip]
+        ids: list = [None] * len(new) + [None] * len(extra)
+        for i, found in zip([*ask, *extra.values()], self._ids([*map(new.__getitem__, ask), *extra])):
+            ids[i] = found
+        for i, w, code in zip(marked, words, codes):
+            if code is None:
+                word = ids[extra[w]]
+            elif code < known:
+                word = self.flat[starts[code] : starts[code] + self.lengths[code]].tolist()
+            else:
+                word = ids[code - known]  # a word ends with a letter, so it is not marked itself
+            ids[i] = word + marks[new[i][-1]]
+        del ids[len(new) :]
         sizes = np.fromiter(map(len, ids), "i8", len(ids))
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))])
         self.lengths = np.concatenate([self.lengths, sizes])
@@ -121,7 +129,7 @@ class Encoder:
         keep = np.sort(order[self.used[order] > 1])
         n = self.lengths[keep]
         at = np.arange(n.sum()) + np.repeat(starts[keep] - (np.cumsum(n) - n), n)
-        chunks = list(self.codes)
+        chunks, self.codes = list(self.codes), _Codes()  # the old table goes before the new one is made
         self.codes = _Codes((chunks[k], i) for i, k in enumerate(keep.tolist()))
         self.flat, self.lengths, self.used = self.flat[at], n, self.used[keep] // 2
 
@@ -185,6 +193,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WIND
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 )
+        pa.default_memory_pool().release_unused()  # the worker is kept
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(

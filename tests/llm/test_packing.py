@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from emberledger.llm import packing as P
+from emberledger.llm.common import let_go, per_process
 from emberledger.llm.queries import tokenizer_path
 
 
@@ -110,3 +111,20 @@ def test_texts_that_are_not_cut_have_the_tokenizer_s_ids():
     for _ in range(3):  # the cache is full after the first
         assert [x.tolist() for x in encoder.encode(pa.array(texts))] == want
     assert encoder.encode([]) == [] and encoder.encode([t or "" for t in texts])[7].tolist() == want[7]
+
+
+def test_marked_words_known_new_and_alone():
+    encoder = P.Encoder(tokenizer_path())
+    for texts in (["alpha betaq"], ["alpha, betaq. gammaz, gammaz deltaw, deltaw. . , x. été,"], ["deltaw gammaz. deltaw, 7. a.,"]):
+        for got, text in zip(encoder.encode(texts), texts):
+            assert got.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_kept_encoders_are_let_go():
+    made = []
+    make = lambda: made.append(1) or object()
+    first = per_process("test", make)
+    assert per_process("test", make) is first
+    let_go()
+    assert per_process("test", make) is not first and len(made) == 2
+    let_go()
