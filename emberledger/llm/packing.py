@@ -12,6 +12,7 @@ token ids never leave the task that made them.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain, islice
@@ -22,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberledger.llm.common import cut, per_process, ranked
+from emberledger.llm.common import arrow_rows, cut, give_back, per_process, ranked
 
 WINDOW = 2048
 #: Width of a length class in tokens: what a remainder can waste at most.
@@ -30,7 +31,9 @@ STEP = 8
 #: Most pieces in an enumerated combination.
 DEPTH = 3
 #: Chunks that a worker's token cache keeps, and documents encoded at once.
-CACHE, AT_ONCE = 700_000, 1024
+CACHE, AT_ONCE = 700_000, 512
+#: Texts per batch between the JVM and Python, and encodings after which a worker gives back unused memory.
+BATCH_ROWS, GIVE_BACK = 1024, 4
 #: Texts that are encoded whole: with other white space than blanks and newlines, with two such characters
 #: in a row, with one at an end, or with a NUL.
 UNCUT = (
@@ -68,6 +71,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, cache: int = CACHE):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core; each thread would hold memory of its own
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cache = Tokenizer.from_file(path), cache
@@ -176,7 +180,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WIND
     so is the remainder. A null or empty text is its end id alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(("encoder", path), lambda: Encoder(path))
+        encoder, encoded = per_process(("encoder", path), lambda: Encoder(path)), 0
         for batch in batches:
             for lo in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(lo, AT_ONCE)
@@ -193,7 +197,10 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, window: int = WIND
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
                 )
-        pa.default_memory_pool().release_unused()  # the worker is kept
+                encoded += 1
+                if encoded % GIVE_BACK == 0:
+                    give_back()
+        give_back()  # the worker is kept
 
     kind = docs.select("doc_id").schema[0].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -350,4 +357,5 @@ def pack_documents(docs: DataFrame, path: str, window: int = WINDOW) -> DataFram
     An empty table gives no rows; documents with equal ids are packed each
     on its own; ids may be null.
     """
-    return pack(token_pieces(docs, path, window=window), window)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):  # the pieces are computed inside
+        return pack(token_pieces(docs, path, window=window), window)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberledger.llm.common import cut
+from emberledger.llm.common import Scope, arrow_rows, cut, let_go
 
 #: Labelled documents of each class that the model is fitted on, at most.
 TRAIN_ROWS = 3000
@@ -34,6 +34,8 @@ MAX_FEATURES, MIN_DOCS, MIN_Z = 20_000, 5, 4.0
 HEADS = (4, 5, 6)
 #: Expected grade from which on a document is rejected.
 REJECT = 0.4
+#: Documents per batch between the JVM and Python where whole documents go both ways.
+BATCH_ROWS = 1000
 _EDGE = string.punctuation + "«»„“”’…–—"
 
 
@@ -122,6 +124,7 @@ def telling_features(sample: DataFrame) -> list[tuple[str, float]]:
     in the tasks, chosen by an aggregation, at most ``MAX_FEATURES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()  # in a chain of operators, workers may hold the tables of others
         held: tuple[Counter, Counter] = (Counter(), Counter())
         size = [0, 0]
         for batch in batches:
@@ -152,13 +155,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, grades: int
     """Fit the model on a bounded sample of labelled documents; without toxic
     or clean ones, a model that finds nothing toxic. The driver gets, per
     sampled document, its counts of the chosen features, never its text."""
-    sample = cut(training_rows(docs, labels, rows))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return _fit(cut(training_rows(docs, labels, rows)), grades)
+
+
+def _fit(sample: DataFrame, grades: int) -> Model:
     chosen = telling_features(sample)
     names, weight = {f: i for i, (f, _) in enumerate(chosen)}, np.array([o for _, o in chosen])
     if not names:
         return Model({}, np.zeros(0), np.full(grades - 1, 35.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = [{names[f]: n for f, n in counts(t, names).items()} for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -185,6 +193,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m = Model(*sent.value)
         for batch in batches:
             e = np.array([m.expected(counts(t.as_py(), m.names)) for t in batch.column(1)], "f8")
@@ -207,14 +216,18 @@ def grade_documents(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """``docs`` without the documents that the model rejects, all columns kept."""
+    """``docs`` without the documents that the model rejects, all columns
+    kept. Written at once, so that the batches are small: the JVM keeps what
+    large ones took beside its heap."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows).plain())
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m = Model(*sent.value)
         for batch in batches:
             keep = [m.expected(counts(t.as_py(), m.names)) < REJECT for t in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        return Scope(docs.sparkSession).cut(docs.mapInArrow(run, docs.schema))

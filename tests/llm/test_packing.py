@@ -128,3 +128,14 @@ def test_kept_encoders_are_let_go():
     let_go()
     assert per_process("test", make) is not first and len(made) == 2
     let_go()
+
+
+def test_batches_are_small_while_pieces_are_made(spark, monkeypatch):
+    """Texts reach the workers ``BATCH_ROWS`` at a time; the session's own setting is back afterwards."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    usual = spark.conf.get(key)
+    cut = P.cut
+    monkeypatch.setattr(P, "cut", lambda df: seen.append(spark.conf.get(key)) or cut(df))
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string")
+    assert P.pack_documents(docs, tokenizer_path()).count() == 20
+    assert seen and set(seen) == {str(P.BATCH_ROWS)} and spark.conf.get(key) == usual

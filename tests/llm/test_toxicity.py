@@ -105,3 +105,35 @@ def test_executors_need_no_copy_of_the_package(spark):
 
     model = T.Model({"x": 0}, np.ones(1), np.zeros(2))
     assert b"emberledger" not in pickle.dumps(model.plain())
+
+
+def test_workers_drop_what_earlier_operators_kept(spark, monkeypatch):
+    """In a chain, packing's encoder stays in the workers; toxicity must not add its own memory to it."""
+    import sys
+
+    from emberledger.llm.common import per_process
+
+    docs = spark.createDataFrame([(i, ("vile " if i % 2 else "kind ") + f"w{i % 7}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    frame, taken = type(docs), []
+    plain = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, *a: taken.append(f) or plain(self, f, *a))
+    T.drop_toxic(docs, labels)
+    T.grade_documents(docs, labels)
+    assert len(taken) == 6
+    for run in taken:
+        per_process("test", list)
+        list(run(iter([])))
+        assert "_emberledger_kept" not in sys.modules
+
+
+def test_drop_toxic_takes_small_batches(spark, monkeypatch):
+    """Whole documents go to Python and back ``BATCH_ROWS`` at a time, also when the result is used later."""
+    monkeypatch.setattr(T, "BATCH_ROWS", 7)
+    docs = spark.createDataFrame([(i, ("vile " if i % 2 else "kind ") + f"w{i % 7}") for i in range(80)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    kept = T.drop_toxic(docs, labels)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()
+    model = T.fit(docs, labels)
+    want = [r.doc_id for r in docs.collect() if model.expected(T.counts(r.text, model.names)) < T.REJECT]
+    assert 0 < len(want) < 80 and sorted(r.doc_id for r in kept.collect()) == want
